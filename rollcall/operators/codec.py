@@ -24,7 +24,7 @@ def encode(events: DataFrame, keep: tuple[str, ...] = (), fields: tuple[str, ...
 def parse_messages(
     messages: DataFrame, schema: T.StructType = DECODED, keep: tuple[str, ...] = SOURCE_FIELDS
 ) -> DataFrame:
-    """Add ``record`` (the JSON under ``schema``) and ``reason`` (NULL when the message is readable).
+    """Add ``record`` (the JSON under ``schema`` plus ``_corrupt``) and ``reason`` (NULL when readable).
 
     Parsing is permissive, as a stream must be: one bad message never ends the job. Missing fields are
     NULL, unknown ones are ignored, and text after the closing brace is ignored.
@@ -34,16 +34,16 @@ def parse_messages(
     parsed = messages.select(
         *keep,
         "value",
-        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}).alias("_parsed"),
+        F.from_json(text, with_corrupt, {"columnNameOfCorruptRecord": _CORRUPT}).alias("record"),
     )
-    record = F.col("_parsed")
+    record = F.col("record")
     reason = (
         F.when(F.col("value").isNull(), "null_value")
         .when(F.length("value") == 0, "empty_value")
         .when(~F.is_valid_utf8(text), "invalid_utf8")
         .when(record.isNull() | record[_CORRUPT].isNotNull(), "malformed_json")
     )
-    return parsed.select(*keep, "value", record.dropFields(_CORRUPT).alias("record"), reason.alias("reason"))
+    return parsed.withColumn("reason", reason)
 
 
 def records(parsed: DataFrame, keep: tuple[str, ...] = SOURCE_FIELDS, include_unreadable: bool = False) -> DataFrame:
@@ -56,8 +56,8 @@ def records(parsed: DataFrame, keep: tuple[str, ...] = SOURCE_FIELDS, include_un
     parse result below the projection and parse every message twice.
     """
     if include_unreadable:
-        return parsed.select(*keep, "record.*")
-    return parsed.select(*keep, F.inline(F.when(F.col("reason").isNull(), F.array("record"))))
+        return parsed.select(*keep, "record.*").drop(_CORRUPT)
+    return parsed.select(*keep, F.inline(F.when(F.col("reason").isNull(), F.array("record")))).drop(_CORRUPT)
 
 
 def quarantine(parsed: DataFrame, keep: tuple[str, ...] = SOURCE_FIELDS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,50 +12,86 @@ from rollcall.schemas import RESPONSE_DDL
 
 _CORRUPT = "_corrupt"
 
+# Where a user record keeps each part of an event. A record without one of them is unusable;
+# one that has it as null is not, the NOT NULL check decides about it later.
+USER_PATHS = (
+    "name.first",
+    "name.last",
+    "gender",
+    "location.street.number",
+    "location.street.name",
+    "location.city",
+    "location.state",
+    "location.country",
+    "location.postcode",
+    "email",
+    "login.username",
+    "dob.date",
+    "registered.date",
+    "phone",
+    "picture.medium",
+)
+
 
 def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame:
-    """Add ``user``, the first result of the response text, and ``reason`` where there is none."""
+    """Add ``user``, the first result of the response text, and ``reason`` where it cannot be used."""
     schema = f"{RESPONSE_DDL}, {_CORRUPT} string"
     parsed = F.from_json(column, schema, {"columnNameOfCorruptRecord": _CORRUPT})
     body = F.col("_body")
     # get() gives NULL on an empty array where [0] would end an ANSI job.
     user = F.get(body["results"], 0)
-    reason = (
-        F.when(body.isNull() | body[_CORRUPT].isNotNull(), "malformed_response")
-        .when(user.isNull(), "no_result")
+    first = responses.withColumn("_body", parsed).select(
+        *responses.columns,
+        user.alias("user"),
+        (body.isNull() | body[_CORRUPT].isNotNull()).alias("_malformed"),
     )
-    return responses.withColumn("_body", parsed).select(
-        *responses.columns, user.alias("user"), reason.alias("reason")
+    missing = F.concat_ws(",", *(F.when(_is_missing(path, column), F.lit(path)) for path in USER_PATHS))
+    any_null = reduce(Column.__or__, (_at(path).isNull() for path in USER_PATHS))
+    reason = (
+        F.when(F.col("_malformed"), "malformed_response")
+        .when(F.col("user").isNull(), "no_result")
+        .when(any_null & (missing != ""), F.concat(F.lit("missing:"), missing))
     )
+    return first.select(*responses.columns, "user", reason.alias("reason"))
 
 
 def flatten_users(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One flat event per response that holds a user."""
+    """One flat event per response that holds a usable user."""
     user = F.explode(F.when(F.col("reason").isNull(), F.array("user"))).alias("user")
-    return parsed.select(*keep, user).select(*keep, *event_columns(F.col("user")))
+    return parsed.select(*keep, user).select(*keep, *event_columns())
 
 
 def unusable_responses(parsed: DataFrame, keep: tuple[str, ...] = ("response",)) -> DataFrame:
     """The responses `flatten_users` leaves out, with the reason."""
-    return parsed.select(*keep, F.explode(F.when(F.col("reason").isNotNull(), F.array("reason"))).alias("reason"))
+    reason = F.explode(F.when(F.col("reason").isNotNull(), F.array("reason")))
+    return parsed.select(*keep, reason.alias("reason"))
 
 
-def event_columns(user: Column) -> list[Column]:
-    place = user["location"]
-    street = place["street"]
+def event_columns() -> list[Column]:
     return [
-        user["name"]["first"].alias("first_name"),
-        user["name"]["last"].alias("last_name"),
-        user["gender"].alias("gender"),
-        street_address(street["number"], street["name"]).alias("address"),
-        place["city"].alias("city"),
-        place["state"].alias("state"),
-        place["country"].alias("country"),
-        place["postcode"].alias("post_code"),
-        user["email"].alias("email"),
-        user["login"]["username"].alias("username"),
-        user["dob"]["date"].alias("dob"),
-        user["registered"]["date"].alias("registered_date"),
-        user["phone"].alias("phone"),
-        user["picture"]["medium"].alias("picture"),
+        _at("name.first").alias("first_name"),
+        _at("name.last").alias("last_name"),
+        _at("gender").alias("gender"),
+        street_address(_at("location.street.number"), _at("location.street.name")).alias("address"),
+        _at("location.city").alias("city"),
+        _at("location.state").alias("state"),
+        _at("location.country").alias("country"),
+        _at("location.postcode").alias("post_code"),
+        _at("email").alias("email"),
+        _at("login.username").alias("username"),
+        _at("dob.date").alias("dob"),
+        _at("registered.date").alias("registered_date"),
+        _at("phone").alias("phone"),
+        _at("picture.medium").alias("picture"),
     ]
+
+
+def _at(path: str) -> Column:
+    return F.col(f"user.{path}")
+
+
+def _is_missing(path: str, column: str) -> Column:
+    """True if the first result has no such key. The text is searched again only where the value is NULL."""
+    parent, _, name = f"$.results[0].{path}".rpartition(".")
+    keys = F.json_object_keys(F.get_json_object(column, parent))
+    return F.when(_at(path).isNull(), ~F.coalesce(F.array_contains(keys, name), F.lit(False)))

@@ -56,6 +56,27 @@ from damaged where bad""",
 
 _STORE = _with_users(f"select {_ID} as id, {_STORED} from users where user_key % 101 <> 0")
 
+_USER = """{'gender': gender, 'name': {'first': first_name, 'last': last_name},
+  'location': {'street': {'number': user_key, 'name': country}, 'city': city, 'state': state, 'country': country,
+   'postcode': cast(post_code as int)},
+  'email': email, 'login': {'username': username}, 'dob': {'date': dob}, 'registered': {'date': registered_date}"""
+_FULL_USER = _USER + """, 'phone': phone, 'picture': {'medium': picture}}"""
+_USER_WITHOUT_PHONE = _USER + """, 'picture': {'medium': picture}}"""
+_SECOND_USER = _FULL_USER.replace("'email': email", "'email': 'second@example.com'")
+
+# The responses and what is wrong with them: see responses() of the Spark side.
+_RESPONSES = f"""
+texts as (
+ select *, cast(case when user_key % 40 = 0 then '{{"results":[]}}'
+  when user_key % 41 = 0 then to_json({{'results': [{_FULL_USER}, {_SECOND_USER}]}})
+  when user_key % 43 = 0 then to_json({{'results': [{_USER_WITHOUT_PHONE}]}})
+  else to_json({{'results': [{_FULL_USER}]}}) end as varchar) as text from users),
+answered as (
+ select * exclude (text), case when user_key % 47 = 0 then rtrim(text, '}}') else text end as response,
+  case when user_key % 47 = 0 then 'malformed_response' when user_key % 40 = 0 then 'no_result'
+   when user_key % 43 = 0 and user_key % 41 <> 0 then 'missing:phone' end as reason
+ from texts)"""
+
 _VIOLATION = """
 checked as (
  select *, case when gender is null then 'null:gender'
@@ -93,14 +114,14 @@ union all select 'registration_year', cast(y as varchar), count(*)
 ORACLES: dict[str, str] = {
     "load_users": _with_users("select * from users"),
     "raw_first_result": _with_users(
-        """select user_key, case when user_key % 40 <> 0 then email end as email,
- case when user_key % 40 <> 0 then cast(user_key as varchar) end as street_number,
- case when user_key % 40 <> 0 then post_code end as postcode,
- case when user_key % 40 = 0 then 'no_result' end as reason from users"""
+        """select user_key, case when found then email end as email,
+ case when found then cast(user_key as varchar) end as street_number, case when found then post_code end as postcode,
+ reason from (select *, reason is null or reason = 'missing:phone' as found from answered)""",
+        _RESPONSES,
     ),
-    "flatten_user": _with_users(f"select user_key, {_EVENT} from users where user_key % 40 <> 0"),
+    "flatten_user": _with_users(f"select user_key, {_EVENT} from answered where reason is null", _RESPONSES),
     "unusable_responses": _with_users(
-        """select user_key, '{"results":[]}' as response, 'no_result' as reason from users where user_key % 40 = 0"""
+        "select user_key, response, reason from answered where reason is not null", _RESPONSES
     ),
     "encode_event": _with_users(f"select user_key, cast({_JSON} as varchar) as value from users"),
     "decode_event": _with_users(

@@ -22,13 +22,19 @@ def users_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _join_users(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
-    """Broadcasts are left to Spark's size check; a customer with many orders to its skew join."""
+    """Broadcasts are left to Spark's size check, customers with many orders to its skew join.
+
+    Places join last, so that their names do not travel through the shuffle on the customer.
+    """
     customer, nation, region = (table(spark, folder, name) for name in ("customer", "nation", "region"))
-    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    buyers = customer.join(places, F.col("c_nationkey") == F.col("n_nationkey"))
     key = F.col("o_orderkey")
     day = F.col("o_orderdate").cast("date").cast("string")
-    return orders.join(buyers, F.col("o_custkey") == F.col("c_custkey")).select(
+    joined = (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    )
+    return joined.select(
         key.alias("user_key"),
         F.col("c_name").alias("first_name"),
         F.concat(F.lit("L"), F.col("c_custkey").cast("string")).alias("last_name"),
@@ -50,13 +56,32 @@ def _join_users(spark: SparkSession, folder: str, orders: DataFrame) -> DataFram
 
 
 def responses(users: DataFrame) -> DataFrame:
-    """Each user as an API response text. Every 40th response has no result, every 41st two of them."""
+    """Each user as an API response text.
+
+    Every 40th response has no result, every 41st two of them, every 43rd lacks the phone, and every 47th is
+    cut off at its end.
+    """
     key = F.col("user_key")
-    user = F.struct(
+    text = (
+        F.when(key % 40 == 0, _response(F.slice(F.array(_user()), 1, 0)))
+        .when(key % 41 == 0, _response(F.array(_user(), _user().withField("email", F.lit("second@example.com")))))
+        .when(key % 43 == 0, _response(F.array(_user().dropFields("phone"))))
+        .otherwise(_response(F.array(_user())))
+    )
+    whole = F.when(key % 47 == 0, F.rtrim(text, F.lit("}"))).otherwise(text)
+    return users.select("user_key", whole.alias("response"))
+
+
+def _response(results: Column) -> Column:
+    return F.to_json(F.struct(results.alias("results")), {"ignoreNullFields": "false"})
+
+
+def _user() -> Column:
+    return F.struct(
         "gender",
         F.struct(F.col("first_name").alias("first"), F.col("last_name").alias("last")).alias("name"),
         F.struct(
-            F.struct(key.alias("number"), F.col("country").alias("name")).alias("street"),
+            F.struct(F.col("user_key").alias("number"), F.col("country").alias("name")).alias("street"),
             "city",
             "state",
             "country",
@@ -69,11 +94,6 @@ def responses(users: DataFrame) -> DataFrame:
         "phone",
         F.struct(F.col("picture").alias("medium")).alias("picture"),
     )
-    results = F.when(key % 40 == 0, F.slice(F.array(user), 1, 0)).when(
-        key % 41 == 0, F.array(user, user.withField("email", F.lit("second@example.com")))
-    )
-    body = F.struct(F.coalesce(results, F.array(user)).alias("results"))
-    return users.select("user_key", F.to_json(body, {"ignoreNullFields": "false"}).alias("response"))
 
 
 def messages(users: DataFrame, damaged: bool = False) -> DataFrame:
@@ -84,14 +104,14 @@ def messages(users: DataFrame, damaged: bool = False) -> DataFrame:
     key = F.col("user_key")
     value = json_bytes()
     if damaged:
-        value = F.when(key % 101 != 0, value).otherwise(_damage(value, F.floor(key / 101) % 5))
+        value = F.when(key % 101 != 0, value).otherwise(_damage(value, F.expr("user_key div 101") % 5))
     return users.select(
         "user_key",
         F.lit(None).cast("binary").alias("key"),
         value.alias("value"),
         F.lit("users").alias("topic"),
         (key % 8).cast("int").alias("partition"),
-        F.floor(key / 8).cast("bigint").alias("offset"),
+        F.expr("user_key div 8").alias("offset"),
         F.col("dob").try_cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )

@@ -28,3 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder name for one run, so that no two runs share a checkpoint or a table."""
     return f"{shared_folder(spark)}/rollcall/{purpose}-{uuid.uuid4().hex}"
+
+
+def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
+    """The session of tests and benchmarks on one machine. On a cluster, spark-submit configures it."""
+    builder = SparkSession.builder.master(f"local[{cpus}]").appName("rollcall")
+    defaults = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+    }
+    for name, value in {**defaults, **settings}.items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+    return spark

@@ -37,6 +37,7 @@ def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
     }
     for name, value in {**defaults, **settings}.items():

@@ -14,7 +14,10 @@ def share_by_country(users: DataFrame) -> DataFrame:
     The grand total is a scalar subquery over the same counts: no window over all groups, no cross join,
     and Spark runs the shared exchange once.
     """
-    totals = count_by_country(users)
+    return with_share(count_by_country(users))
+
+
+def with_share(totals: DataFrame) -> DataFrame:
     grand_total = totals.agg(F.sum("total")).scalar()
     return totals.withColumn("share", F.round(F.col("total") / grand_total, 6))
 
@@ -30,8 +33,11 @@ def match_countries(users: DataFrame, known: DataFrame) -> DataFrame:
     Counts come first, so the join sees one row per country. Spark broadcasts ``known`` if its size is
     under the session's threshold and sorts and merges otherwise.
     """
+    return with_match(count_by_country(users), known)
+
+
+def with_match(totals: DataFrame, known: DataFrame) -> DataFrame:
     names = known.select(F.col("country").alias("_known")).distinct()
-    totals = count_by_country(users)
     return totals.join(names, totals["country"] == names["_known"], "left").select(
         "country", "total", F.col("_known").isNotNull().alias("matched")
     )

@@ -17,11 +17,11 @@ from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.ddl import create_if_absent
 from rollcall.sources.tables import load_users, table
 from rollcall.streaming import jobs
+from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE
 from rollcall.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SNAPSHOT = "dim string, k string, total bigint"
 # Longer than the order dates span, so no row is late whichever file comes first.
 WHOLE_HISTORY = "5000 days"
 
@@ -193,9 +193,6 @@ def ddl_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     return load_users(spark, path=f"{place}/users")
 
 
-UNREADABLE = "topic string, partition int, offset bigint, timestamp timestamp, value binary, reason string"
-REJECTED = "id string, violation string"
-
 QUERIES: dict[str, Query] = {
     "load_users": load,
     "raw_first_result": raw_first_result,

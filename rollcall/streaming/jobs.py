@@ -91,7 +91,11 @@ def constrain_events(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_constrained(batch, batch_id, accepted, rejected, workdir, order=order, **options)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            write_constrained(batch, batch_id, accepted, rejected, workdir, order=order, **options)
+        finally:
+            batch.unpersist()
 
     return start(events, write, checkpoint, trigger=trigger)
 
@@ -101,7 +105,7 @@ def write_constrained(
 ) -> None:
     run = f"{workdir}/batch-{batch_id}-{uuid.uuid4().hex}"
     taken = accepted.before(batch_id).select("email", "username")
-    checked = check_table(events, order, run, taken=taken, **options).persist(StorageLevel.MEMORY_AND_DISK)
+    checked = check_table(events, order, run, taken=None if taken.isEmpty() else taken, **options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         accepted.replace(storable(checked), batch_id)
         rejected(violators(checked), batch_id)

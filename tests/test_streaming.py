@@ -7,13 +7,13 @@ from helpers import event, messages, response, sequential
 from rollcall.functions import position_id
 from rollcall.operators.codec import parse_messages, records
 from rollcall.operators.counts import chart_totals
-from rollcall.plans.catalogue import REJECTED, SNAPSHOT, UNREADABLE
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
 from rollcall.sources.messages import file_messages
 from rollcall.sources.responses import responses_from_files, responses_from_messages
 from rollcall.streaming import jobs
+from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE, UNUSABLE
 
 
 def _publish(spark, path, values, start=0):
@@ -168,7 +168,7 @@ def test_constrained_table_across_batches_and_a_replay(spark, tmp_path):
 def _ingest(spark, place, responses):
     accepted = BatchTable(spark, f"{place}/users", CONSTRAINED)
     rejected = BatchTable(spark, f"{place}/rejected", REJECTED)
-    unusable = BatchTable(spark, f"{place}/unusable", "id string, response string, reason string")
+    unusable = BatchTable(spark, f"{place}/unusable", UNUSABLE)
     published = topic("parquet", path=f"{place}/published")
     jobs.ingest_responses(
         responses,

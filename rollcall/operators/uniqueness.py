@@ -52,7 +52,7 @@ def winners(
     """The ``order`` values of the accepted rows, as a table in ``workdir``.
 
     ``order`` must be unique per row. A row with a NULL key is never accepted. ``taken`` holds rows accepted
-    earlier, whose keys are gone. ``workdir`` is a fresh folder every executor reaches: each round starts
+    earlier under the same two constraints, whose keys are gone. ``workdir`` is a fresh folder every executor reaches: each round starts
     from tables written there, so a lost executor costs one round's work at most and the plan never grows.
     """
     narrow = rows.select(first_key, second_key, order).dropna(subset=[first_key, second_key])
@@ -66,7 +66,8 @@ def winners(
         bound = max(hot_rows, -(-left // max_hot_keys))
         hot = {key: _hot_keys(rest, key, bound) for key in (first_key, second_key)}
     if taken is not None:
-        left = rest.replace(_without_taken(rest.read(), taken, (first_key, second_key), order, hot))
+        gone = {key: _taken_keys(rest.read(), taken, key) for key in (first_key, second_key)}
+        left = rest.replace(_without_taken(rest.read(), gone, order, hot))
 
     spark = rows.sparkSession
     accepted = f"{workdir}/accepted"
@@ -82,7 +83,8 @@ def winners(
             break
         _earliest_of_both(rest.read(), first_key, second_key, order).write.parquet(out)
         won = spark.read.parquet(out)
-        left = rest.replace(_without_taken(rest.read(), won, (first_key, second_key), order, hot))
+        gone = {key: won.select(key) for key in (first_key, second_key)}
+        left = rest.replace(_without_taken(rest.read(), gone, order, hot))
     return spark.read.parquet(accepted).select(order)
 
 
@@ -127,9 +129,16 @@ def _hot_keys(rest: _Remainder, key: str, bound: int) -> DataFrame | None:
     return hot if found else None
 
 
-def _without_taken(rows: DataFrame, taken: DataFrame, keys: tuple[str, str], order: str, hot: dict) -> DataFrame:
-    for key in keys:
-        rows = _without_taken_key(rows, taken.select(key), key, order, hot.get(key))
+def _taken_keys(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:
+    """The taken keys that ``rows`` use. ``taken`` is the whole table so far and ``rows`` one batch: when the
+    batch's keys are few enough to broadcast, the table is scanned for this column and not shuffled.
+    """
+    return taken.select(key).join(rows.select(key).distinct(), key, "left_semi")
+
+
+def _without_taken(rows: DataFrame, taken: dict[str, DataFrame], order: str, hot: dict) -> DataFrame:
+    for key, gone in taken.items():
+        rows = _without_taken_key(rows, gone, key, order, hot.get(key))
     return rows
 
 

@@ -15,6 +15,7 @@ from rollcall.plans import users as given
 from rollcall.schemas import CONSTRAINED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.ddl import create_if_absent
+from rollcall.sources.messages import file_messages
 from rollcall.sources.tables import load_users, table
 from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE
@@ -22,7 +23,7 @@ from rollcall.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Longer than the order dates span, so no row is late whichever file comes first.
+# Longer than the order dates span: every copy of a record is a re-send.
 WHOLE_HISTORY = "5000 days"
 
 
@@ -129,34 +130,37 @@ def top_countries(spark: SparkSession, folder: str) -> DataFrame:
     return charts.top_countries(given.users(spark, folder), 5)
 
 
-def _stored(spark: SparkSession, folder: str, purpose: str, runs: int) -> tuple[DataFrame, DataFrame]:
+def _store(spark: SparkSession, folder: str, purpose: str, runs: int) -> tuple[DataFrame, DataFrame]:
     place = new_folder(spark, purpose)
+    topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
     store = BatchTable(spark, f"{place}/users", STORED)
     unreadable = BatchTable(spark, f"{place}/unreadable", UNREADABLE)
     for _ in range(runs):
-        messages = given.messages(given.users_stream(spark, folder), damaged=True)
+        messages = file_messages(spark, topic)
         jobs.store_messages(messages, store.replace, unreadable.replace, f"{place}/checkpoint").awaitTermination()
     return store.rows(), unreadable.rows()
 
 
 def stream_decode(spark: SparkSession, folder: str) -> DataFrame:
-    return _stored(spark, folder, "stream", runs=1)[0]
+    return _store(spark, folder, "stream", runs=1)[0]
 
 
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    bad = _stored(spark, folder, "stream-quarantine", runs=1)[1]
+    bad = _store(spark, folder, "stream-quarantine", runs=1)[1]
     return bad.select("topic", "partition", "offset", F.hex("value").alias("value_hex"), "reason")
 
 
 def stream_sink_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The job run twice on one checkpoint, as a scheduler's retry would."""
-    return _stored(spark, folder, "stream-twice", runs=2)[0]
+    return _store(spark, folder, "stream-twice", runs=2)[0]
 
 
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     place = new_folder(spark, "stream-counts")
+    topic = given.publish_topic(spark, folder, f"{place}/topic")
+    stored = codec.records(codec.parse_messages(file_messages(spark, topic), keep=()), keep=())
     snapshots = BatchTable(spark, f"{place}/totals", SNAPSHOT)
-    jobs.count_users(given.users_stream(spark, folder), snapshots.replace, f"{place}/checkpoint").awaitTermination()
+    jobs.count_users(stored, snapshots.replace, f"{place}/checkpoint").awaitTermination()
     return snapshots.newest()
 
 
@@ -165,10 +169,10 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     place = new_folder(spark, "stream-dedup")
     sent = given.messages(given.users_stream(spark, folder)).withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1))))
     parsed = codec.parse_messages(sent, keep=("timestamp",))
-    kept = jobs.drop_resent(codec.records(parsed, keep=("timestamp",)), ["email", "registered_date"], WHOLE_HISTORY)
-    out = BatchTable(spark, f"{place}/kept", "email string, registered_date string")
-    jobs.start(kept.select("email", "registered_date"), out.replace, f"{place}/checkpoint").awaitTermination()
-    return out.rows()
+    received = codec.records(parsed, keep=("timestamp",)).select("email", "registered_date", "timestamp")
+    kept = BatchTable(spark, f"{place}/kept", received.schema)
+    jobs.drop_resent(received, ["email", "registered_date"], WHOLE_HISTORY, kept, f"{place}/checkpoint").awaitTermination()
+    return kept.rows().select("email", "registered_date")
 
 
 def stream_constrained(spark: SparkSession, folder: str) -> DataFrame:

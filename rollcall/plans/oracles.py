@@ -40,7 +40,7 @@ def _with_users(select: str, *more: str) -> str:
     return "with recursive " + ",".join((USERS, *more)) + "\n" + select
 
 
-# Each order may be damaged in one of five ways: see messages() of the Spark side.
+# All messages, and which of them arrive damaged: see messages() of the Spark side.
 _DAMAGED = f"""
 damaged as (
  select *, user_key % 101 = 0 as bad, (user_key // 101) % 5 as kind, {_JSON} as json from users)"""
@@ -54,7 +54,7 @@ from damaged where bad""",
     _DAMAGED,
 )
 
-_STORE = _with_users(f"select {_ID} as id, {_STORED} from users where user_key % 101 <> 0")
+_STORE = _with_users(f"select {_ID} as id, {_STORED} from damaged where not bad", _DAMAGED)
 
 _USER = """{'gender': gender, 'name': {'first': first_name, 'last': last_name},
   'location': {'street': {'number': user_key, 'name': country}, 'city': city, 'state': state, 'country': country,
@@ -126,7 +126,8 @@ ORACLES: dict[str, str] = {
     "encode_event": _with_users(f"select user_key, cast({_JSON} as varchar) as value from users"),
     "decode_event": _with_users(
         f"""select cast(user_key % 8 as int) as "partition", user_key // 8 as "offset", {_STORED}
-from users where user_key % 101 <> 0"""
+from damaged where not bad""",
+        _DAMAGED,
     ),
     "decode_event_all": _with_users(
         'select cast(user_key % 8 as int) as "partition", user_key // 8 as "offset", '

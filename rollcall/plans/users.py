@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.operators.codec import json_bytes
+from rollcall.schemas import MESSAGE
 from rollcall.sources.tables import table, table_stream
 
 
@@ -117,6 +118,13 @@ def messages(users: DataFrame, damaged: bool = False) -> DataFrame:
     )
 
 
+def publish_topic(spark: SparkSession, folder: str, path: str, damaged: bool = False) -> str:
+    """All users as a file-backed topic at ``path``, to be read as the Kafka source would be."""
+    published = messages(users(spark, folder), damaged)
+    published.select(*MESSAGE.names).write.parquet(path)
+    return path
+
+
 def _damage(value: Column, kind: Column) -> Column:
     def around(before: str, after: str = "") -> Column:
         return F.concat(F.unhex(F.lit(before.encode().hex())), value, F.unhex(F.lit(after.encode().hex())))

@@ -7,9 +7,10 @@ ends (``availableNow``), so any scheduler can run it again; pass ``trigger`` to
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,6 +19,7 @@ from rollcall.operators.codec import SOURCE_FIELDS, parse_messages, quarantine,
 from rollcall.operators.constraints import check_table, storable, violators
 from rollcall.operators.counts import joint_counts, totals_from_joint
 from rollcall.operators.flatten import flatten_users, parse_responses, unusable_responses
+from rollcall.operators.latest import earliest_per_key
 from rollcall.schemas import EVENT_FIELDS
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import BatchWriter
@@ -68,9 +70,41 @@ def count_users(users: DataFrame, snapshots: BatchWriter, checkpoint: str, *, tr
     return start(joint_counts(users), write, checkpoint, mode="complete", trigger=trigger)
 
 
-def drop_resent(records: DataFrame, keys: list[str], within: str, time: str = "timestamp") -> DataFrame:
-    """Drop records a producer sent again within ``within`` of the first one; state is bounded by it."""
-    return records.withWatermark(time, within).dropDuplicatesWithinWatermark(keys)
+def drop_resent(
+    records: DataFrame,
+    keys: list[str],
+    within: str,
+    kept: BatchTable,
+    checkpoint: str,
+    *,
+    time: str = "timestamp",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Records to ``kept``, without those a producer sent again within ``within`` of one that is there.
+
+    The rows kept so far are the state, and only those within reach of a batch's times are read. Copies
+    fold before the shuffle, so a record that makes up a third of a batch is no hot key, which it would be for
+    ``dropDuplicatesWithinWatermark``; and a late record is kept where a watermark would lose it. As with
+    that operator, one micro-batch keeps one row per key, here the earliest.
+    """
+    reach = F.expr(f"interval {within}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            first = earliest_per_key(batch, keys, time)
+            span = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"))
+            near = kept.before(batch_id).filter(
+                F.col(time).between(span.select(F.col("low") - reach).scalar(), span.select(F.col("high") + reach).scalar())
+            )
+            seen = near.select(*(F.col(key).alias(f"_{key}") for key in keys), F.col(time).alias("_time"))
+            same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys))
+            close = F.col(time).between(F.col("_time") - reach, F.col("_time") + reach)
+            kept.replace(first.join(seen, same & close, "left_anti"), batch_id)
+        finally:
+            batch.unpersist()
+
+    return start(records, write, checkpoint, trigger=trigger)
 
 
 def constrain_events(

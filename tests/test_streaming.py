@@ -3,11 +3,12 @@ import os
 
 import pytest
 from helpers import event, messages, response, sequential
+from pyspark.sql import functions as F
 
 from rollcall.functions import position_id
 from rollcall.operators.codec import parse_messages, records
 from rollcall.operators.counts import chart_totals
-from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, STORED
+from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
 from rollcall.sources.messages import file_messages
@@ -116,18 +117,47 @@ def test_counts_follow_the_stream(spark, tmp_path):
     assert snapshots.newest().filter("k = 'late'").count() == 1
 
 
+class _ResentJob:
+    def __init__(self, spark, place):
+        self.spark, self.topic, self.checkpoint = spark, f"{place}/topic", f"{place}/checkpoint"
+        self.kept = BatchTable(spark, f"{place}/kept", "email string, offset long, timestamp timestamp")
+        self.sent = 0
+
+    def send(self, *records):
+        """Each record is (email, minute of arrival); one call is one micro-batch."""
+        values = [event(email=email) if email else event(email=None) for email, _ in records]
+        minutes = self.spark.createDataFrame([(self.sent + i, m) for i, (_, m) in enumerate(records)], "offset long, m int")
+        stamped = messages(self.spark, values, self.sent).drop("timestamp").join(minutes, "offset")
+        stamped = stamped.withColumn("timestamp", F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, m)"))
+        stamped.select(*MESSAGE.names).coalesce(1).write.mode("append").parquet(self.topic)
+        self.sent += len(records)
+
+    def run(self):
+        keep = ("offset", "timestamp")
+        parsed = parse_messages(file_messages(self.spark, self.topic, max_files_per_trigger=1), keep=keep)
+        received = records(parsed, keep=keep).select("email", *keep)
+        jobs.drop_resent(received, ["email"], "1 hour", self.kept, self.checkpoint).awaitTermination()
+        return sorted((row.email, row.offset) for row in self.kept.rows().filter("email is not null").collect())
+
+
 def test_resent_records_are_dropped(spark, tmp_path):
-    place = str(tmp_path)
-    values = [event(email=f"e{i}") for i in range(4)]
-    stamped = messages(spark, values + values).selectExpr(
-        "key", "value", "topic", "partition", "offset", "timestamp'2024-01-01 00:00:00' as timestamp", "timestampType"
-    )
-    stamped.repartition(3).write.parquet(f"{place}/topic")
-    parsed = parse_messages(file_messages(spark, f"{place}/topic"), keep=("timestamp",))
-    kept = jobs.drop_resent(records(parsed, keep=("timestamp",)), ["email", "registered_date"], "1 hour")
-    out = BatchTable(spark, f"{place}/kept", "email string")
-    jobs.start(kept, out.replace, f"{place}/checkpoint").awaitTermination()
-    assert sorted(row.email for row in out.rows().collect()) == ["e0", "e1", "e2", "e3"]
+    job = _ResentJob(spark, str(tmp_path))
+    job.send(("a", 0), ("b", 5), ("a", 1))
+    assert job.run() == [("a", 0), ("b", 1)]
+    # Within an hour of the first copy, then beyond it; a late record with a new key is not lost.
+    job.send(("a", 60), ("b", 66), ("c", 0))
+    assert job.run() == [("a", 0), ("b", 1), ("b", 4), ("c", 5)]
+    _lose_last_commit(job.checkpoint)
+    assert job.run() == [("a", 0), ("b", 1), ("b", 4), ("c", 5)]
+
+
+def test_resent_records_without_key_are_copies_too(spark, tmp_path):
+    job = _ResentJob(spark, str(tmp_path))
+    job.send((None, 0), (None, 1))
+    job.run()
+    job.send((None, 2))
+    job.run()
+    assert job.kept.rows().count() == 1
 
 
 def _pairs(seed, size=30):

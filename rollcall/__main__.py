@@ -32,9 +32,10 @@ def _trigger(args) -> dict:
 
 
 def _messages(spark: SparkSession, args) -> DataFrame:
+    bound = {"max_per_trigger": args.max_per_trigger} if args.max_per_trigger else {}
     if args.servers:
-        return kafka_messages(spark, args.servers, args.topic, max_per_trigger=args.max_per_trigger)
-    return file_messages(spark, args.source, max_files_per_trigger=args.max_per_trigger)
+        return kafka_messages(spark, args.servers, args.topic, **bound)
+    return file_messages(spark, args.source, **bound)
 
 
 def stream(spark: SparkSession, args) -> None:

@@ -71,7 +71,7 @@ def winners(
 
     spark = rows.sparkSession
     accepted = f"{workdir}/accepted"
-    edges.limit(0).write.parquet(f"{accepted}/round=0")
+    spark.createDataFrame([], edges.schema).write.parquet(f"{accepted}/round=0")
     done = 0
     while left:
         done += 1

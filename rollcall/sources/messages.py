@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rollcall.schemas import MESSAGE
 
+# Bounds of a micro-batch. A job holds one batch at a time, so without them the first batch after a start
+# from the earliest offset would be the whole topic.
+MAX_OFFSETS = 50_000_000
+MAX_FILES = 1_000
+
 
 def kafka_messages(
     spark: SparkSession,
@@ -13,27 +18,20 @@ def kafka_messages(
     topic: str,
     *,
     starting_offsets: str = "earliest",
-    max_per_trigger: int | None = None,
+    max_per_trigger: int = MAX_OFFSETS,
     **options,
 ) -> DataFrame:
-    """A Kafka topic from its earliest offset. Needs the spark-sql-kafka package of the running Spark.
-
-    ``max_per_trigger`` bounds a micro-batch; without it the first one holds the whole topic.
-    """
+    """A Kafka topic from its earliest offset. Needs the spark-sql-kafka package of the running Spark."""
     settings = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
+        "maxOffsetsPerTrigger": str(max_per_trigger),
         **options,
     }
-    if max_per_trigger is not None:
-        settings["maxOffsetsPerTrigger"] = str(max_per_trigger)
     return spark.readStream.format("kafka").options(**settings).load()
 
 
-def file_messages(spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None) -> DataFrame:
+def file_messages(spark: SparkSession, path: str, *, max_per_trigger: int = MAX_FILES) -> DataFrame:
     """A topic kept as Parquet files with the columns of the Kafka source."""
-    reader = spark.readStream.schema(MESSAGE)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(path)
+    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", max_per_trigger).parquet(path)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -18,11 +19,14 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get(SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {SETTING} to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="rollcall-")
-    spark.conf.set(SETTING, folder)
-    return folder
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"{application}-")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

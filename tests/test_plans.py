@@ -4,6 +4,7 @@ import re
 
 import pytest
 from helpers import plan
+from pyspark.sql import functions as F
 
 from rollcall.plans.catalogue import QUERIES
 from rollcall.plans.users import users
@@ -60,3 +61,32 @@ def test_large_dimensions_are_not_broadcast(spark, tables):
         assert abs(sum(row.share for row in shares.collect()) - 1) < 1e-4
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_customer_with_a_third_of_the_orders_is_split(spark, tables, tmp_path):
+    """The join behind the users at a size where nothing is broadcast: Spark's skew join splits the hot customer."""
+    orders = spark.read.parquet(f"{tables}/orders.parquet")
+    many = orders.crossJoin(spark.range(100)).select(
+        (F.col("o_orderkey") * 100 + F.col("id")).alias("o_orderkey"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("o_custkey")).cast("bigint").alias("o_custkey"),
+        "o_orderdate",
+    )
+    for name in ("customer", "nation", "region"):
+        spark.read.parquet(f"{tables}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    many.repartition(8).write.parquet(f"{tmp_path}/orders.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        counted = count_by_country(users(spark, str(tmp_path)))
+        assert sum(row.total for row in counted.collect()) == orders.count() * 100
+        assert "skewed" in plan(counted)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

@@ -39,7 +39,7 @@ class _StoreJob:
         self.bad = BatchTable(spark, f"{place}/bad", UNREADABLE)
 
     def run(self, files=1):
-        stream = file_messages(self.spark, self.topic, max_files_per_trigger=files)
+        stream = file_messages(self.spark, self.topic, max_per_trigger=files)
         jobs.store_messages(stream, self.store.replace, self.bad.replace, self.checkpoint).awaitTermination()
 
     def stored(self):
@@ -102,7 +102,7 @@ def test_counts_follow_the_stream(spark, tmp_path):
     snapshots = BatchTable(spark, f"{place}/totals", SNAPSHOT)
 
     def run():
-        stream = file_messages(spark, f"{place}/topic", max_files_per_trigger=1)
+        stream = file_messages(spark, f"{place}/topic", max_per_trigger=1)
         users = records(parse_messages(stream, keep=()), keep=())
         jobs.count_users(users, snapshots.replace, f"{place}/checkpoint").awaitTermination()
 
@@ -134,7 +134,7 @@ class _ResentJob:
 
     def run(self):
         keep = ("offset", "timestamp")
-        parsed = parse_messages(file_messages(self.spark, self.topic, max_files_per_trigger=1), keep=keep)
+        parsed = parse_messages(file_messages(self.spark, self.topic, max_per_trigger=1), keep=keep)
         received = records(parsed, keep=keep).select("email", *keep)
         jobs.drop_resent(received, ["email"], "1 hour", self.kept, self.checkpoint).awaitTermination()
         return sorted((row.email, row.offset) for row in self.kept.rows().filter("email is not null").collect())
@@ -177,7 +177,7 @@ def test_constrained_table_across_batches_and_a_replay(spark, tmp_path):
     rejected = BatchTable(spark, f"{place}/rejected", REJECTED)
 
     def run():
-        stream = file_messages(spark, f"{place}/topic", max_files_per_trigger=1)
+        stream = file_messages(spark, f"{place}/topic", max_per_trigger=1)
         topic_rows = stream.withColumn("id", position_id())
         events = records(parse_messages(topic_rows, EVENT, keep=("id", "offset")), keep=("id", "offset"))
         jobs.constrain_events(

@@ -16,7 +16,7 @@ from rollcall.schemas import CONSTRAINED, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
 from rollcall.sources.messages import file_messages, kafka_messages
-from rollcall.sources.responses import responses_from_files, responses_from_messages
+from rollcall.sources.responses import responses_from_files, responses_from_messages, responses_from_table
 from rollcall.sources.tables import load_users
 from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, UNREADABLE, UNUSABLE
@@ -46,13 +46,20 @@ def stream(spark: SparkSession, args) -> None:
         store = BatchTable(spark, f"{args.out}/users", STORED).replace
     checkpoint = f"{args.out}/checkpoint"
     jobs.store_messages(
-        _messages(spark, args), store, unreadable, checkpoint, trigger=_trigger(args)
+        _messages(spark, args),
+        store,
+        unreadable,
+        checkpoint,
+        include_unreadable=args.include_unreadable,
+        trigger=_trigger(args),
     ).awaitTermination()
 
 
 def ingest(spark: SparkSession, args) -> None:
     if args.landing:
         responses = responses_from_files(spark, args.landing, streaming=True)
+    elif args.landing_table:
+        responses = responses_from_table(spark, args.landing_table, streaming=True)
     else:
         responses = responses_from_messages(_messages(spark, args))
     jobs.ingest_responses(
@@ -89,8 +96,11 @@ def main(arguments: list[str] | None = None, spark: SparkSession | None = None)
         command.add_argument("--source", help="folder of message files, instead of --servers")
         command.add_argument("--max-per-trigger", type=int, help="bound of a micro-batch: offsets, or files")
         command.add_argument("--every", help="keep running and start a batch this often, e.g. '10 seconds'")
-        if run is ingest:
-            command.add_argument("--landing", help="folder of response files")
+        if run is stream:
+            command.add_argument("--include-unreadable", action="store_true", help="store them as rows of NULLs too")
+        else:
+            command.add_argument("--landing", help="folder of response files, one response each")
+            command.add_argument("--landing-table", help="folder of Parquet files with a response column")
     args = parser.parse_args(arguments)
     args.run(spark or SparkSession.builder.appName("rollcall").getOrCreate(), args)
 

@@ -26,6 +26,8 @@ def parse_messages(
 ) -> DataFrame:
     """Add ``record`` (the JSON under ``schema`` plus ``_corrupt``) and ``reason`` (NULL when readable).
 
+    ``value`` stays with the unreadable messages only; elsewhere the record says it all.
+
     Parsing is permissive, as a stream must be: one bad message never ends the job. Missing fields are
     NULL, unknown ones are ignored, and text after the closing brace is ignored.
     """
@@ -43,7 +45,8 @@ def parse_messages(
         .when(~F.is_valid_utf8(text), "invalid_utf8")
         .when(record.isNull() | record[_CORRUPT].isNotNull(), "malformed_json")
     )
-    return parsed.withColumn("reason", reason)
+    raw = F.when(F.col("reason").isNotNull(), F.col("value"))
+    return parsed.withColumn("reason", reason).withColumn("value", raw)
 
 
 def records(parsed: DataFrame, keep: tuple[str, ...] = SOURCE_FIELDS, include_unreadable: bool = False) -> DataFrame:

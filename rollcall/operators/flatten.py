@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +43,8 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
         user.alias("user"),
         (body.isNull() | body[_CORRUPT].isNotNull()).alias("_malformed"),
     )
-    missing = F.concat_ws(",", *(F.when(_is_missing(path, column), F.lit(path)) for path in USER_PATHS))
-    any_null = reduce(Column.__or__, (_at(path).isNull() for path in USER_PATHS))
+    any_null = F.size(F.array_compact(F.array(*(_at(path) for path in USER_PATHS)))) < len(USER_PATHS)
+    missing = _missing_paths(column)
     reason = (
         F.when(F.col("_malformed"), "malformed_response")
         .when(F.col("user").isNull(), "no_result")
@@ -90,8 +88,21 @@ def _at(path: str) -> Column:
     return F.col(f"user.{path}")
 
 
-def _is_missing(path: str, column: str) -> Column:
-    """True if the first result has no such key. The text is searched again only where the value is NULL."""
-    parent, _, name = f"$.results[0].{path}".rpartition(".")
-    keys = F.json_object_keys(F.get_json_object(column, parent))
-    return F.when(_at(path).isNull(), ~F.coalesce(F.array_contains(keys, name), F.lit(False)))
+def _missing_paths(column: str) -> Column:
+    """The paths the first result lacks. The text is searched again only for values that are NULL.
+
+    One expression over an array: spelled out per path, the generated code grows too large to be compiled.
+    """
+    parts = [f"$.results[0].{path}".rpartition(".") for path in USER_PATHS]
+    places = F.array(
+        *(
+            F.struct(F.lit(path).alias("path"), F.lit(parent).alias("parent"), F.lit(name).alias("name"), _at(path).isNull().alias("empty"))
+            for path, (parent, _, name) in zip(USER_PATHS, parts)
+        )
+    )
+
+    def is_missing(place: Column) -> Column:
+        keys = F.json_object_keys(F.call_function("get_json_object", F.col(column), place["parent"]))
+        return place["empty"] & ~F.coalesce(F.array_contains(keys, place["name"]), F.lit(False))
+
+    return F.array_join(F.transform(F.filter(places, is_missing), lambda place: place["path"]), ",")

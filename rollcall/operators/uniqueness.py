@@ -151,7 +151,7 @@ def _without_taken_key(rows: DataFrame, taken: DataFrame, key: str, order: str,
     """
     if hot is None:
         return rows.join(taken, key, "left_anti")
-    hot_taken = taken.join(F.broadcast(hot), key, "left_semi")
+    hot_taken = taken.join(F.broadcast(hot), key, "left_semi").distinct()
     salt = F.when(F.col("_hot"), F.xxhash64(order)).otherwise(F.lit(0).cast("bigint"))
     return (
         rows.join(F.broadcast(hot_taken), key, "left_anti")

@@ -17,8 +17,19 @@ def responses_from_files(spark: SparkSession, path: str, *, streaming: bool = Fa
     return files.select(stable_id(file).alias("id"), F.col("value").alias("response"), arrival.alias("arrival"))
 
 
+def responses_from_table(spark: SparkSession, path: str, *, streaming: bool = False, **options) -> DataFrame:
+    """Many responses per Parquet file, in a ``response`` column, ordered by (modification time, file, row)."""
+    reader = spark.readStream.schema("response string") if streaming else spark.read.schema("response string")
+    files = reader.options(**options).parquet(path)
+    file, row = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    arrival = F.struct(
+        F.col("_metadata.file_modification_time").alias("timestamp"), file.alias("file"), row.alias("row")
+    )
+    return files.select(stable_id(file, row).alias("id"), "response", arrival.alias("arrival"))
+
+
 def responses_from_messages(messages: DataFrame) -> DataFrame:
-    """Responses a fetcher published as messages: better than files when there are many of them."""
+    """Responses a fetcher published as messages."""
     return messages.select(
         position_id().alias("id"),
         F.col("value").cast("string").alias("response"),

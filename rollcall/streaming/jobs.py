@@ -38,10 +38,18 @@ def start(
 
 
 def store_messages(
-    messages: DataFrame, store: BatchWriter, unreadable: BatchWriter, checkpoint: str, *, trigger: dict | None = None
+    messages: DataFrame,
+    store: BatchWriter,
+    unreadable: BatchWriter,
+    checkpoint: str,
+    *,
+    include_unreadable: bool = False,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Messages to stored users; messages that cannot be read go to ``unreadable`` with the reason.
 
+    With ``include_unreadable`` they are stored as rows of NULLs as well, and so are counted.
+
     The stream has no shuffle: a micro-batch has the parallelism of its source partitions.
     """
     parsed = parse_messages(messages.withColumn("id", position_id()), keep=("id", *SOURCE_FIELDS))
@@ -50,7 +58,7 @@ def store_messages(
         # Parsed once for both outputs. A lost block is read again from the source, with the same ids.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            store(records(batch, keep=("id",)), batch_id)
+            store(records(batch, keep=("id",), include_unreadable=include_unreadable), batch_id)
             unreadable(quarantine(batch), batch_id)
         finally:
             batch.unpersist()

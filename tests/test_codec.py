@@ -92,6 +92,7 @@ def test_no_python_worker_and_one_parse(spark):
         text = plan(output(parse_messages(topic, DECODED, keep=("id",)), keep=("id",)))
         assert "EvalPython" not in text and "InPandas" not in text
         assert "Filter" not in text
+        assert "Exchange" not in text
         # explain repeats an operator's input and output, but only the Project that parses names from_json
         assert text.count("from_json(") == 1
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from rollcall.functions import position_id
 from rollcall.operators.codec import parse_messages, records
-from rollcall.operators.counts import chart_totals
+from rollcall.operators.counts import chart_totals, count_by_country
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
 from rollcall.sources.messages import file_messages
-from rollcall.sources.responses import responses_from_files, responses_from_messages
+from rollcall.sources.responses import responses_from_files, responses_from_messages, responses_from_table
 from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE, UNUSABLE
 
@@ -63,6 +63,18 @@ def test_stream_equals_batch_over_several_batches(spark, job):
     assert job.bad.rows().count() == 6
 
 
+def test_unreadable_messages_can_be_stored_and_counted(spark, job):
+    _publish(spark, job.topic, [event(country="c"), "{bad", None])
+    stream = file_messages(spark, job.topic)
+    jobs.store_messages(
+        stream, job.store.replace, job.bad.replace, job.checkpoint, include_unreadable=True
+    ).awaitTermination()
+    counted = {row.country: row.total for row in count_by_country(job.store.rows()).collect()}
+    assert counted == {"c": 1, None: 2}
+    assert job.store.rows().filter("id is null").count() == 0
+    assert job.bad.rows().count() == 2
+
+
 def test_restart_adds_nothing_and_new_files_are_found(spark, job):
     _publish(spark, job.topic, [event(email=str(i)) for i in range(5)])
     job.run()
@@ -239,6 +251,16 @@ def test_ingest_from_files_publishes_every_event(spark, tmp_path):
     assert events.count() == 4
 
 
+def test_ingest_from_a_landed_table(spark, tmp_path):
+    place = str(tmp_path)
+    texts = spark.createDataFrame([(json.dumps(body),) for body in BODIES], "response string")
+    texts.coalesce(1).write.parquet(f"{place}/landing")
+    responses = responses_from_table(spark, f"{place}/landing", streaming=True)
+    accepted, rejected, unusable, published = _ingest(spark, place, responses)
+    assert {row.email for row in accepted.rows().collect()} == {"ada@example.com", "d@example.com"}
+    assert (rejected.rows().count(), unusable.rows().count(), published.count()) == (2, 1, 4)
+
+
 def test_ingest_from_messages(spark, tmp_path):
     place = str(tmp_path)
     _publish(spark, f"{place}/topic", BODIES)

@@ -10,25 +10,25 @@ from rollcall.schemas import RESPONSE_DDL
 
 _CORRUPT = "_corrupt"
 
-# Where a user record keeps each part of an event. A record without one of them is unusable;
-# one that has it as null is not, the NOT NULL check decides about it later.
-USER_PATHS = (
-    "name.first",
-    "name.last",
-    "gender",
-    "location.street.number",
-    "location.street.name",
-    "location.city",
-    "location.state",
-    "location.country",
-    "location.postcode",
-    "email",
-    "login.username",
-    "dob.date",
-    "registered.date",
-    "phone",
-    "picture.medium",
-)
+# Where a user record keeps each field of an event; the address is made of two parts. A record
+# without one of these keys is unusable. One that has it as null is not, the NOT NULL check decides about it.
+FIELD_PATHS = {
+    "first_name": "name.first",
+    "last_name": "name.last",
+    "gender": "gender",
+    "address": ("location.street.number", "location.street.name"),
+    "city": "location.city",
+    "state": "location.state",
+    "country": "location.country",
+    "post_code": "location.postcode",
+    "email": "email",
+    "username": "login.username",
+    "dob": "dob.date",
+    "registered_date": "registered.date",
+    "phone": "phone",
+    "picture": "picture.medium",
+}
+USER_PATHS = [path for paths in FIELD_PATHS.values() for path in ([paths] if isinstance(paths, str) else paths)]
 
 
 def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame:
@@ -67,20 +67,8 @@ def unusable_responses(parsed: DataFrame, keep: tuple[str, ...] = ("response",))
 
 def event_columns() -> list[Column]:
     return [
-        _at("name.first").alias("first_name"),
-        _at("name.last").alias("last_name"),
-        _at("gender").alias("gender"),
-        street_address(_at("location.street.number"), _at("location.street.name")).alias("address"),
-        _at("location.city").alias("city"),
-        _at("location.state").alias("state"),
-        _at("location.country").alias("country"),
-        _at("location.postcode").alias("post_code"),
-        _at("email").alias("email"),
-        _at("login.username").alias("username"),
-        _at("dob.date").alias("dob"),
-        _at("registered.date").alias("registered_date"),
-        _at("phone").alias("phone"),
-        _at("picture.medium").alias("picture"),
+        (_at(paths) if isinstance(paths, str) else street_address(*map(_at, paths))).alias(field)
+        for field, paths in FIELD_PATHS.items()
     ]
 
 

@@ -12,13 +12,17 @@ rounds grows with the logarithm of the rows.
 
 from __future__ import annotations
 
+import logging
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-# A key is hot if it holds at least this many rows ...
+log = logging.getLogger(__name__)
+
+# A key with this many rows is hot. With more than HOT_ROWS * MAX_HOT_KEYS rows in all, the bound rises to
+# rows / MAX_HOT_KEYS, so that there are never more than MAX_HOT_KEYS hot keys.
 HOT_ROWS = 1_000_000
-# ... or its share of the rows exceeds one in this many, so there are never more hot keys than this.
 MAX_HOT_KEYS = 100_000
 # A remainder this small may be finished in one task once this many rounds have run.
 TAIL_ROWS = 200_000
@@ -52,8 +56,9 @@ def winners(
     """The ``order`` values of the accepted rows, as a table in ``workdir``.
 
     ``order`` must be unique per row. A row with a NULL key is never accepted. ``taken`` holds rows accepted
-    earlier under the same two constraints, whose keys are gone. ``workdir`` is a fresh folder every executor reaches: each round starts
-    from tables written there, so a lost executor costs one round's work at most and the plan never grows.
+    earlier under the same two constraints, whose keys are gone. ``workdir`` is a fresh folder every executor
+    reaches, needed until the result has been read: each round starts from tables written there, so a lost
+    executor costs one round's work at most and the plan never grows.
     """
     narrow = rows.select(first_key, second_key, order).dropna(subset=[first_key, second_key])
     # Of rows with the same two keys only the earliest can win. Copies fold before the shuffle.
@@ -75,6 +80,7 @@ def winners(
     done = 0
     while left:
         done += 1
+        log.info("round %d: %d rows undecided", done, left)
         if max_rounds is not None and done > max_rounds:
             raise RoundLimitError(f"{left} rows undecided after {max_rounds} rounds")
         out = f"{accepted}/round={done}"

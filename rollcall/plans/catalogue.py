@@ -130,29 +130,34 @@ def top_countries(spark: SparkSession, folder: str) -> DataFrame:
     return charts.top_countries(given.users(spark, folder), 5)
 
 
-def _store(spark: SparkSession, folder: str, purpose: str, runs: int) -> tuple[DataFrame, DataFrame]:
-    place = new_folder(spark, purpose)
-    topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
+def _store(spark: SparkSession, place: str, messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     store = BatchTable(spark, f"{place}/users", STORED)
     unreadable = BatchTable(spark, f"{place}/unreadable", UNREADABLE)
-    for _ in range(runs):
-        messages = file_messages(spark, topic)
-        jobs.store_messages(messages, store.replace, unreadable.replace, f"{place}/checkpoint").awaitTermination()
+    jobs.store_messages(messages, store.replace, unreadable.replace, f"{place}/checkpoint").awaitTermination()
     return store.rows(), unreadable.rows()
 
 
 def stream_decode(spark: SparkSession, folder: str) -> DataFrame:
-    return _store(spark, folder, "stream", runs=1)[0]
+    """From a published topic, as a consumer sees it."""
+    place = new_folder(spark, "stream")
+    topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
+    stored, _ = _store(spark, place, file_messages(spark, topic))
+    return stored
 
 
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    bad = _store(spark, folder, "stream-quarantine", runs=1)[1]
+    messages = given.messages(given.users_stream(spark, folder), damaged=True)
+    _, bad = _store(spark, new_folder(spark, "stream-quarantine"), messages)
     return bad.select("topic", "partition", "offset", F.hex("value").alias("value_hex"), "reason")
 
 
 def stream_sink_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The job run twice on one checkpoint, as a scheduler's retry would."""
-    return _store(spark, folder, "stream-twice", runs=2)[0]
+    place = new_folder(spark, "stream-twice")
+    for _ in range(2):
+        messages = given.messages(given.users_stream(spark, folder), damaged=True)
+        stored, _ = _store(spark, place, messages)
+    return stored
 
 
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,8 +181,10 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_constrained(spark: SparkSession, folder: str) -> DataFrame:
+    """One micro-batch: between batches the earlier one wins, and here the order is that of the whole table."""
     place = new_folder(spark, "stream-constrained")
-    messages = given.messages(given.users_stream(spark, folder)).withColumn("id", position_id())
+    users = given.users_stream(spark, folder, max_per_trigger=None)
+    messages = given.messages(users).withColumn("id", position_id())
     events = codec.records(codec.parse_messages(messages, EVENT, keep=("id", "user_key")), keep=("id", "user_key"))
     accepted = BatchTable(spark, f"{place}/users", CONSTRAINED)
     rejected = BatchTable(spark, f"{place}/rejected", REJECTED)

@@ -18,8 +18,8 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
     return _join_users(spark, folder, table(spark, folder, "orders"))
 
 
-def users_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return _join_users(spark, folder, table_stream(spark, folder, "orders"))
+def users_stream(spark: SparkSession, folder: str, **options) -> DataFrame:
+    return _join_users(spark, folder, table_stream(spark, folder, "orders", **options))
 
 
 def _join_users(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.sources.messages import MAX_FILES
+
 
 def load_users(spark: SparkSession, source_format: str = "parquet", **options) -> DataFrame:
     """The stored users from any batch source: a file format, or a connector such as Cassandra or JDBC.
@@ -17,7 +19,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str, max_per_trigger: int | None = MAX_FILES) -> DataFrame:
     """The table as a stream. The braces make a glob, which takes a file as well as a folder of files."""
-    schema = table(spark, folder, name).schema
-    return spark.readStream.schema(schema).parquet(f"{folder}/{{{name}}}.parquet")
+    reader = spark.readStream.schema(table(spark, folder, name).schema)
+    if max_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_per_trigger)
+    return reader.parquet(f"{folder}/{{{name}}}.parquet")

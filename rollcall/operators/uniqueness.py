@@ -15,7 +15,7 @@ from __future__ import annotations
 import logging
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -158,14 +158,19 @@ def _without_taken_key(rows: DataFrame, taken: DataFrame, key: str, order: str,
     if hot is None:
         return rows.join(taken, key, "left_anti")
     hot_taken = taken.join(F.broadcast(hot), key, "left_semi").distinct()
-    salt = F.when(F.col("_hot"), F.xxhash64(order)).otherwise(F.lit(0).cast("bigint"))
-    return (
+    unsalted = F.lit(0).cast("bigint")
+    salt = F.when(F.col("_hot"), F.xxhash64(order)).otherwise(unsalted)
+
+    def place(salt: Column) -> Column:
+        # One column: as two, the optimizer folds the constant and shuffles on the key alone.
+        return F.struct(F.col(key), salt.alias("salt")).alias("_place")
+
+    spread = (
         rows.join(F.broadcast(hot_taken), key, "left_anti")
         .join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-        .withColumn("_salt", salt)
-        .join(taken.withColumn("_salt", F.lit(0).cast("bigint")), [key, "_salt"], "left_anti")
-        .select(rows.columns)
+        .select(*rows.columns, place(salt))
     )
+    return spread.join(taken.select(place(unsalted)), "_place", "left_anti").select(rows.columns)
 
 
 def _finish_in_one_task(rows: DataFrame, first_key: str, second_key: str, order: str) -> DataFrame:

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from helpers import event, messages, response, sequential
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rollcall.functions import position_id
@@ -11,7 +12,7 @@ from rollcall.operators.counts import chart_totals, count_by_country
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
-from rollcall.sources.messages import file_messages
+from rollcall.sources.messages import file_messages, kafka_messages
 from rollcall.sources.responses import responses_from_files, responses_from_messages, responses_from_table
 from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE, UNUSABLE
@@ -75,6 +76,26 @@ def test_unreadable_messages_can_be_stored_and_counted(spark, job):
     assert job.bad.rows().count() == 2
 
 
+def test_a_running_stream_finds_new_files(spark, job):
+    _publish(spark, job.topic, [event(email="1")])
+    stream = file_messages(spark, job.topic)
+    query = jobs.store_messages(
+        stream, job.store.replace, job.bad.replace, job.checkpoint, trigger={"processingTime": "1 second"}
+    )
+    try:
+        query.processAllAvailable()
+        _publish(spark, job.topic, [event(email="2")], start=1)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert len(job.stored()) == 2
+
+
+def test_a_missing_connector_raises(spark):
+    with pytest.raises(AnalysisException, match="kafka"):
+        kafka_messages(spark, "localhost:9092", "users")
+
+
 def test_restart_adds_nothing_and_new_files_are_found(spark, job):
     _publish(spark, job.topic, [event(email=str(i)) for i in range(5)])
     job.run()

@@ -2,8 +2,9 @@ import random
 
 import pytest
 from helpers import sequential
+from pyspark.sql import functions as F
 
-from rollcall.operators.uniqueness import RoundLimitError, first_wins
+from rollcall.operators.uniqueness import RoundLimitError, _without_taken_key, first_wins
 from rollcall.workspace import new_folder
 
 SCHEMA = "n long, email string, username string"
@@ -92,3 +93,25 @@ def test_struct_order(spark):
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]
     won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"))
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]
+
+
+def test_rows_of_a_hot_key_are_shuffled_apart(spark):
+    """A third of the rows has one key that is not taken: no task of the join may get them all."""
+    rows = spark.range(30_000).select(
+        F.col("id").alias("n"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("e"), F.col("id"))).alias("email"),
+    )
+    hot = spark.createDataFrame([("hot",)], "email string")
+    taken = spark.createDataFrame([("e1",)], "email string")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        kept = _without_taken_key(rows, taken, "email", "n", hot)
+        sizes = [row["count"] for row in kept.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 29_999
+    assert len(sizes) == 4 and max(sizes) < 1.2 * min(sizes)

@@ -24,9 +24,11 @@ log = logging.getLogger(__name__)
 # rows / MAX_HOT_KEYS, so that there are never more than MAX_HOT_KEYS hot keys.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
-# A remainder this small may be finished in one task once this many rounds have run.
-TAIL_ROWS = 200_000
-TAIL_AFTER = 16
+# Mixed data is done after fewer rounds than this. What is left then holds chains, in which every row waits for
+# the one before and a round settles one row of each; so from then on each round also decides the earliest
+# rows, this many, one after the other.
+BLOCK_AFTER = 16
+BLOCK_ROWS = 200_000
 
 
 class RoundLimitError(RuntimeError):
@@ -50,8 +52,8 @@ def winners(
     max_rounds: int | None = None,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
-    tail_rows: int = TAIL_ROWS,
-    tail_after: int = TAIL_AFTER,
+    block_rows: int = BLOCK_ROWS,
+    block_after: int = BLOCK_AFTER,
 ) -> DataFrame:
     """The ``order`` values of the accepted rows, as a table in ``workdir``.
 
@@ -76,21 +78,28 @@ def winners(
 
     spark = rows.sparkSession
     accepted = f"{workdir}/accepted"
-    spark.createDataFrame([], edges.schema).write.parquet(f"{accepted}/round=0")
-    done = 0
-    while left:
-        done += 1
-        log.info("round %d: %d rows undecided", done, left)
-        if max_rounds is not None and done > max_rounds:
-            raise RoundLimitError(f"{left} rows undecided after {max_rounds} rounds")
-        out = f"{accepted}/round={done}"
-        if done > tail_after and left <= tail_rows:
-            _finish_in_one_task(rest.read(), first_key, second_key, order).write.parquet(out)
-            break
-        _earliest_of_both(rest.read(), first_key, second_key, order).write.parquet(out)
+    spark.createDataFrame([], edges.schema).write.parquet(f"{accepted}/step=0")
+    steps = 0
+
+    def settle(chosen: DataFrame) -> int:
+        """Accept the chosen rows; what remains are the rows that share no key with them."""
+        nonlocal steps
+        steps += 1
+        out = f"{accepted}/step={steps}"
+        chosen.write.parquet(out)
         won = spark.read.parquet(out)
         gone = {key: won.select(key) for key in (first_key, second_key)}
-        left = rest.replace(_without_taken(rest.read(), gone, order, hot))
+        return rest.replace(_without_taken(rest.read(), gone, order, hot))
+
+    rounds = 0
+    while left:
+        rounds += 1
+        log.info("round %d: %d rows undecided", rounds, left)
+        if max_rounds is not None and rounds > max_rounds:
+            raise RoundLimitError(f"{left} rows undecided after {max_rounds} rounds")
+        left = settle(_earliest_of_both(rest.read(), first_key, second_key, order))
+        if left and block_rows and rounds >= block_after:
+            left = settle(_in_order(rest.read(), first_key, second_key, order, block_rows))
     return spark.read.parquet(accepted).select(order)
 
 
@@ -173,11 +182,10 @@ def _without_taken_key(rows: DataFrame, taken: DataFrame, key: str, order: str,
     return spread.join(taken.select(place(unsalted)), "_place", "left_anti").select(rows.columns)
 
 
-def _finish_in_one_task(rows: DataFrame, first_key: str, second_key: str, order: str) -> DataFrame:
-    """The rule as written, for a remainder of checked size.
+def _in_order(rows: DataFrame, first_key: str, second_key: str, order: str, size: int) -> DataFrame:
+    """The winners among the earliest ``size`` rows, by the rule as written, in one task.
 
-    A chain of rows that each wait for the one before settles one row per round; without this step it
-    would need as many rounds as it has rows.
+    Rows depend on earlier rows only, so what is decided here is final, however many rows come after.
     """
 
     def in_order(batches):
@@ -192,4 +200,5 @@ def _finish_in_one_task(rows: DataFrame, first_key: str, second_key: str, order:
                 wins.append(free)
             yield batch.filter(pa.array(wins, pa.bool_()))
 
-    return rows.coalesce(1).sortWithinPartitions(order).mapInArrow(in_order, rows.schema)
+    earliest = rows.orderBy(order).limit(size)
+    return earliest.coalesce(1).sortWithinPartitions(order).mapInArrow(in_order, rows.schema)

@@ -43,7 +43,7 @@ def test_rejected_row_reserves_nothing(spark):
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_the_sequential_rule(spark, seed):
     rows = _trials(seed)
-    assert _run(spark, rows, tail_rows=0) == sequential(rows)
+    assert _run(spark, rows, block_rows=0) == sequential(rows)
 
 
 def test_hot_keys_are_spread_and_the_result_is_the_same(spark):
@@ -66,19 +66,24 @@ def test_keys_taken_earlier(spark):
     assert _run(spark, rows, taken=taken, hot_rows=2) == sequential(rows, taken)
 
 
-def test_chain_is_finished_in_one_bounded_task(spark):
+@pytest.mark.parametrize("block_rows", [16, 60, 1000])
+def test_chains_are_decided_block_by_block(spark, block_rows):
     rows = _chain(200)
     expected = sequential(rows)
     assert len(expected) == 100
-    assert _run(spark, rows, tail_after=2) == expected
+    # By rounds alone it takes 100 of them.
+    rounds = 2 + 200 // block_rows
+    assert _run(spark, rows, block_after=1, block_rows=block_rows, max_rounds=rounds) == expected
+
+
+def test_blocks_and_rounds_equal_the_sequential_rule(spark):
+    rows = _trials(21)
+    assert _run(spark, rows, block_after=1, block_rows=50) == sequential(rows)
 
 
 def test_round_limit_raises_instead_of_answering_in_part(spark):
     with pytest.raises(RoundLimitError):
-        _run(spark, _chain(40), max_rounds=3, tail_rows=0)
-    # Beyond the size one task may take, rounds go on to the end.
-    rows = _chain(12)
-    assert _run(spark, rows, tail_after=1, tail_rows=2) == sequential(rows)
+        _run(spark, _chain(40), max_rounds=3, block_rows=0)
 
 
 def test_empty_and_null_keys(spark):
@@ -89,7 +94,7 @@ def test_empty_and_null_keys(spark):
 def test_struct_order(spark):
     rows = spark.createDataFrame([(1, 0, "a", "x"), (0, 5, "a", "y"), (0, 6, "b", "x")], "p int, o int, email string, username string")
     ordered = rows.selectExpr("struct(p, o) as at", "email", "username")
-    won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"), tail_after=0)
+    won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"), block_after=1, block_rows=1)
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]
     won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"))
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]

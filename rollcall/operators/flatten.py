@@ -84,7 +84,12 @@ def _missing_paths(column: str) -> Column:
     parts = [f"$.results[0].{path}".rpartition(".") for path in USER_PATHS]
     places = F.array(
         *(
-            F.struct(F.lit(path).alias("path"), F.lit(parent).alias("parent"), F.lit(name).alias("name"), _at(path).isNull().alias("empty"))
+            F.struct(
+                F.lit(path).alias("path"),
+                F.lit(parent).alias("parent"),
+                F.lit(name).alias("name"),
+                _at(path).isNull().alias("empty"),
+            )
             for path, (parent, _, name) in zip(USER_PATHS, parts)
         )
     )

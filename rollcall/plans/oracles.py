@@ -145,7 +145,8 @@ from damaged where not bad""",
         """select user_key, try_cast(replace(dob, 'Z', '') as timestamp) as dob,
  try_cast(replace(registered_date, 'Z', '') as timestamp) as registered_date from users"""
     ),
-    "unique_first_wins": "with recursive e as (select event_id, user_id, cast(json_extract_string(props, '$.k') as int) as k from events),"
+    "unique_first_wins": """with recursive e as (
+ select event_id, user_id, cast(json_extract_string(props, '$.k') as int) as k from events),"""
     + _sequential("e", "event_id", "user_id", "k", "bigint", "int")
     + "\nselect e.* from e join s on e.event_id = s.won",
     "constrained_users": _with_users(
@@ -173,7 +174,7 @@ from checked left join s on user_key = s.won where s.won is null""",
     "distinct_countries": _with_users("select distinct country from users where country is not null"),
     "country_match": _with_users(
         """select country, count(*) as total,
- country in (select n_name from nation join supplier on n_nationkey = s_nationkey) as matched
+ country in (select n_name from nation join region on n_regionkey = r_regionkey where r_name <> 'AFRICA') as matched
 from users group by country"""
     ),
     "top_countries": _with_users(

@@ -101,10 +101,9 @@ def drop_resent(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             first = earliest_per_key(batch, keys, time)
-            span = batch.agg(F.min(time).alias("low"), F.max(time).alias("high"))
-            near = kept.before(batch_id).filter(
-                F.col(time).between(span.select(F.col("low") - reach).scalar(), span.select(F.col("high") + reach).scalar())
-            )
+            span = batch.agg((F.min(time) - reach).alias("low"), (F.max(time) + reach).alias("high"))
+            low, high = span.select("low").scalar(), span.select("high").scalar()
+            near = kept.before(batch_id).filter(F.col(time).between(low, high))
             seen = near.select(*(F.col(key).alias(f"_{key}") for key in keys), F.col(time).alias("_time"))
             same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys))
             close = F.col(time).between(F.col("_time") - reach, F.col("_time") + reach)

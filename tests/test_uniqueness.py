@@ -92,7 +92,8 @@ def test_empty_and_null_keys(spark):
 
 
 def test_struct_order(spark):
-    rows = spark.createDataFrame([(1, 0, "a", "x"), (0, 5, "a", "y"), (0, 6, "b", "x")], "p int, o int, email string, username string")
+    given = [(1, 0, "a", "x"), (0, 5, "a", "y"), (0, 6, "b", "x")]
+    rows = spark.createDataFrame(given, "p int, o int, email string, username string")
     ordered = rows.selectExpr("struct(p, o) as at", "email", "username")
     won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"), block_after=1, block_rows=1)
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]

@@ -15,7 +15,7 @@ from __future__ import annotations
 import logging
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 log = logging.getLogger(__name__)
@@ -73,23 +73,19 @@ def winners(
         bound = max(hot_rows, -(-left // max_hot_keys))
         hot = {key: _hot_keys(rest, key, bound) for key in (first_key, second_key)}
     if taken is not None:
-        gone = {key: _taken_keys(rest.read(), taken, key) for key in (first_key, second_key)}
-        left = rest.replace(_without_taken(rest.read(), gone, order, hot))
+        gone = {key: _taken_keys(rest.rows, taken, key) for key in (first_key, second_key)}
+        left = rest.replace(_without_taken(rest.rows, gone, order, hot))
 
-    spark = rows.sparkSession
-    accepted = f"{workdir}/accepted"
-    spark.createDataFrame([], edges.schema).write.parquet(f"{accepted}/step=0")
+    rest.written(rows.sparkSession.createDataFrame([], edges.schema), "accepted/step=0")
     steps = 0
 
     def settle(chosen: DataFrame) -> int:
         """Accept the chosen rows; what remains are the rows that share no key with them."""
         nonlocal steps
         steps += 1
-        out = f"{accepted}/step={steps}"
-        chosen.write.parquet(out)
-        won = spark.read.parquet(out)
+        won = rest.written(chosen, f"accepted/step={steps}")
         gone = {key: won.select(key) for key in (first_key, second_key)}
-        return rest.replace(_without_taken(rest.read(), gone, order, hot))
+        return rest.replace(_without_taken(rest.rows, gone, order, hot))
 
     rounds = 0
     while left:
@@ -97,37 +93,29 @@ def winners(
         log.info("round %d: %d rows undecided", rounds, left)
         if max_rounds is not None and rounds > max_rounds:
             raise RoundLimitError(f"{left} rows undecided after {max_rounds} rounds")
-        left = settle(_earliest_of_both(rest.read(), first_key, second_key, order))
+        left = settle(_earliest_of_both(rest.rows, first_key, second_key, order))
         if left and block_rows and rounds >= block_after:
-            left = settle(_in_order(rest.read(), first_key, second_key, order, block_rows))
-    return spark.read.parquet(accepted).select(order)
+            left = settle(_in_order(rest.rows, first_key, second_key, order, block_rows))
+    return rows.sparkSession.read.schema(edges.schema).parquet(f"{workdir}/accepted").select(order)
 
 
 class _Remainder:
     """The undecided rows as a table: written to one of two folders in turn, read from the other."""
 
-    def __init__(self, spark, workdir: str):
+    def __init__(self, spark: SparkSession, workdir: str):
         self._spark = spark
         self._workdir = workdir
         self._turn = 0
 
     def replace(self, rows: DataFrame) -> int:
-        seen = Observation()
         self._turn += 1
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(self._path())
-        return seen.get["n"]
+        self.rows = self.written(rows, f"rest-{self._turn % 2}")
+        return self.rows.count()
 
-    def read(self) -> DataFrame:
-        return self._spark.read.parquet(self._path())
-
-    def write_beside(self, rows: DataFrame, name: str) -> tuple[DataFrame, int]:
-        seen = Observation()
+    def written(self, rows: DataFrame, name: str) -> DataFrame:
         path = f"{self._workdir}/{name}"
-        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
-        return self._spark.read.parquet(path), seen.get["n"]
-
-    def _path(self) -> str:
-        return f"{self._workdir}/rest-{self._turn % 2}"
+        rows.write.mode("overwrite").parquet(path)
+        return self._spark.read.schema(rows.schema).parquet(path)
 
 
 def _earliest_of_both(rows: DataFrame, first_key: str, second_key: str, order: str) -> DataFrame:
@@ -139,9 +127,9 @@ def _earliest_of_both(rows: DataFrame, first_key: str, second_key: str, order: s
 
 def _hot_keys(rest: _Remainder, key: str, bound: int) -> DataFrame | None:
     """The keys with at least ``bound`` rows: at most rows / bound of them, hence safe to broadcast."""
-    counted = rest.read().groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    hot, found = rest.write_beside(counted.filter(F.col("n") >= bound).select(key), f"hot-{key}")
-    return hot if found else None
+    counted = rest.rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    hot = rest.written(counted.filter(F.col("n") >= bound).select(key), f"hot-{key}")
+    return None if hot.isEmpty() else hot
 
 
 def _taken_keys(rows: DataFrame, taken: DataFrame, key: str) -> DataFrame:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,23 +10,13 @@ def latest_per_key(rows: DataFrame, key: str, order: str) -> DataFrame:
     """One row per key, the one with the highest ``order``.
 
     Of rows with equal ``order`` the greater one by its other columns stands, so that a replay decides alike.
-    """
-    return _one_per_key(rows, [key], order, F.max)
-
-
-def earliest_per_key(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """One row per combination of keys, the one with the lowest ``order``."""
-    return _one_per_key(rows, keys, order, F.min)
-
-
-def _one_per_key(rows: DataFrame, keys: list[str], order: str, pick: Callable[[Column], Column]) -> DataFrame:
-    """An aggregate instead of a window: each task keeps one candidate per key before the shuffle, so a key
+    An aggregate instead of a window: each task keeps one candidate per key before the shuffle, so a key
     with a third of all rows sends one row per task.
     """
-    others = [name for name in rows.columns if name not in keys and name != order]
-    picked = rows.groupBy(*keys).agg(pick(F.struct(order, *others)).alias("_row"))
-    return picked.select(
-        *(F.col(name) if name in keys else F.col("_row")[name].alias(name) for name in rows.columns)
+    others = [name for name in rows.columns if name not in (key, order)]
+    newest = rows.groupBy(key).agg(F.max(F.struct(order, *others)).alias("_row"))
+    return newest.select(
+        *(F.col(name) if name == key else F.col("_row")[name].alias(name) for name in rows.columns)
     )
 
 

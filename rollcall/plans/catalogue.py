@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import naive_timestamp, position_id
 from rollcall.operators import charts, codec, constraints, counts, flatten
 from rollcall.operators.latest import latest_per_key
+from rollcall.operators.resent import seen_schema
 from rollcall.operators.uniqueness import first_wins
 from rollcall.plans import users as given
 from rollcall.schemas import CONSTRAINED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
@@ -24,7 +26,7 @@ from rollcall.workspace import new_folder
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Longer than the order dates span: every copy of a record is a re-send.
-WHOLE_HISTORY = "5000 days"
+WHOLE_HISTORY = timedelta(days=5000)
 
 
 def load(spark: SparkSession, folder: str) -> DataFrame:
@@ -176,8 +178,10 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     sent = given.messages(given.users_stream(spark, folder)).withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1))))
     parsed = codec.parse_messages(sent, keep=("timestamp",))
     received = codec.records(parsed, keep=("timestamp",)).select("email", "registered_date", "timestamp")
+    keys = ["email", "registered_date"]
     kept = BatchTable(spark, f"{place}/kept", received.schema)
-    jobs.drop_resent(received, ["email", "registered_date"], WHOLE_HISTORY, kept, f"{place}/checkpoint").awaitTermination()
+    seen = BatchTable(spark, f"{place}/seen", seen_schema(received.schema, keys))
+    jobs.drop_resent(received, keys, WHOLE_HISTORY, kept.replace, seen, f"{place}/checkpoint").awaitTermination()
     return kept.rows().select("email", "registered_date")
 
 

@@ -7,10 +7,10 @@ ends (``availableNow``), so any scheduler can run it again; pass ``trigger`` to
 from __future__ import annotations
 
 import uuid
-from functools import reduce
+from datetime import timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -19,7 +19,7 @@ from rollcall.operators.codec import SOURCE_FIELDS, parse_messages, quarantine,
 from rollcall.operators.constraints import check_table, storable, violators
 from rollcall.operators.counts import joint_counts, totals_from_joint
 from rollcall.operators.flatten import flatten_users, parse_responses, unusable_responses
-from rollcall.operators.latest import earliest_per_key
+from rollcall.operators.resent import copies_per_slot, first_copies
 from rollcall.schemas import EVENT_FIELDS
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import BatchWriter
@@ -81,35 +81,31 @@ def count_users(users: DataFrame, snapshots: BatchWriter, checkpoint: str, *, tr
 def drop_resent(
     records: DataFrame,
     keys: list[str],
-    within: str,
-    kept: BatchTable,
+    within: timedelta,
+    kept: BatchWriter,
+    seen: BatchTable,
     checkpoint: str,
     *,
     time: str = "timestamp",
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Records to ``kept``, without those a producer sent again within ``within`` of one that is there.
+    """Records to ``kept``, without those that follow a copy of themselves by at most ``within``.
 
-    The rows kept so far are the state, and only those within reach of a batch's times are read. Copies
-    fold before the shuffle, so a record that makes up a third of a batch is no hot key, which it would be for
-    ``dropDuplicatesWithinWatermark``; and a late record is kept where a watermark would lose it. As with
-    that operator, one micro-batch keeps one row per key, here the earliest.
+    ``seen`` holds the state, a table with the columns `resent.seen_schema` gives; only the times near a batch's are read.
+    Copies fold before the shuffle, so a record that makes up a third of a batch is no hot key, which it would be for
+    ``dropDuplicatesWithinWatermark``; and a late record is kept where a watermark would lose it.
     """
-    reach = F.expr(f"interval {within}")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        spans = copies_per_slot(batch, keys, time, within).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            first = earliest_per_key(batch, keys, time)
-            span = batch.agg((F.min(time) - reach).alias("low"), (F.max(time) + reach).alias("high"))
-            low, high = span.select("low").scalar(), span.select("high").scalar()
-            near = kept.before(batch_id).filter(F.col(time).between(low, high))
-            seen = near.select(*(F.col(key).alias(f"_{key}") for key in keys), F.col(time).alias("_time"))
-            same = reduce(Column.__and__, (F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys))
-            close = F.col(time).between(F.col("_time") - reach, F.col("_time") + reach)
-            kept.replace(first.join(seen, same & close, "left_anti"), batch_id)
+            slots = spans.agg((F.min("slot") - 1).alias("low"), (F.max("slot") + 1).alias("high"))
+            low, high = slots.select("low").scalar(), slots.select("high").scalar()
+            near = seen.before(batch_id).filter(F.col("slot").between(low, high))
+            kept(first_copies(spans, near, keys, within).select(records.columns), batch_id)
+            seen.replace(spans, batch_id)
         finally:
-            batch.unpersist()
+            spans.unpersist()
 
     return start(records, write, checkpoint, trigger=trigger)
 

@@ -1,5 +1,7 @@
 import json
 import os
+import random
+from datetime import timedelta
 
 import pytest
 from helpers import event, messages, response, sequential
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 from rollcall.functions import position_id
 from rollcall.operators.codec import parse_messages, records
 from rollcall.operators.counts import chart_totals, count_by_country
+from rollcall.operators.resent import seen_schema
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
 from rollcall.sinks.batches import BatchTable
 from rollcall.sinks.stores import keyed_store, topic
@@ -154,11 +157,12 @@ class _ResentJob:
     def __init__(self, spark, place):
         self.spark, self.topic, self.checkpoint = spark, f"{place}/topic", f"{place}/checkpoint"
         self.kept = BatchTable(spark, f"{place}/kept", "email string, offset long, timestamp timestamp")
+        self.seen = BatchTable(spark, f"{place}/seen", seen_schema(self.kept.schema, ["email"]))
         self.sent = 0
 
     def send(self, *records):
         """Each record is (email, minute of arrival); one call is one micro-batch."""
-        values = [event(email=email) if email else event(email=None) for email, _ in records]
+        values = [event(email=email) for email, _ in records]
         minutes = self.spark.createDataFrame([(self.sent + i, m) for i, (_, m) in enumerate(records)], "offset long, m int")
         stamped = messages(self.spark, values, self.sent).drop("timestamp").join(minutes, "offset")
         stamped = stamped.withColumn("timestamp", F.expr("timestamp'2024-01-01 00:00:00' + make_dt_interval(0, 0, m)"))
@@ -169,7 +173,8 @@ class _ResentJob:
         keep = ("offset", "timestamp")
         parsed = parse_messages(file_messages(self.spark, self.topic, max_per_trigger=1), keep=keep)
         received = records(parsed, keep=keep).select("email", *keep)
-        jobs.drop_resent(received, ["email"], "1 hour", self.kept, self.checkpoint).awaitTermination()
+        hour = timedelta(hours=1)
+        jobs.drop_resent(received, ["email"], hour, self.kept.replace, self.seen, self.checkpoint).awaitTermination()
         return sorted((row.email, row.offset) for row in self.kept.rows().filter("email is not null").collect())
 
 
@@ -184,6 +189,22 @@ def test_resent_records_are_dropped(spark, tmp_path):
     assert job.run() == [("a", 0), ("b", 1), ("b", 4), ("c", 5)]
 
 
+@pytest.mark.parametrize("batches", [1, 4])
+def test_resent_records_do_not_depend_on_the_batches(spark, tmp_path, batches):
+    rnd = random.Random(4)
+    arrivals = [(f"e{rnd.randint(1, 4)}", minute) for minute in sorted(rnd.randint(0, 900) for _ in range(60))]
+    last, expected = {}, []
+    for offset, (email, minute) in enumerate(arrivals):
+        if email not in last or minute - last[email] > 60:
+            expected.append((email, offset))
+        last[email] = minute
+    job = _ResentJob(spark, str(tmp_path))
+    for part in range(batches):
+        job.send(*arrivals[part * 60 // batches : (part + 1) * 60 // batches])
+    assert 4 < len(expected) < 40
+    assert job.run() == sorted(expected)
+
+
 def test_resent_records_without_key_are_copies_too(spark, tmp_path):
     job = _ResentJob(spark, str(tmp_path))
     job.send((None, 0), (None, 1))
@@ -194,8 +215,6 @@ def test_resent_records_without_key_are_copies_too(spark, tmp_path):
 
 
 def _pairs(seed, size=30):
-    import random
-
     rnd = random.Random(seed)
     return [(f"e{rnd.randint(1, 15)}", f"u{rnd.randint(1, 15)}") for _ in range(size)]
 

@@ -29,7 +29,7 @@ PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+
 #: A space at which a text may be cut: what follows is no white space (bytes that may start wide white space count as such).
 CUT = re.compile(rb" (?=[^\s\x1c-\x1f\xc2\xe1\xe2\xe3])")
 #: Pieces remembered per worker and generation.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 
 
 def byte_letters() -> dict[str, int]:

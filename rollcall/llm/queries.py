@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, token_store
+from rollcall.llm import bpe, rules, token_store
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,13 +17,20 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
 
 
+def op6_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.verdicts(table(spark, folder, "documents"))
+
+
 def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.checks(table(spark, folder, "documents"), scratch(spark, "token-store"), TOKENIZER, end=2)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op6_rules": op6_rules,
     "op8_token_store": op8_token_store,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_rules": rules.ORACLE,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe, rules, token_store
+from rollcall.llm import bpe, decontaminate, rules, token_store
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
 
 
+def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op6_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.verdicts(table(spark, folder, "documents"))
 
@@ -27,10 +31,12 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_decontaminate": op3_decontaminate,
     "op6_rules": op6_rules,
     "op8_token_store": op8_token_store,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_decontaminate": decontaminate.ORACLE,
     "op6_rules": rules.ORACLE,
 }

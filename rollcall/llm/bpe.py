@@ -4,8 +4,8 @@ A pre-token's symbols form a doubly linked list. A priority queue holds the rank
 lowest rank merges first, leftmost among equals. A merge only changes links, so queue entries of pairs that are no longer
 there stay behind and are skipped when they come up. A pre-token of n bytes takes O(n log n), however long it is.
 
-Texts are cut where a pre-token must begin (a space before a character that isn't white space), and the pieces' ids are
-remembered in a table of bounded size: most pieces of a text have been met before.
+Texts are cut where a pre-token must begin (a space before a character that isn't white space; a newline between two
+such characters), and the pieces' ids are remembered in a table of bounded size: most pieces have been met before.
 """
 
 from __future__ import annotations
@@ -28,6 +28,9 @@ from rollcall.llm.shared import byte_texts, replaced, text_of, without
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A space at which a text may be cut: what follows is no white space (bytes that may start wide white space count as such).
 CUT = re.compile(rb" (?=[^\s\x1c-\x1f\xc2\xe1\xe2\xe3])")
+#: Bytes and byte pairs whose presence calls for that careful cut: other white space, or what it may start or end with.
+RARE_BYTES = bytes([*range(10), *range(11, 32), 0xE1, 0xE2, 0xE3])
+RARE_PAIRS = (b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0")
 #: Pieces remembered per worker and generation.
 REMEMBERED = 200_000
 
@@ -39,6 +42,17 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def cut(text: bytes) -> list[bytes]:
+    """A non-empty text's pieces. A piece after the first follows a space, unless it starts with a newline."""
+    rare = text[0] in b" \n" or text[-1] in b" \n" or len(text.translate(None, RARE_BYTES)) < len(text) or any(p in text for p in RARE_PAIRS)
+    return CUT.split(text) if rare else text.replace(b"\n", b" \n").split(b" ")
+
+
+def has_stop(piece: bytes) -> bool:
+    """Whether its last character, a full stop or comma, is a pre-token of its own."""
+    return len(piece) > 1 and piece[-1] in b".," and piece[-2:-1].isalpha()
+
+
 class Recent(dict):
     """A table of what a function gave, in two generations: when one is full it replaces the older."""
 
@@ -75,8 +89,9 @@ class Vocabulary:
         self.split = re.compile(b"(%s)" % b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.pretokens = regex.compile(PRETOKENS)
         self.words = Recent(self.merged, REMEMBERED // 3)
-        self.opening = Recent(self.piece)
-        self.spaced = Recent(lambda piece: self.piece(b" " + piece))
+        self.newline = self.merged(b"\n")
+        self.opening = Recent(self.first_piece)
+        self.spaced = Recent(self.next_piece)
 
     def merged(self, word: bytes) -> bytes:
         """The ids of one pre-token."""
@@ -109,12 +124,25 @@ class Vocabulary:
         words = self.words
         return b"".join([words[word.encode()] for word in self.pretokens.findall(piece.decode())])
 
+    def first_piece(self, piece: bytes) -> bytes:
+        if has_stop(piece):
+            return self.opening[piece[:-1]] + self.words[piece[-1:]]
+        return self.piece(piece)
+
+    def next_piece(self, piece: bytes) -> bytes:
+        if piece[0] == 10:
+            return self.newline + self.opening[piece[1:]]
+        if has_stop(piece):
+            return self.spaced[piece[:-1]] + self.words[piece[-1:]]
+        return self.piece(b" " + piece)
+
     def plain(self, text: bytes) -> bytes:
-        """The ids of text without added tokens."""
-        first, *others = CUT.split(text)
+        """The ids of a text without added tokens."""
+        if not text:
+            return b""
+        first, *others = cut(text)
         spaced = self.spaced
-        ids = [spaced[piece] for piece in others]
-        return b"".join([self.opening[first], *ids]) if first else b"".join(ids)
+        return (self.opening[first] if first else b"") + b"".join([spaced[piece] for piece in others])
 
     def encode(self, text: bytes) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, rules, token_store
+from rollcall.llm import bpe, decontaminate, rules, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,6 +26,13 @@ def op6_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.verdicts(table(spark, folder, "documents"))
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """The table has no capture times; pages count as fetched one second after another, in the order of their ids."""
+    fetched = F.timestamp_seconds(F.lit(1_577_836_800) + F.col("page_id"))
+    found = warc.history(table(spark, folder, "pages").withColumn("time", fetched))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "range", "row")
+
+
 def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.checks(table(spark, folder, "documents"), scratch(spark, "token-store"), TOKENIZER, end=2)
 
@@ -33,6 +41,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_decontaminate": op3_decontaminate,
     "op6_rules": op6_rules,
+    "op7_warc": op7_warc,
     "op8_token_store": op8_token_store,
 }
 

@@ -30,19 +30,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.bpe import CUT, REMEMBERED, Recent
+from rollcall.llm.bpe import REMEMBERED, cut, has_stop
 from rollcall.llm.perfect_hash import PerfectHash, mixed
 from rollcall.llm.shared import byte_texts, files, keep, read_file, single, text_of, write_file
 
 #: Keys in a bucket of the index, on average: what one task builds and one lookup task holds, some MB.
 BUCKET_KEYS = 100_000
 #: Texts encoded at a time, and ids read at a time.
-BATCH_ROWS, READ_IDS = 256, 4_000_000
+BATCH_ROWS, READ_IDS = 512, 4_000_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("ids", "<u8"), ("start", "<u8")])
 
 
 class Encoder:
-    """The tokenizers library behind a table of pieces met before; pieces are cut as in `bpe`."""
+    """The tokenizers library behind a table of pieces met before; texts are cut as in `bpe`.
+
+    New words go to the library many at a time, as lines of one text: the newline between them stays one id.
+    """
 
     def __init__(self, source: str, width: int):
         from tokenizers import Tokenizer
@@ -52,33 +55,48 @@ class Encoder:
         self.tokenizer.no_padding()
         self.kind = f"<u{width}"
         self.added = [t["content"].encode() for t in json.loads(source)["added_tokens"]]
-        self.opening, self.spaced = Recent(None), Recent(None, 2 * REMEMBERED)
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(one.ids, self.kind).tobytes() for one in found]
-
-    def learn(self, table: Recent, pieces: set[bytes], lead: str = "") -> None:
-        missing = [p for p in pieces if p not in table]
-        if len(table) + len(missing) > table.size:
-            table.older = dict(table)
-            table.clear()
-            missing = list(pieces)
-        again = [p for p in missing if p in table.older]
-        table.update((p, table.older[p]) for p in again)
-        new = [p for p in missing if p not in table.older]
-        table.update(zip(new, self.ids([lead + p.decode() for p in new]), strict=True))
+        (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.opening, self.spaced = {}, {}
+        self.stops = {stop: self.ids(stop.decode()) for stop in (b".", b",")}
+
+    def ids(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def learn(self, known: dict[bytes, bytes], pieces: set[bytes], lead: str) -> None:
+        """Add pieces that follow the lead."""
+        if len(known) > 2 * REMEMBERED:
+            known.clear()
+        new = pieces.difference(known)
+        stems = {p[:-1] if has_stop(p) else p for p in new}.difference(known)
+        lines = [p for p in stems if len(p.split()) == 1 and p.decode().split() == [p.decode()]]
+        for piece in stems.difference(lines):
+            known[piece] = self.ids(lead + piece.decode())
+        if lines:
+            found = self.tokenizer.encode("\n".join([lead + p.decode() for p in lines]), add_special_tokens=False).ids
+            ids = np.asarray([*found, self.newline], self.kind)
+            ends, payload, size = np.flatnonzero(ids == self.newline).tolist(), ids.tobytes(), ids.itemsize
+            starts = [0, *(end + 1 for end in ends)]
+            known.update(zip(lines, [payload[a * size : b * size] for a, b in zip(starts, ends, strict=False)], strict=True))
+        for piece in new:
+            if has_stop(piece):
+                known[piece] = known[piece[:-1]] + self.stops[piece[-1:]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        whole = [i for i, text in enumerate(texts) if any(token in text for token in self.added)]
+        whole = {i for i, text in enumerate(texts) if any(token in text for token in self.added)}
         out: list[bytes] = [b""] * len(texts)
         for i in whole:  # an added token ends what stands before it, so such a text is not cut
-            out[i] = self.ids([texts[i].decode()])[0]
-        cut = {i: CUT.split(text) for i, text in enumerate(texts) if text and i not in set(whole)}
-        self.learn(self.opening, {parts[0] for parts in cut.values()})
-        self.learn(self.spaced, {p for parts in cut.values() for p in parts[1:]}, " ")
-        for i, (first, *others) in cut.items():
-            out[i] = b"".join([self.opening[first], *map(self.spaced.__getitem__, others)])
+            out[i] = self.ids(texts[i].decode())
+        pieces = {i: cut(text) for i, text in enumerate(texts) if text and i not in whole}
+        first = {parts[0] for parts in pieces.values()}
+        after = set().union(*(parts[1:] for parts in pieces.values()))
+        lines = {p for p in after if p[0] == 10}
+        self.learn(self.opening, {*first, *(p[1:] for p in lines)} - {b""}, "")
+        self.learn(self.spaced, after - lines, " ")
+        opening, spaced, newline = self.opening, self.spaced, np.asarray([self.newline], self.kind).tobytes()
+        spaced.update((p, newline + opening[p[1:]]) for p in lines)
+        opening[b""] = b""
+        for i, parts in pieces.items():
+            out[i] = opening[parts[0]] + b"".join([spaced[p] for p in parts[1:]])
         return out
 
 

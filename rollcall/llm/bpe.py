@@ -5,7 +5,8 @@ lowest rank merges first, leftmost among equals. A merge only changes links, so
 there stay behind and are skipped when they come up. A pre-token of n bytes takes O(n log n), however long it is.
 
 Texts are cut where a pre-token must begin (a space before a character that isn't white space; a newline between two
-such characters), and the pieces' ids are remembered in a table of bounded size: most pieces have been met before.
+such characters). Each distinct piece of a batch is looked up once, in a table of bounded size of pieces met before, and
+the ids of texts are gathered from those of their pieces.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +31,10 @@ from rollcall.llm.shared import byte_texts, replaced, text_of, without
 PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: A space at which a text may be cut: what follows is no white space (bytes that may start wide white space count as such).
 CUT = re.compile(rb" (?=[^\s\x1c-\x1f\xc2\xe1\xe2\xe3])")
-#: Bytes and byte pairs whose presence calls for that careful cut: other white space, or what it may start or end with.
-RARE_BYTES = bytes([*range(10), *range(11, 32), 0xE1, 0xE2, 0xE3])
-RARE_PAIRS = (b"  ", b" \n", b"\n ", b"\n\n", b"\xc2\x85", b"\xc2\xa0")
-#: Pieces remembered per worker and generation.
-REMEMBERED = 200_000
+#: Texts that need that careful cut: white space other than single spaces and newlines between other characters.
+RARE = r"[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1000}-\x{3fff}]|[ \n][ \n]|^[ \n]|[ \n]\z"
+#: Pieces remembered per worker in each of two generations, some 200 bytes each; bytes of text worked on at a time.
+REMEMBERED, AT_ONCE = 600_000, 4 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -42,33 +44,85 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def cut(text: bytes) -> list[bytes]:
-    """A non-empty text's pieces. A piece after the first follows a space, unless it starts with a newline."""
-    rare = text[0] in b" \n" or text[-1] in b" \n" or len(text.translate(None, RARE_BYTES)) < len(text) or any(p in text for p in RARE_PAIRS)
-    return CUT.split(text) if rare else text.replace(b"\n", b" \n").split(b" ")
+def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+    """Batches cut where their texts reach AT_ONCE bytes; a longer text stands alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE, side="right"))
+            upto = max(upto, at + 1)
+            yield batch.slice(at, upto - at)
+            at = upto
 
 
-def has_stop(piece: bytes) -> bool:
-    """Whether its last character, a full stop or comma, is a pre-token of its own."""
-    return len(piece) > 1 and piece[-1] in b".," and piece[-2:-1].isalpha()
+class Pieces:
+    """Encodes texts from the ids of their pieces.
 
+    learn(pieces, plain) gives the ids of pieces; plain ones are one word after a space or newline. careful(text) gives
+    the pieces of a text that can't be cut at every space.
+    """
 
-class Recent(dict):
-    """A table of what a function gave, in two generations: when one is full it replaces the older."""
+    def __init__(self, learn, careful, newline: bytes, width: int, added: Iterable[bytes]):
+        self.learn, self.careful, self.newline, self.width = learn, careful, newline, width
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.rare = "|".join([RARE, *(re.escape(token.decode()) for token in added)])
+
+    def ids(self, pieces: list[bytes], plain: bool) -> list[bytes]:
+        known = self.known
+        found = list(map(known.get, pieces))
+        new = list(dict.fromkeys([p for p, ids in zip(pieces, found, strict=True) if ids is None]))
+        if not new:
+            return found
+        made = {p: ids for p in new if (ids := self.older.get(p)) is not None}
+        new = [p for p in new if p not in made] if made else new
+        made.update(zip(new, self.learn(new, plain), strict=True))
+        if len(known) + len(made) > REMEMBERED:
+            self.older, self.known = known, made
+        else:
+            known.update(made)
+        return [made[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+
+    def encode(self, column: pa.Array) -> list[bytes]:
+        """The ids of each text; none for null and empty ones."""
+        texts = pc.fill_null(column, "")
+        rare = pc.match_substring_regex(texts, self.rare).to_numpy(zero_copy_only=False)
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        out: list[bytes] = [b""] * len(texts)
+        for i in np.flatnonzero(rare & ~empty).tolist():
+            out[i] = b"".join(self.ids(self.careful(texts[i].as_py().encode()), False))
+        usual = np.flatnonzero(~rare & ~empty)
+        if len(usual):
+            for i, ids in zip(usual.tolist(), self.gathered(texts.take(pa.array(usual))), strict=True):
+                out[i] = ids
+        return out
+
+    def gathered(self, texts: pa.Array) -> Iterator[bytes]:
+        # every piece now follows a space or newline; the newline before a text is taken off again below
+        lined = pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), "")
+        parts = pc.split_pattern(lined, " ")
+        coded = parts.flatten().dictionary_encode()
+        pieces = [p if p[:1] == b"\n" else b" " + p for p in byte_texts(coded.dictionary)]
+        found = self.ids(pieces, True)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // self.width
+        starts = np.cumsum(sizes) - sizes
+        which = coded.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.cumsum(lengths)
+        every = np.frombuffer(b"".join(found), f"<u{self.width}")
+        payload = every[np.repeat(starts[which] - (ends - lengths), lengths) + np.arange(int(ends[-1]))].tobytes()
+        offsets = parts.offsets.to_numpy().astype(np.int64) - parts.offsets[0].as_py()
+        bounds = np.concatenate([[0], ends])[offsets] * self.width
+        lead = len(self.newline)
+        for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False):
+            yield payload[a + lead : b]
 
-    def __init__(self, make, size: int = REMEMBERED):
-        super().__init__()
-        self.make, self.size, self.older = make, size, {}
 
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.size:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+def has_stop(piece: bytes) -> bool:
+    """Whether its last character, a full stop or comma, is a pre-token of its own."""
+    return len(piece) > 2 and piece[-1] in b".," and piece[-2:-1].isalpha()
 
 
 class Vocabulary:
@@ -88,10 +142,9 @@ class Vocabulary:
         self.strings |= {i: token for token, i in self.added.items()}
         self.split = re.compile(b"(%s)" % b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.pretokens = regex.compile(PRETOKENS)
-        self.words = Recent(self.merged, REMEMBERED // 3)
+        self.stops = {stop: self.merged(stop) for stop in (b".", b",")}
         self.newline = self.merged(b"\n")
-        self.opening = Recent(self.first_piece)
-        self.spaced = Recent(self.next_piece)
+        self.table = Pieces(self.learn, self.careful, self.newline, 4, self.added)
 
     def merged(self, word: bytes) -> bytes:
         """The ids of one pre-token."""
@@ -120,35 +173,33 @@ class Vocabulary:
         symbols = [s for s in symbols if s >= 0]
         return struct.pack(f"<{len(symbols)}I", *symbols)
 
-    def piece(self, piece: bytes) -> bytes:
-        words = self.words
-        return b"".join([words[word.encode()] for word in self.pretokens.findall(piece.decode())])
-
-    def first_piece(self, piece: bytes) -> bytes:
-        if has_stop(piece):
-            return self.opening[piece[:-1]] + self.words[piece[-1:]]
-        return self.piece(piece)
-
-    def next_piece(self, piece: bytes) -> bytes:
-        if piece[0] == 10:
-            return self.newline + self.opening[piece[1:]]
-        if has_stop(piece):
-            return self.spaced[piece[:-1]] + self.words[piece[-1:]]
-        return self.piece(b" " + piece)
-
-    def plain(self, text: bytes) -> bytes:
-        """The ids of a text without added tokens."""
-        if not text:
-            return b""
-        first, *others = cut(text)
-        spaced = self.spaced
-        return (self.opening[first] if first else b"") + b"".join([spaced[piece] for piece in others])
-
-    def encode(self, text: bytes) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        if not self.split or not self.split.search(text):
-            return self.plain(text)
-        return b"".join(struct.pack("<I", self.added[part]) if part in self.added else self.plain(part) for part in self.split.split(text))
+    def learn(self, pieces: list[bytes], plain: bool) -> list[bytes]:
+        return [self.piece(piece, plain) for piece in pieces]
+
+    def piece(self, piece: bytes, plain: bool) -> bytes:
+        """The ids of a piece, one pre-token after the other."""
+        if piece in self.added:
+            return struct.pack("<I", self.added[piece])
+        if plain and has_stop(piece):
+            stem = piece[:-1]
+            ids = self.table.known.get(stem)
+            return (self.piece(stem, True) if ids is None else ids) + self.stops[piece[-1:]]
+        return b"".join([self.merged(word.encode()) for word in self.pretokens.findall(piece.decode())])
+
+    def careful(self, text: bytes) -> list[bytes]:
+        """The pieces of any text: added tokens, and what stands between them cut where that is safe."""
+        pieces = []
+        for part in self.split.split(text) if self.split else [text]:
+            if part in self.added:
+                pieces.append(part)
+            elif part:
+                first, *others = CUT.split(part)
+                pieces += [*([first] if first else []), *(b" " + piece for piece in others)]
+        return pieces
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
+        return self.table.encode(texts)
 
     def decode(self, ids: bytes) -> str:
         strings = self.strings
@@ -177,9 +228,8 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(source.value)
-        for batch in batches:
-            texts = byte_texts(batch.column(text))
-            yield replaced(batch, {ids: pa.array([known.encode(x) if x else b"" for x in texts], pa.binary())})
+        for batch in portions(batches, text):
+            yield replaced(batch, {ids: pa.array(known.encode(batch.column(text)), pa.binary())})
 
     schema = T.StructType([*without(docs, ids).schema.fields, T.StructField(ids, T.BinaryType())])
     return docs.mapInArrow(run, schema)

@@ -30,19 +30,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.bpe import REMEMBERED, cut, has_stop
+from rollcall.llm.bpe import Pieces, has_stop, portions
 from rollcall.llm.perfect_hash import PerfectHash, mixed
-from rollcall.llm.shared import byte_texts, files, keep, read_file, single, text_of, write_file
+from rollcall.llm.shared import files, keep, read_file, single, text_of, write_file
 
 #: Keys in a bucket of the index, on average: what one task builds and one lookup task holds, some MB.
 BUCKET_KEYS = 100_000
-#: Texts encoded at a time, and ids read at a time.
-BATCH_ROWS, READ_IDS = 512, 4_000_000
+#: Records read at a time, and ids of neighbours that come along.
+READ_ROWS, READ_IDS = 1_000, 4_000_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("ids", "<u8"), ("start", "<u8")])
 
 
 class Encoder:
-    """The tokenizers library behind a table of pieces met before; texts are cut as in `bpe`.
+    """The tokenizers library behind the table of pieces of `bpe`.
 
     New words go to the library many at a time, as lines of one text: the newline between them stays one id.
     """
@@ -53,51 +53,38 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(source)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.kind = f"<u{width}"
-        self.added = [t["content"].encode() for t in json.loads(source)["added_tokens"]]
-        (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self.opening, self.spaced = {}, {}
-        self.stops = {stop: self.ids(stop.decode()) for stop in (b".", b",")}
+        self.kind = np.dtype(f"<u{width}")
+        added = [t["content"].encode() for t in json.loads(source)["added_tokens"]]
+        (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline, *stops = [self.ids(text) for text in ("\n", ".", ",")]
+        self.stops = dict(zip((b".", b","), stops, strict=True))
+        self.table = Pieces(self.learn, lambda text: [text], self.newline, width, added)
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
-    def learn(self, known: dict[bytes, bytes], pieces: set[bytes], lead: str) -> None:
-        """Add pieces that follow the lead."""
-        if len(known) > 2 * REMEMBERED:
-            known.clear()
-        new = pieces.difference(known)
-        stems = {p[:-1] if has_stop(p) else p for p in new}.difference(known)
-        lines = [p for p in stems if len(p.split()) == 1 and p.decode().split() == [p.decode()]]
-        for piece in stems.difference(lines):
-            known[piece] = self.ids(lead + piece.decode())
-        if lines:
-            found = self.tokenizer.encode("\n".join([lead + p.decode() for p in lines]), add_special_tokens=False).ids
-            ids = np.asarray([*found, self.newline], self.kind)
-            ends, payload, size = np.flatnonzero(ids == self.newline).tolist(), ids.tobytes(), ids.itemsize
-            starts = [0, *(end + 1 for end in ends)]
-            known.update(zip(lines, [payload[a * size : b * size] for a, b in zip(starts, ends, strict=False)], strict=True))
-        for piece in new:
-            if has_stop(piece):
-                known[piece] = known[piece[:-1]] + self.stops[piece[-1:]]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        whole = {i for i, text in enumerate(texts) if any(token in text for token in self.added)}
-        out: list[bytes] = [b""] * len(texts)
-        for i in whole:  # an added token ends what stands before it, so such a text is not cut
-            out[i] = self.ids(texts[i].decode())
-        pieces = {i: cut(text) for i, text in enumerate(texts) if text and i not in whole}
-        first = {parts[0] for parts in pieces.values()}
-        after = set().union(*(parts[1:] for parts in pieces.values()))
-        lines = {p for p in after if p[0] == 10}
-        self.learn(self.opening, {*first, *(p[1:] for p in lines)} - {b""}, "")
-        self.learn(self.spaced, after - lines, " ")
-        opening, spaced, newline = self.opening, self.spaced, np.asarray([self.newline], self.kind).tobytes()
-        spaced.update((p, newline + opening[p[1:]]) for p in lines)
-        opening[b""] = b""
-        for i, parts in pieces.items():
-            out[i] = opening[parts[0]] + b"".join([spaced[p] for p in parts[1:]])
-        return out
+    def learn(self, pieces: list[bytes], plain: bool) -> list[bytes]:
+        """A careful text comes as one piece, as a whole text may."""
+        if not plain:
+            return [self.ids(piece.decode()) for piece in pieces]
+        known = self.table.known
+        stems = [p[:-1] if has_stop(p) else p for p in pieces]
+        new = [stem for stem in dict.fromkeys(stems) if stem not in known]
+        lines = b"\n".join([p[1:] if p[:1] == b"\n" else p for p in new]).decode()
+        found = self.tokenizer.encode_batch_fast([lines], add_special_tokens=False)[0].ids
+        ids = np.asarray([*found, self.line], self.kind)
+        payload, size, ends = ids.tobytes(), ids.itemsize, np.flatnonzero(ids == self.line).tolist()
+        starts = [0, *(end + 1 for end in ends)]
+        made = dict(zip(new, [payload[a * size : b * size] for a, b in zip(starts, ends, strict=False)], strict=True)) if new else {}
+        made.update((p, self.newline + ids) for p, ids in made.items() if p[:1] == b"\n")
+        stops = self.stops
+        return [
+            (made[stem] if stem in made else known[stem]) + (stops[p[-1:]] if len(stem) < len(p) else b"")
+            for p, stem in zip(pieces, stems, strict=True)
+        ]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        return self.table.encode(texts)
 
 
 _encoders: dict[tuple[int, int], Encoder] = {}
@@ -136,12 +123,12 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int | None = None,
         known, at, name, out = encoder(source.value, width), 0, f"{uuid.uuid4().hex}.ids", None
         last, copy = None, 0
         number = TaskContext.get().partitionId()
-        for batch in single(batches, BATCH_ROWS):
+        for batch in portions(batches, "text"):
             if out is None:
                 system, path = files(f"{folder}/shards/{name}")
                 system.create_dir(posixpath.dirname(path), recursive=True)
                 out = system.open_output_stream(path)
-            records = [ids + close for ids in known.encode([x or b"" for x in byte_texts(batch.column("text"))])]
+            records = [ids + close for ids in known.encode(batch.column("text"))]
             sizes = np.array([len(r) // width for r in records], np.int64)
             out.write(b"".join(records))
             copies = []
@@ -243,7 +230,7 @@ def read(spark: SparkSession, folder: str, keys: DataFrame, key: str = "doc_id")
 
     def load(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source, system = None, None, None
-        for batch in single(batches, 4 * BATCH_ROWS):
+        for batch in single(batches, READ_ROWS):
             rows = batch.to_pydict()
             payloads: list[bytes] = []
             i, held, base = 0, b"", 0

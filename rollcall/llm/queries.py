@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, rules, token_store, warc
+from rollcall.llm import bpe, decontaminate, jaccard, rules, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +22,10 @@ def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(table(spark, folder, "documents"))
+
+
 def op6_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.verdicts(table(spark, folder, "documents"))
 
@@ -40,6 +44,7 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op3_decontaminate": op3_decontaminate,
+    "op4_jaccard": op4_jaccard,
     "op6_rules": op6_rules,
     "op7_warc": op7_warc,
     "op8_token_store": op8_token_store,

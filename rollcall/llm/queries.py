@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, jaccard, rules, token_store, warc
+from rollcall.llm import bpe, decontaminate, jaccard, rules, secret_scan, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,6 +18,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), TOKENIZER)
 
 
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_scan.digests(table(spark, folder, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -43,6 +47,7 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_jaccard": op4_jaccard,
     "op6_rules": op6_rules,

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, jaccard, rules, secret_scan, token_store, warc
+from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, rules, secret_scan, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,10 @@ def op4_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(table(spark, folder, "documents"))
 
 
+def op5_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.texts(table(spark, folder, "pages"))
+
+
 def op6_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rules.verdicts(table(spark, folder, "documents"))
 
@@ -45,14 +49,20 @@ def op8_token_store(spark: SparkSession, folder: str) -> DataFrame:
     return token_store.checks(table(spark, folder, "documents"), scratch(spark, "token-store"), TOKENIZER, end=2)
 
 
+def op9_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return classifier.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secret_scan": op2_secret_scan,
     "op3_decontaminate": op3_decontaminate,
     "op4_jaccard": op4_jaccard,
+    "op5_html_text": op5_html_text,
     "op6_rules": op6_rules,
     "op7_warc": op7_warc,
     "op8_token_store": op8_token_store,
+    "op9_classifier": op9_classifier,
 }
 
 ORACLES: dict[str, str] = {

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, rules, secret_scan, token_store, warc
+from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, pii, rules, secret_scan, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -53,6 +53,10 @@ def op9_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return classifier.predictions(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.digests(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secret_scan": op2_secret_scan,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_warc": op7_warc,
     "op8_token_store": op8_token_store,
     "op9_classifier": op9_classifier,
+    "op10_pii": op10_pii,
 }
 
 ORACLES: dict[str, str] = {

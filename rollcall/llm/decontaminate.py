@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rollcall.llm.shared import keep, scratch, sized
+
 #: The positions that count. A test tries every placement of substitutions.
 MASKS = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))
 WINDOW, EQUAL = 13, 10
@@ -76,6 +78,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str
 def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id") -> DataFrame:
     """The documents into which no item leaks, with their columns."""
     leaky = overlaps(docs, benchmark, text, doc).select(F.col(doc).alias("_leaky")).distinct()
+    leaky = sized(keep(leaky, scratch(docs.sparkSession, "leaks")))
     return docs.join(leaky, docs[doc].eqNullSafe(leaky["_leaky"]), "left_anti")
 
 

@@ -234,8 +234,9 @@ def digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def redacted(docs: DataFrame, mark: str = "[SECRET]", text: str = "text") -> DataFrame:
-    """The documents with each stretch that spans cover replaced by the mark; null texts stay null."""
+def redacted(docs: DataFrame, mark: str = "[SECRET]", text: str = "text", length: str | None = None) -> DataFrame:
+    """The documents with each stretch that spans cover replaced by the mark; null texts stay null. Where a text has
+    changed, the column `length`, if named, gets its new number of characters."""
     spans = F.array_sort("_secrets", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(0))
     start = F.struct(F.lit("").alias("made"), F.lit(0).cast("long").alias("end"))
 
@@ -246,4 +247,7 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", text: str = "text") -> Dat
 
     rest = lambda done: F.concat(done["made"], F.substring(F.col(text), (done["end"] + 1).cast("int"), F.length(text)))
     new = F.when(F.size("_secrets") > 0, F.aggregate(spans, start, add, rest)).otherwise(F.col(text))
-    return scan(docs, text, "_secrets").withColumn(text, new).drop("_secrets")
+    changed = scan(docs, text, "_secrets").withColumn(text, new)
+    if length:
+        changed = changed.withColumn(length, F.when(F.size("_secrets") > 0, F.length(text).cast("long")).otherwise(F.col(length)))
+    return changed.drop("_secrets")

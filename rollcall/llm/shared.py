@@ -27,6 +27,15 @@ def keep(df: DataFrame, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+#: Rows of ids that are broadcast at most, some 100 MB as a hash table.
+BROADCAST_IDS = 2_000_000
+
+
+def sized(ids: DataFrame) -> DataFrame:
+    """A written table of ids, to be broadcast if it is small enough; beyond, Spark shuffles the join."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def scratch(spark: SparkSession, purpose: str) -> str:
     return new_folder(spark, purpose)
 

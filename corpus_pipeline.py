@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents go through the stages in order, each written and read again before the next."""
+"""The corpus pipeline: documents go through the stages in order, each written and read again before the next.
+
+The table that comes out has the columns of documents and `ids`, the ids of the text as little-endian unsigned 32-bit
+integers.
+"""
 
 from __future__ import annotations
 
@@ -6,23 +10,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rollcall.llm import bpe
+from rollcall.llm import bpe, classifier, decontaminate, jaccard, secret_scan
 from rollcall.llm.queries import TOKENIZER
 from rollcall.llm.shared import keep, scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for good; it learns from those of them that are labelled."""
+    return classifier.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def unique(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates."""
+    return jaccard.representatives(docs)
+
+
+def unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which no benchmark item leaks."""
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in place of each secret."""
+    return secret_scan.redacted(docs, length="n_chars")
+
+
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds the ids of every text."""
+    """All documents, with the ids of their texts."""
     return bpe.encode(docs, TOKENIZER)
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("quality", good),
+    ("near_duplicates", unique),
+    ("decontamination", unseen),
+    ("secrets", redacted),
     ("encode", encoded),
 ]
 
-#: Classifier, join and tokenizer can't be written in SQL; tests hold the stages against brute-force versions.
+#: Trees, set similarity and merges can't be written in SQL; a test holds the run against a brute-force version.
 ORACLE_SQL: str | None = None
 
 

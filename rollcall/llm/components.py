@@ -28,7 +28,7 @@ def labels(edges: DataFrame, folder: str) -> DataFrame:
     """
     current = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     current, before, step = keep(current, f"{folder}/0"), None, 0
-    while True:
+    while True:  # until a round changes nothing
         signature = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if signature == before:
             return current.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(

@@ -28,27 +28,31 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct shingles of all texts as 64-bit hashes, sorted within each text, and their number in each.
+    """The shingles of all texts as 64-bit hashes, in order and with repeats, and their number in each text.
 
     A text with fewer words than `size`, but at least one, has its whole sequence as its only shingle.
     """
     hashes, counts = word_hashes(texts)
-    ends = np.cumsum(counts)
+    if not len(hashes):
+        return hashes, np.zeros(len(counts), np.int64)
     owner = np.repeat(np.arange(len(counts)), counts)
-    left = (ends[owner] if len(owner) else ends[:0]) - np.arange(len(hashes))  # words from here to the text's end
-    short = counts[owner] < size if len(owner) else np.zeros(0, bool)
-    first = left == counts[owner] if len(owner) else short
+    left = np.cumsum(counts)[owner] - np.arange(len(hashes))  # words from here to the text's end
     made = np.zeros(len(hashes), np.uint64)
     for k in range(size):
-        there = left > k
-        shifted = np.concatenate([hashes[k:], np.zeros(min(k, len(hashes)), np.uint64)])
-        mixed = ((made ^ (made >> np.uint64(29))) * STEP) + shifted + np.uint64(k + 1)
-        made = np.where(there, mixed, made)  # a short text's shingle stops at its last word
+        mixed = (made ^ (made >> np.uint64(29))) * STEP
+        mixed[: len(hashes) - k] += hashes[k:] + np.uint64(k + 1)
+        made = np.where(left > k, mixed, made)  # a short text's shingle stops at its last word
     made ^= made >> np.uint64(32)
-    whole = np.where(short, first, left >= size)
-    made, owner = made[whole], owner[whole]
-    order = np.lexsort((made, owner))
-    made, owner = made[order], owner[order]
-    new = np.ones(len(made), bool)
-    new[1:] = (made[1:] != made[:-1]) | (owner[1:] != owner[:-1])
-    return made[new], np.bincount(owner[new], minlength=len(counts))
+    whole = (left >= size) | ((counts[owner] < size) & (left == counts[owner]))
+    return made[whole], np.bincount(owner[whole], minlength=len(counts))
+
+
+def distinct(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each text's values sorted and without repeats, and their number."""
+    values, ends = values.copy(), np.cumsum(counts)
+    for start, end in zip((ends - counts).tolist(), ends.tolist(), strict=True):
+        values[start:end].sort()
+    owner = np.repeat(np.arange(len(counts)), counts)
+    new = np.ones(len(values), bool)
+    new[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
+    return values[new], np.bincount(owner[new], minlength=len(counts))

@@ -116,22 +116,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> trees.T
             yield pa.RecordBatch.from_arrays([batch.column("label"), rows], names=["label", "row"])
 
     # the sample is bounded, so it may go to every task; its statistics may come to the driver
-    found = docs.join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(measure, "label int, row array<double>")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text").mapInArrow(measure, "label int, row array<double>")
     rows = found.toPandas()
     table = np.array(rows["row"].tolist(), float).reshape(len(rows), len(STATISTICS))
     order = np.lexsort((*table.T, rows["label"].to_numpy(int)))  # sums, and so trees, don't depend on the order of arrival
     return trees.fit(table[order], rows["label"].to_numpy(float)[order])
 
 
-def scored(docs: DataFrame, model: trees.Trees, text: str = "text") -> DataFrame:
-    """Adds `score`, the chance that a whole text is good; a given column of that name is replaced."""
+def scored(docs: DataFrame, model: trees.Trees, text: str = "text", score: str = "score") -> DataFrame:
+    """Adds the chance that a whole text is good; a given column of that name is replaced, all others stay."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # some kB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, text):
-            yield replaced(batch, {"score": pa.array(shared.value.predict(statistics(batch.column(text))))})
+            yield replaced(batch, {score: pa.array(shared.value.predict(statistics(batch.column(text))))})
 
-    return docs.mapInArrow(run, T.StructType([*without(docs, "score").schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(run, T.StructType([*without(docs, score).schema.fields, T.StructField(score, T.DoubleType())]))
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -140,9 +140,6 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.select("doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """The documents predicted as good, with their columns; trained on `known` if given, else on the documents."""
-    names = docs.columns
-    kept = scored(docs.withColumnRenamed("score", "_score") if "score" in names else docs, train(docs if known is None else known, labels))
-    kept = kept.where(F.col("score") >= THRESHOLD).drop("score")
-    return kept.withColumnRenamed("_score", "score").select(*[f"`{c}`" for c in names]) if "score" in names else kept
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents predicted as good, with their columns; trained on those of them that are labelled."""
+    return scored(docs, train(docs, labels), score="_accepted").where(F.col("_accepted") >= THRESHOLD).drop("_accepted")

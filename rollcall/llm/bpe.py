@@ -34,7 +34,7 @@ CUT = re.compile(rb" (?=[^\s\x1c-\x1f\xc2\xe1\xe2\xe3])")
 #: Texts that need that careful cut: white space other than single spaces and newlines between other characters.
 RARE = r"[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1000}-\x{3fff}]|[ \n][ \n]|^[ \n]|[ \n]\z"
 #: Pieces remembered per worker in each of two generations, some 200 bytes each; bytes of text worked on at a time.
-REMEMBERED, AT_ONCE = 600_000, 4 << 20
+REMEMBERED, AT_ONCE = 250_000, 4 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -64,8 +64,8 @@ class Pieces:
     the pieces of a text that can't be cut at every space.
     """
 
-    def __init__(self, learn, careful, newline: bytes, width: int, added: Iterable[bytes]):
-        self.learn, self.careful, self.newline, self.width = learn, careful, newline, width
+    def __init__(self, learn, careful, newline: bytes, width: int, added: Iterable[bytes], remembered: int = REMEMBERED):
+        self.learn, self.careful, self.newline, self.width, self.remembered = learn, careful, newline, width, remembered
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.rare = "|".join([RARE, *(re.escape(token.decode()) for token in added)])
@@ -79,7 +79,7 @@ class Pieces:
         made = {p: ids for p in new if (ids := self.older.get(p)) is not None}
         new = [p for p in new if p not in made] if made else new
         made.update(zip(new, self.learn(new, plain), strict=True))
-        if len(known) + len(made) > REMEMBERED:
+        if len(known) + len(made) > self.remembered:
             self.older, self.known = known, made
         else:
             known.update(made)
@@ -137,9 +137,7 @@ class Vocabulary:
         pairs = [pair.split(" ") if isinstance(pair, str) else pair for pair in given["model"]["merges"]]
         self.merges = [(ids[a], ids[b], ids[a + b]) for a, b in pairs]
         self.ranks = {(a, b): rank for rank, (a, b, _) in reversed(list(enumerate(self.merges)))}
-        self.strings = {i: bytes(letters[x] for x in string) for string, i in ids.items() if all(x in letters for x in string)}
         self.added = {token["content"].encode(): token["id"] for token in given["added_tokens"]}
-        self.strings |= {i: token for token, i in self.added.items()}
         self.split = re.compile(b"(%s)" % b"|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self.pretokens = regex.compile(PRETOKENS)
         self.stops = {stop: self.merged(stop) for stop in (b".", b",")}
@@ -201,20 +199,30 @@ class Vocabulary:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         return self.table.encode(texts)
 
+
+class Strings:
+    """The vocabulary strings of a byte-level tokenizer file as bytes, by id."""
+
+    def __init__(self, source: str):
+        given, letters = json.loads(source), byte_letters()
+        ids = given["model"]["vocab"].items()
+        self.of = {i: bytes(letters[x] for x in string) for string, i in ids if all(x in letters for x in string)}
+        self.of |= {token["id"]: token["content"].encode() for token in given["added_tokens"]}
+
     def decode(self, ids: bytes) -> str:
-        strings = self.strings
-        return b"".join([strings.get(i, b"") for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
+        of = self.of
+        return b"".join([of.get(i, b"") for i in memoryview(ids).cast("I")]).decode("utf-8", "replace")
 
 
-_loaded: dict[int, Vocabulary] = {}
+_loaded: dict[tuple[type, int], Vocabulary | Strings] = {}
 
 
-def vocabulary(source: str) -> Vocabulary:
-    """One vocabulary per worker process, kept for its next tasks."""
-    key = hash(source)
+def loaded(kind: type, source: str):
+    """One table of a kind per worker process, kept for its next tasks."""
+    key = kind, hash(source)
     if key not in _loaded:
         _loaded.clear()
-        _loaded[key] = Vocabulary(source)
+        _loaded[key] = kind(source)
     return _loaded[key]
 
 
@@ -227,7 +235,7 @@ def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids"
     source = docs.sparkSession.sparkContext.broadcast(text_of(tokenizer))  # a vocabulary file, some MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(source.value)
+        known = loaded(Vocabulary, source.value)
         for batch in portions(batches, text):
             yield replaced(batch, {ids: pa.array(known.encode(batch.column(text)), pa.binary())})
 
@@ -244,7 +252,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "de
     source = encoded.sparkSession.sparkContext.broadcast(text_of(tokenizer))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary(source.value)
+        known = loaded(Strings, source.value)
         for batch in batches:
             rows = batch.column(ids).to_pylist()
             yield replaced(batch, {text: pa.array([known.decode(x) if x else "" for x in rows], pa.string())})

@@ -36,6 +36,8 @@ from rollcall.llm.shared import files, keep, read_file, single, text_of, write_f
 
 #: Keys in a bucket of the index, on average: what one task builds and one lookup task holds, some MB.
 BUCKET_KEYS = 100_000
+#: Pieces remembered per worker in each of two generations.
+REMEMBERED = 600_000
 #: Records read at a time, and ids of neighbours that come along.
 READ_ROWS, READ_IDS = 1_000, 4_000_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("ids", "<u8"), ("start", "<u8")])
@@ -58,7 +60,7 @@ class Encoder:
         (self.line,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.newline, *stops = [self.ids(text) for text in ("\n", ".", ",")]
         self.stops = dict(zip((b".", b","), stops, strict=True))
-        self.table = Pieces(self.learn, lambda text: [text], self.newline, width, added)
+        self.table = Pieces(self.learn, lambda text: [text], self.newline, width, added, REMEMBERED)
 
     def ids(self, text: str) -> bytes:
         return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()

@@ -8,13 +8,17 @@ The rule is a greedy matching on the graph whose edges are the rows. It runs in
 the earliest of both its keys is accepted, the rows that share a key with it leave, and the rest goes into
 the next round. Rows whose keys nobody else has are done after one round, and in a mixed order the number of
 rounds grows with the logarithm of the rows.
+
+In a chain every row waits for the one before it, and rounds alone would settle one row each. So later rounds also look
+at rows with a single earlier rival: such a row is accepted exactly if its rival isn't. Rows of that kind point at their
+rivals, and pointers double until they reach a row that is first for both its keys: a chain takes the logarithm
+of its length in joins, each between tables of one row per key.
 """
 
 from __future__ import annotations
 
 import logging
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,11 +28,8 @@ log = logging.getLogger(__name__)
 # rows / MAX_HOT_KEYS, so that there are never more than MAX_HOT_KEYS hot keys.
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000
-# Mixed data is done after fewer rounds than this. What is left then holds chains, in which every row waits for
-# the one before and a round settles one row of each; so from then on each round also decides the earliest
-# rows, this many, one after the other.
-BLOCK_AFTER = 16
-BLOCK_ROWS = 200_000
+# Mixed data is done after few rounds more than this; from then on each round also resolves chains.
+CHAINS_AFTER = 4
 
 
 class RoundLimitError(RuntimeError):
@@ -52,8 +53,7 @@ def winners(
     max_rounds: int | None = None,
     hot_rows: int = HOT_ROWS,
     max_hot_keys: int = MAX_HOT_KEYS,
-    block_rows: int = BLOCK_ROWS,
-    block_after: int = BLOCK_AFTER,
+    chains_after: int | None = CHAINS_AFTER,
 ) -> DataFrame:
     """The ``order`` values of the accepted rows, as a table in ``workdir``.
 
@@ -93,9 +93,9 @@ def winners(
         log.info("round %d: %d rows undecided", rounds, left)
         if max_rounds is not None and rounds > max_rounds:
             raise RoundLimitError(f"{left} rows undecided after {max_rounds} rounds")
-        left = settle(_earliest_of_both(rest.rows, first_key, second_key, order))
-        if left and block_rows and rounds >= block_after:
-            left = settle(_in_order(rest.rows, first_key, second_key, order, block_rows))
+        chains = chains_after is not None and rounds > chains_after
+        choose = _with_chains if chains else _earliest_of_both
+        left = settle(choose(rest, first_key, second_key, order))
     return rows.sparkSession.read.schema(edges.schema).parquet(f"{workdir}/accepted").select(order)
 
 
@@ -118,8 +118,9 @@ class _Remainder:
         return self._spark.read.schema(rows.schema).parquet(path)
 
 
-def _earliest_of_both(rows: DataFrame, first_key: str, second_key: str, order: str) -> DataFrame:
+def _earliest_of_both(rest: _Remainder, first_key: str, second_key: str, order: str) -> DataFrame:
     """The rows that come first for both their keys. Both sides hold one row per key, so no key is hot."""
+    rows = rest.rows
     per_first = rows.groupBy(first_key).agg(F.min(order).alias(order))
     per_second = rows.groupBy(second_key).agg(F.min(order).alias(order))
     return per_first.join(per_second, order).select(first_key, second_key, order)
@@ -170,23 +171,39 @@ def _without_taken_key(rows: DataFrame, taken: DataFrame, key: str, order: str,
     return spread.join(taken.select(place(unsalted)), "_place", "left_anti").select(rows.columns)
 
 
-def _in_order(rows: DataFrame, first_key: str, second_key: str, order: str, size: int) -> DataFrame:
-    """The winners among the earliest ``size`` rows, by the rule as written, in one task.
-
-    Rows depend on earlier rows only, so what is decided here is final, however many rows come after.
-    """
-
-    def in_order(batches):
-        firsts, seconds = set(), set()
-        for batch in batches:
-            wins = []
-            for first, second in zip(batch[first_key].to_pylist(), batch[second_key].to_pylist()):
-                free = first not in firsts and second not in seconds
-                if free:
-                    firsts.add(first)
-                    seconds.add(second)
-                wins.append(free)
-            yield batch.filter(pa.array(wins, pa.bool_()))
-
-    earliest = rows.orderBy(order).limit(size)
-    return earliest.coalesce(1).sortWithinPartitions(order).mapInArrow(in_order, rows.schema)
+def _with_chains(rest: _Remainder, first_key: str, second_key: str, order: str) -> DataFrame:
+    """The rows that come first for both their keys, and what follows from them along chains."""
+    firsts, pointers = {}, []
+    for key in (first_key, second_key):
+        earliest = rest.rows.groupBy(key).agg(F.min(order).alias("rival"))
+        firsts[key] = rest.written(earliest, f"first-{key}")
+        # The second of a key: without its first, found by its unique order and not by the key, which may be hot.
+        later = rest.rows.join(firsts[key].select(F.col("rival").alias(order)), order, "left_anti")
+        second = later.groupBy(key).agg(F.min(order).alias("row")).join(firsts[key], key)
+        pointers.append(second.select("row", "rival"))
+    first = {key: firsts[key].select(F.col("rival").alias("row")) for key in firsts}
+    roots = rest.written(first[first_key].join(first[second_key], "row"), "roots")
+    # Second for one key and first for the other: one earlier rival in all.
+    single = pointers[0].join(first[second_key], "row").unionByName(pointers[1].join(first[first_key], "row"))
+    known = _resolved(rest, single, roots)
+    chosen = roots.unionByName(known.filter(F.col("steps") % 2 == 0).select("row"))
+    return rest.rows.join(chosen.select(F.col("row").alias(order)), order, "left_semi")
+
+
+def _resolved(rest: _Remainder, single: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows whose pointers lead to a root: row, and the number of steps to it. Each join doubles the steps."""
+    jumps = rest.written(single.select("row", F.col("rival").alias("at"), F.lit(1).cast("long").alias("steps")), "jumps-0")
+    turn = 0
+    while True:
+        turn += 1
+        further = jumps.select(F.col("row").alias("at"), F.col("at").alias("next"), F.col("steps").alias("more"))
+        moved = jumps.join(further, "at", "left").select(
+            "row",
+            F.coalesce("next", "at").alias("at"),
+            (F.col("steps") + F.coalesce("more", F.lit(0))).alias("steps"),
+            F.col("next").isNotNull().alias("moved"),
+        )
+        moved = rest.written(moved, f"jumps-{turn % 2}")
+        jumps = moved.drop("moved")
+        if moved.filter("moved").isEmpty():
+            return jumps.join(roots.select(F.col("row").alias("at")), "at", "left_semi")

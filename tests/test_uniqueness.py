@@ -43,7 +43,8 @@ def test_rejected_row_reserves_nothing(spark):
 @pytest.mark.parametrize("seed", range(3))
 def test_equals_the_sequential_rule(spark, seed):
     rows = _trials(seed)
-    assert _run(spark, rows, block_rows=0) == sequential(rows)
+    assert _run(spark, rows, chains_after=None) == sequential(rows)
+    assert _run(spark, rows, chains_after=0) == sequential(rows)
 
 
 def test_hot_keys_are_spread_and_the_result_is_the_same(spark):
@@ -66,24 +67,28 @@ def test_keys_taken_earlier(spark):
     assert _run(spark, rows, taken=taken, hot_rows=2) == sequential(rows, taken)
 
 
-@pytest.mark.parametrize("block_rows", [16, 60, 1000])
-def test_chains_are_decided_block_by_block(spark, block_rows):
-    rows = _chain(200)
+@pytest.mark.parametrize("length", [200, 3000])
+def test_chains_take_one_round(spark, length):
+    rows = _chain(length)
     expected = sequential(rows)
-    assert len(expected) == 100
-    # By rounds alone it takes 100 of them.
-    rounds = 2 + 200 // block_rows
-    assert _run(spark, rows, block_after=1, block_rows=block_rows, max_rounds=rounds) == expected
+    assert len(expected) == length // 2
+    # By rounds alone it takes one for each accepted row.
+    assert _run(spark, rows, chains_after=0, max_rounds=1) == expected
 
 
-def test_blocks_and_rounds_equal_the_sequential_rule(spark):
-    rows = _trials(21)
-    assert _run(spark, rows, block_after=1, block_rows=50) == sequential(rows)
+def test_chains_with_branches_equal_the_sequential_rule(spark):
+    rnd = random.Random(9)
+    rows = _chain(120) + [(1000 + n, f"e{rnd.randint(0, 70)}", f"u{rnd.randint(0, 70)}") for n in range(120)]
+    order = list(range(len(rows)))
+    rnd.shuffle(order)
+    for given in (rows, [(n, first, second) for n, (_, first, second) in zip(order, rows)]):
+        assert _run(spark, given, chains_after=1) == sequential(given)
+        assert _run(spark, given, chains_after=1, hot_rows=3) == sequential(given)
 
 
 def test_round_limit_raises_instead_of_answering_in_part(spark):
     with pytest.raises(RoundLimitError):
-        _run(spark, _chain(40), max_rounds=3, block_rows=0)
+        _run(spark, _chain(40), max_rounds=3, chains_after=None)
 
 
 def test_empty_and_null_keys(spark):
@@ -95,7 +100,7 @@ def test_struct_order(spark):
     given = [(1, 0, "a", "x"), (0, 5, "a", "y"), (0, 6, "b", "x")]
     rows = spark.createDataFrame(given, "p int, o int, email string, username string")
     ordered = rows.selectExpr("struct(p, o) as at", "email", "username")
-    won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"), block_after=1, block_rows=1)
+    won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"), chains_after=0)
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]
     won = first_wins(ordered, "email", "username", "at", new_folder(spark, "test"))
     assert sorted((row.at.p, row.at.o) for row in won.collect()) == [(0, 5), (0, 6)]

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions import street_address
-from rollcall.schemas import RESPONSE_DDL
+from rollcall.schemas import USER_DDL
 
 _CORRUPT = "_corrupt"
 
@@ -32,25 +32,36 @@ USER_PATHS = [path for paths in FIELD_PATHS.values() for path in ([paths] if isi
 
 
 def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame:
-    """Add ``user``, the first result of the response text, and ``reason`` where it cannot be used."""
-    schema = f"{RESPONSE_DDL}, {_CORRUPT} string"
-    parsed = F.from_json(column, schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    body = F.col("_body")
-    # get() gives NULL on an empty array where [0] would end an ANSI job.
-    user = F.get(body["results"], 0)
-    first = responses.withColumn("_body", parsed).select(
-        *responses.columns,
-        user.alias("user"),
-        (body.isNull() | body[_CORRUPT].isNotNull()).alias("_malformed"),
-    )
+    """Add ``user``, the first result of the response text, and ``reason`` where it cannot be used.
+
+    Only the first result is read; later ones may have any shape. The text must be one JSON value and nothing
+    after it. Texts that name a key twice in one object, and those over Spark's limit of a variant (128 MB), count as
+    malformed.
+    """
+    # In brackets, so that text after the value is an error, and not left unread.
+    whole = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
+    parsed = responses.withColumn("_whole", whole).withColumn("_first", F.get_json_object(column, "$.results[0]"))
+    user = F.from_json("_first", f"{USER_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
+    parsed = parsed.withColumn("user", user)
+    one_value = _found("$[0]").isNotNull() & _found("$[1]").isNull()
+    malformed = F.col(column).isNull() | F.col("_whole").isNull() | ~one_value
     any_null = F.size(F.array_compact(F.array(*(_at(path) for path in USER_PATHS)))) < len(USER_PATHS)
-    missing = _missing_paths(column)
+    missing = F.array(*(F.when(_found(f"$[0].results[0].{path}").isNull(), F.lit(path)) for path in USER_PATHS))
+    missing = F.array_join(F.array_compact(missing), ",")
     reason = (
-        F.when(F.col("_malformed"), "malformed_response")
-        .when(F.col("user").isNull(), "no_result")
+        F.when(malformed, "malformed_response")
+        .when(F.col("_first").isNull() | (F.col("_first") == "null"), "no_result")
+        .when(F.col(f"user.{_CORRUPT}").isNotNull(), "malformed_response")
         .when(any_null & (missing != ""), F.concat(F.lit("missing:"), missing))
     )
-    return first.select(*responses.columns, "user", reason.alias("reason"))
+    usable = ~malformed & F.col(f"user.{_CORRUPT}").isNull()
+    kept = F.when(usable, F.col("user").dropFields(_CORRUPT)).alias("user")
+    return parsed.select(*responses.columns, kept, reason.alias("reason"))
+
+
+def _found(path: str) -> Column:
+    """What the parsed text has at a path: NULL if there is none, a variant null where it says null."""
+    return F.variant_get("_whole", path, "variant")
 
 
 def flatten_users(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -74,28 +85,3 @@ def event_columns() -> list[Column]:
 
 def _at(path: str) -> Column:
     return F.col(f"user.{path}")
-
-
-def _missing_paths(column: str) -> Column:
-    """The paths the first result lacks. The text is searched again only for values that are NULL.
-
-    One expression over an array: spelled out per path, the generated code grows too large to be compiled.
-    """
-    parts = [f"$.results[0].{path}".rpartition(".") for path in USER_PATHS]
-    places = F.array(
-        *(
-            F.struct(
-                F.lit(path).alias("path"),
-                F.lit(parent).alias("parent"),
-                F.lit(name).alias("name"),
-                _at(path).isNull().alias("empty"),
-            )
-            for path, (parent, _, name) in zip(USER_PATHS, parts)
-        )
-    )
-
-    def is_missing(place: Column) -> Column:
-        keys = F.json_object_keys(F.call_function("get_json_object", F.col(column), place["parent"]))
-        return place["empty"] & ~F.coalesce(F.array_contains(keys, place["name"]), F.lit(False))
-
-    return F.array_join(F.transform(F.filter(places, is_missing), lambda place: place["path"]), ",")

@@ -68,12 +68,13 @@ _SECOND_USER = _FULL_USER.replace("'email': email", "'email': 'second@example.co
 _RESPONSES = f"""
 texts as (
  select *, cast(case when user_key % 40 = 0 then '{{"results":[]}}'
+  when user_key % 82 = 0 then '{{"results":[' || to_json({_FULL_USER}) || ',{{"location":"x"}}]}}'
   when user_key % 41 = 0 then to_json({{'results': [{_FULL_USER}, {_SECOND_USER}]}})
   when user_key % 43 = 0 then to_json({{'results': [{_USER_WITHOUT_PHONE}]}})
   else to_json({{'results': [{_FULL_USER}]}}) end as varchar) as text from users),
 answered as (
- select * exclude (text), case when user_key % 47 = 0 then rtrim(text, '}}') else text end as response,
-  case when user_key % 47 = 0 then 'malformed_response' when user_key % 40 = 0 then 'no_result'
+ select * exclude (text), case when user_key % 47 = 0 then rtrim(text, '}}') when user_key % 53 = 0 then text || ' x' else text end as response,
+  case when user_key % 47 = 0 or user_key % 53 = 0 then 'malformed_response' when user_key % 40 = 0 then 'no_result'
    when user_key % 43 = 0 and user_key % 41 <> 0 then 'missing:phone' end as reason
  from texts)"""
 

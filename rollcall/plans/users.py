@@ -59,22 +59,27 @@ def _join_users(spark: SparkSession, folder: str, orders: DataFrame) -> DataFram
 def responses(users: DataFrame) -> DataFrame:
     """Each user as an API response text.
 
-    Every 40th response has no result, every 41st two of them, every 43rd lacks the phone, and every 47th is
-    cut off at its end.
+    Every 40th response has no result, every 41st two of them, the second of every 82nd being no user at all, every
+    43rd lacks the phone, every 47th is cut off at its end, and every 53rd is followed by other text.
     """
     key = F.col("user_key")
     text = (
         F.when(key % 40 == 0, _response(F.slice(F.array(_user()), 1, 0)))
+        .when(key % 82 == 0, F.concat(F.lit('{"results":['), _json(_user()), F.lit(',{"location":"x"}]}')))
         .when(key % 41 == 0, _response(F.array(_user(), _user().withField("email", F.lit("second@example.com")))))
         .when(key % 43 == 0, _response(F.array(_user().dropFields("phone"))))
         .otherwise(_response(F.array(_user())))
     )
-    whole = F.when(key % 47 == 0, F.rtrim(text, F.lit("}"))).otherwise(text)
+    whole = F.when(key % 47 == 0, F.rtrim(text, F.lit("}"))).when(key % 53 == 0, F.concat(text, F.lit(" x"))).otherwise(text)
     return users.select("user_key", whole.alias("response"))
 
 
 def _response(results: Column) -> Column:
-    return F.to_json(F.struct(results.alias("results")), {"ignoreNullFields": "false"})
+    return _json(F.struct(results.alias("results")))
+
+
+def _json(value: Column) -> Column:
+    return F.to_json(value, {"ignoreNullFields": "false"})
 
 
 def _user() -> Column:

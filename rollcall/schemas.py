@@ -50,19 +50,18 @@ CONSTRAINED = T.StructType(
 
 # The part of an API response that events are made from. `number` and `postcode`
 # arrive as numbers or texts; reading them as text accepts both.
-RESPONSE_DDL = """
-    results array<struct<
-      gender: string,
-      name: struct<first: string, last: string>,
-      location: struct<
-        street: struct<number: string, name: string>,
-        city: string, state: string, country: string, postcode: string>,
-      email: string,
-      login: struct<username: string>,
-      dob: struct<date: string>,
-      registered: struct<date: string>,
-      phone: string,
-      picture: struct<medium: string>>>
+USER_DDL = """
+    gender string,
+    name struct<first: string, last: string>,
+    location struct<
+      street: struct<number: string, name: string>,
+      city: string, state: string, country: string, postcode: string>,
+    email string,
+    login struct<username: string>,
+    dob struct<date: string>,
+    registered struct<date: string>,
+    phone string,
+    picture struct<medium: string>
 """
 
 # The columns Spark's Kafka source delivers; file-backed topics use the same shape.

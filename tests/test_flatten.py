@@ -41,6 +41,16 @@ def test_text_postcode_and_first_of_two_results(spark):
     assert (row[0].post_code, row[0].email) == ("N1 9GU", "ada@example.com")
 
 
+def test_only_the_first_result_is_read(spark):
+    good = response()["results"][0]
+    bodies = [{"results": [good, {"location": "x"}]}, {"results": [good, 5]}, {"results": [{"location": "x"}, good]}]
+    bodies += [json.dumps(response()) + tail for tail in (" x", ", 1", "\n", "{}")]
+    parsed = _parsed(spark, bodies).select("n", "user.email", "reason").collect()
+    assert {row.n for row in parsed if row.reason is None} == {0, 1, 5}
+    assert all(row.email == "ada@example.com" for row in parsed if row.reason is None)
+    assert {row.reason for row in parsed if row.n not in (0, 1, 5)} == {"malformed_response"}
+
+
 def test_unusable_responses(spark):
     without_phone = response()
     del without_phone["results"][0]["phone"]

@@ -38,13 +38,25 @@ def violators(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("violation").isNotNull())
 
 
-def check_table(events: DataFrame, order: str, workdir: str, *, taken: DataFrame | None = None, **options) -> DataFrame:
+def check_table(
+    events: DataFrame,
+    order: str,
+    workdir: str,
+    *,
+    taken: DataFrame | None = None,
+    write_checked: bool = True,
+    **options,
+) -> DataFrame:
     """Every row with its ``violation`` under NOT NULL, the date types and both UNIQUE keys.
 
     The first row in ``order`` wins. Rows that fail another check reserve no key. ``taken`` holds the rows
-    the table already has.
+    the table already has. The checked rows are read twice, so they are written to ``workdir`` first, unless
+    ``events`` are held already.
     """
     checked = check_rows(events)
+    if write_checked:
+        checked.write.mode("overwrite").parquet(f"{workdir}/checked")
+        checked = events.sparkSession.read.schema(checked.schema).parquet(f"{workdir}/checked")
     won = winners(checked.filter(F.col("violation").isNull()), "email", "username", order, workdir, taken=taken, **options)
     verdict = F.coalesce("violation", F.when(F.col("_won").isNull(), "unique:email,username"))
     return checked.join(won.withColumn("_won", F.lit(True)), order, "left").select(

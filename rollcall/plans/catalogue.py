@@ -14,8 +14,8 @@ from rollcall.operators.latest import latest_per_key
 from rollcall.operators.resent import seen_schema
 from rollcall.operators.uniqueness import first_wins
 from rollcall.plans import users as given
-from rollcall.schemas import CONSTRAINED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
-from rollcall.sinks.batches import BatchTable
+from rollcall.schemas import CONSTRAINED, COUNTED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
+from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.ddl import create_if_absent
 from rollcall.sources.messages import file_messages
 from rollcall.sources.tables import load_users, table
@@ -23,10 +23,13 @@ from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE
 from rollcall.workspace import new_folder
 
+# Files that a micro-batch of these queries takes; a published topic has more of them (see `users.publish_topic`).
+FILES = 1
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Longer than the order dates span: every copy of a record is a re-send.
-WHOLE_HISTORY = timedelta(days=5000)
+# A second order of a customer this soon counts as the first one sent again.
+RESENT_WITHIN = timedelta(days=30)
 
 
 def load(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,52 +147,54 @@ def stream_decode(spark: SparkSession, folder: str) -> DataFrame:
     """From a published topic, as a consumer sees it."""
     place = new_folder(spark, "stream")
     topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
-    stored, _ = _store(spark, place, file_messages(spark, topic))
+    stored, _ = _store(spark, place, file_messages(spark, topic, max_per_trigger=FILES))
     return stored
 
 
 def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
-    messages = given.messages(given.users_stream(spark, folder), damaged=True)
-    _, bad = _store(spark, new_folder(spark, "stream-quarantine"), messages)
+    place = new_folder(spark, "stream-quarantine")
+    topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
+    _, bad = _store(spark, place, file_messages(spark, topic, max_per_trigger=FILES))
     return bad.select("topic", "partition", "offset", F.hex("value").alias("value_hex"), "reason")
 
 
 def stream_sink_idempotent(spark: SparkSession, folder: str) -> DataFrame:
     """The job run twice on one checkpoint, as a scheduler's retry would."""
     place = new_folder(spark, "stream-twice")
+    topic = given.publish_topic(spark, folder, f"{place}/topic", damaged=True)
     for _ in range(2):
-        messages = given.messages(given.users_stream(spark, folder), damaged=True)
-        stored, _ = _store(spark, place, messages)
+        stored, _ = _store(spark, place, file_messages(spark, topic, max_per_trigger=FILES))
     return stored
 
 
 def stream_counts(spark: SparkSession, folder: str) -> DataFrame:
     place = new_folder(spark, "stream-counts")
     topic = given.publish_topic(spark, folder, f"{place}/topic")
-    stored = codec.records(codec.parse_messages(file_messages(spark, topic), keep=()), keep=())
+    parsed = codec.parse_messages(file_messages(spark, topic, max_per_trigger=FILES), COUNTED, keep=())
     snapshots = BatchTable(spark, f"{place}/totals", SNAPSHOT)
-    jobs.count_users(stored, snapshots.replace, f"{place}/checkpoint").awaitTermination()
+    jobs.count_users(codec.records(parsed, keep=()), snapshots.snapshot, f"{place}/checkpoint").awaitTermination()
     return snapshots.newest()
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Every message sent twice, kept once per (email, registered_date)."""
+    """Every message sent twice; kept are those that no message of the same e-mail precedes by at most the bound."""
     place = new_folder(spark, "stream-dedup")
-    sent = given.messages(given.users_stream(spark, folder)).withColumn("attempt", F.explode(F.array(F.lit(0), F.lit(1))))
-    parsed = codec.parse_messages(sent, keep=("timestamp",))
-    received = codec.records(parsed, keep=("timestamp",)).select("email", "registered_date", "timestamp")
-    keys = ["email", "registered_date"]
+    topic = given.publish_topic(spark, folder, f"{place}/topic", by_time=True, copies=2)
+    parsed = codec.parse_messages(file_messages(spark, topic, max_per_trigger=FILES), keep=("timestamp",))
+    received = codec.records(parsed, keep=("timestamp",)).select("email", "timestamp")
     kept = BatchTable(spark, f"{place}/kept", received.schema)
-    seen = BatchTable(spark, f"{place}/seen", seen_schema(received.schema, keys))
-    jobs.drop_resent(received, keys, WHOLE_HISTORY, kept.replace, seen, f"{place}/checkpoint").awaitTermination()
-    return kept.rows().select("email", "registered_date")
+    seen = SlotTable(spark, f"{place}/seen", seen_schema(received.schema, ["email"]))
+    jobs.drop_resent(received, ["email"], RESENT_WITHIN, kept.replace, seen, f"{place}/checkpoint").awaitTermination()
+    return kept.rows().select("email", F.col("timestamp").cast("date").cast("string").alias("sent"))
 
 
 def stream_constrained(spark: SparkSession, folder: str) -> DataFrame:
-    """One micro-batch: between batches the earlier one wins, and here the order is that of the whole table."""
+    """Messages published in the order of their keys, so that earlier batches hold earlier rows."""
     place = new_folder(spark, "stream-constrained")
-    users = given.users_stream(spark, folder, max_per_trigger=None)
-    messages = given.messages(users).withColumn("id", position_id())
+    topic = given.publish_topic(spark, folder, f"{place}/topic", by_key=True)
+    messages = file_messages(spark, topic, max_per_trigger=FILES).withColumn("id", position_id())
+    # Partition and offset together number the messages as the key does.
+    messages = messages.withColumn("user_key", F.col("offset") * 8 + F.col("partition"))
     events = codec.records(codec.parse_messages(messages, EVENT, keep=("id", "user_key")), keep=("id", "user_key"))
     accepted = BatchTable(spark, f"{place}/users", CONSTRAINED)
     rejected = BatchTable(spark, f"{place}/rejected", REJECTED)

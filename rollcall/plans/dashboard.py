@@ -9,7 +9,7 @@ from rollcall.operators import charts
 from rollcall.operators.counts import joint_counts
 
 
-def dashboard(users: DataFrame, workdir: str, known: DataFrame | None = None) -> dict[str, DataFrame]:
+def dashboard(users: DataFrame, workdir: str, known: DataFrame | None = None, top: int | None = None) -> dict[str, DataFrame]:
     """The data set of each figure. Adding up counts gives the same totals as counting the users again.
 
     The users are counted once per (country, gender, year) into a small table; each figure adds that up.
@@ -26,6 +26,8 @@ def dashboard(users: DataFrame, workdir: str, known: DataFrame | None = None) ->
     }
     if known is not None:
         frames["country_match"] = charts.with_match(by_country, known)
+    if top:
+        frames["top_countries"] = by_country.orderBy(F.desc("total"), F.asc_nulls_last("country")).limit(top)
     return frames
 
 

@@ -185,7 +185,12 @@ from users group by country"""
     "stream_quarantine": _QUARANTINE,
     "stream_sink_idempotent": _STORE,
     "stream_counts": _TOTALS,
-    "stream_dedup": _with_users("select distinct email, registered_date from users"),
+    "stream_dedup": _with_users(
+        """select email, cast(sent as varchar) as sent from (
+ select email, d as sent, d - lag(d) over (partition by email order by d) as gap
+ from (select distinct email, cast(replace(dob, 'Z', '') as date) as d from users))
+where gap is null or gap > 30"""
+    ),
     "stream_constrained": _with_users(
         f"select {_ID} as id, {_dates()} from checked join s on user_key = s.won", _VIOLATION, _USERS_ONE_BY_ONE
     ),

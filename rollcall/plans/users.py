@@ -123,13 +123,39 @@ def messages(users: DataFrame, damaged: bool = False) -> DataFrame:
     )
 
 
-def publish_topic(spark: SparkSession, folder: str, path: str, damaged: bool = False) -> str:
-    """All users as a file-backed topic at ``path``, to be read as the Kafka source would be."""
+# Parts in which a topic is published, one after the other.
+PARTS = 4
+
+
+def publish_topic(
+    spark: SparkSession, folder: str, path: str, damaged: bool = False, *, by_time: bool = False, by_key: bool = False, copies: int = 1
+) -> str:
+    """All users as a file-backed topic at ``path``, to be read as the Kafka source would be.
+
+    They are published in PARTS parts, one file each: by time or key, where messages are to arrive in that order.
+    """
     published = messages(users(spark, folder), damaged)
-    published.select(*MESSAGE.names).write.parquet(path)
+    if copies > 1:
+        published = published.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
+    order = "timestamp" if by_time else "user_key"
+    kept = published.select("user_key", *MESSAGE.names).withColumn("_part", _part(published, order, by_time or by_key))
+    kept.write.partitionBy("_part").parquet(f"{path}-all")
+    ready = spark.read.schema(kept.schema).parquet(f"{path}-all")
+    for part in range(PARTS):
+        # One file per part: a file stream takes files in the order in which they were written.
+        ready.filter(F.col("_part") == part).select(*MESSAGE.names).coalesce(1).write.mode("append").parquet(path)
     return path
 
 
+def _part(published: DataFrame, order: str, ranges: bool) -> Column:
+    if not ranges:
+        return F.pmod(F.xxhash64(order), F.lit(PARTS)).cast("int")
+    value = F.unix_micros(order) if order == "timestamp" else F.col(order)
+    ends = published.select(F.min(value).alias("low"), F.max(value).alias("high")).first()
+    low, high = ends.low or 0, (ends.high or 0) + 1
+    return F.floor((value - low) * PARTS / (high - low)).cast("int")
+
+
 def _damage(value: Column, kind: Column) -> Column:
     def around(before: str, after: str = "") -> Column:
         return F.concat(F.unhex(F.lit(before.encode().hex())), value, F.unhex(F.lit(after.encode().hex())))

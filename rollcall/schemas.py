@@ -40,6 +40,9 @@ EVENT = _strings(EVENT_FIELDS)
 DECODED = _strings(STORED_FIELDS)
 STORED = _strings(("id", *STORED_FIELDS))
 
+# What the counts need of a message.
+COUNTED = _strings(("gender", "country", "registered_date"))
+
 CONSTRAINED = T.StructType(
     [T.StructField("id", T.StringType())]
     + [

@@ -1,18 +1,24 @@
-"""A table that takes micro-batches idempotently."""
+"""Tables that take micro-batches idempotently."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rollcall.workspace import folders, move_folder, remove_folder
+
 
 class BatchTable:
     """Parquet table with one partition per micro-batch.
 
     Writing a batch replaces that batch's partition, so a batch that Spark replays after a crash leaves
-    the table as if it had run once. Table and checkpoint belong together: under a new checkpoint the
-    batch numbers start again at 0 and would replace older rows, so give it a new table as well.
+    the table as if it had run once. A batch is written aside and renamed into place, so readers find all of it or
+    nothing (where the store renames folders; on a store that copies instead, a reader may meet a part). Table and
+    checkpoint belong together: under a new checkpoint the batch numbers start again at 0 and would replace older rows,
+    so give it a new table as well.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType | str):
@@ -24,7 +30,20 @@ class BatchTable:
         empty.write.mode("ignore").parquet(f"{path}/batch_id=-1")
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
-        rows.select(*self.schema.names).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        # Spark's readers pass over names that start with an underscore.
+        aside, target = f"{self.path}/_aside-{uuid.uuid4().hex}", f"{self.path}/batch_id={batch_id}"
+        rows.select(*self.schema.names).write.parquet(f"{aside}/new")
+        move_folder(self._spark, target, f"{aside}/old")
+        move_folder(self._spark, f"{aside}/new", target)
+        remove_folder(self._spark, aside)
+
+    def snapshot(self, rows: DataFrame, batch_id: int) -> None:
+        """Write a batch that holds the whole state, and drop those before the last one."""
+        self.replace(rows, batch_id)
+        for name in folders(self._spark, self.path):
+            number = name.removeprefix("batch_id=")
+            if number.isdigit() and int(number) < batch_id - 1:
+                remove_folder(self._spark, f"{self.path}/{name}")
 
     def read(self) -> DataFrame:
         schema = T.StructType([*self.schema.fields, T.StructField("batch_id", T.LongType())])
@@ -41,3 +60,32 @@ class BatchTable:
         """The rows of the last batch, for sinks that write a full snapshot each time."""
         stored = self.read()
         return stored.filter(F.col("batch_id") == stored.agg(F.max("batch_id")).scalar()).drop("batch_id")
+
+
+class SlotTable:
+    """Parquet table of state by slot of time and micro-batch, which forgets old slots."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
+        self._spark = spark
+        self.path = path
+        self.schema = T.StructType([*(f for f in schema if f.name != "slot"), schema["slot"], T.StructField("batch_id", T.LongType())])
+
+    def _read(self) -> DataFrame:
+        if not folders(self._spark, self.path):
+            return self._spark.createDataFrame([], self.schema)
+        return self._spark.read.schema(self.schema).parquet(self.path)
+
+    def before(self, batch_id: int) -> DataFrame:
+        return self._read().filter(F.col("batch_id") < batch_id).drop("batch_id")
+
+    def replace(self, rows: DataFrame, batch_id: int) -> None:
+        names = [name for name in self.schema.names if name not in ("slot", "batch_id")]
+        placed = rows.select(*names, "slot", F.lit(batch_id).cast("long").alias("batch_id")).repartition("slot")
+        placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch_id").parquet(self.path)
+
+    def forget(self, slot: int) -> None:
+        """Drop the slots before this one."""
+        for name in folders(self._spark, self.path):
+            number = name.removeprefix("slot=")
+            if number.lstrip("-").isdigit() and int(number) < slot:
+                remove_folder(self._spark, f"{self.path}/{name}")

@@ -27,3 +27,13 @@ def topic(sink_format: str = "kafka", **options) -> BatchWriter:
         encode(events).write.format(sink_format).options(**options).mode("append").save()
 
     return write
+
+
+def both(first: BatchWriter, second: BatchWriter) -> BatchWriter:
+    """Each batch to one writer, then to the other."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        first(rows, batch_id)
+        second(rows, batch_id)
+
+    return write

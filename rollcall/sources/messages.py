@@ -10,6 +10,8 @@ from rollcall.schemas import MESSAGE
 # from the earliest offset would be the whole topic.
 MAX_OFFSETS = 50_000_000
 MAX_FILES = 1_000
+# Offsets that one task reads at most, so that a topic of one partition is still read by many.
+MAX_RECORDS_PER_TASK = 1_000_000
 
 
 def kafka_messages(
@@ -21,12 +23,16 @@ def kafka_messages(
     max_per_trigger: int = MAX_OFFSETS,
     **options,
 ) -> DataFrame:
-    """A Kafka topic from its earliest offset. Needs the spark-sql-kafka package of the running Spark."""
+    """A Kafka topic from its earliest offset. Needs the spark-sql-kafka package of the running Spark.
+
+    ``options`` are the source's own (security, ``minPartitions``) and win over the settings made here.
+    """
     settings = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting_offsets,
         "maxOffsetsPerTrigger": str(max_per_trigger),
+        "maxRecordsPerPartition": str(MAX_RECORDS_PER_TASK),
         **options,
     }
     return spark.readStream.format("kafka").options(**settings).load()

@@ -21,8 +21,9 @@ from rollcall.operators.counts import joint_counts, totals_from_joint
 from rollcall.operators.flatten import flatten_users, parse_responses, unusable_responses
 from rollcall.operators.resent import copies_per_slot, first_copies
 from rollcall.schemas import EVENT_FIELDS
-from rollcall.sinks.batches import BatchTable
-from rollcall.sinks.stores import BatchWriter
+from rollcall.sinks.batches import BatchTable, SlotTable
+from rollcall.sinks.stores import BatchWriter, both
+from rollcall.workspace import remove_folder
 
 
 def start(
@@ -83,27 +84,42 @@ def drop_resent(
     keys: list[str],
     within: timedelta,
     kept: BatchWriter,
-    seen: BatchTable,
+    seen: SlotTable,
     checkpoint: str,
     *,
     time: str = "timestamp",
+    late: timedelta | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Records to ``kept``, without those that follow a copy of themselves by at most ``within``.
 
+    Within a batch that is decided by time. Between batches what has come first stands: a record that arrives later but
+    is earlier by at most ``within`` is dropped too, and what it would have displaced stays. So the result depends on
+    where batches end only for records that arrive out of order.
+
     ``seen`` holds the state, a table with the columns `resent.seen_schema` gives; only the times near a batch's are read.
-    Copies fold before the shuffle, so a record that makes up a third of a batch is no hot key, which it would be for
-    ``dropDuplicatesWithinWatermark``; and a late record is kept where a watermark would lose it.
+    It goes back by ``within`` and ``late`` (as long, if not given) from the newest record of earlier batches; a record
+    older than that is kept, since its copies are forgotten. Copies fold before the shuffle, so a record that makes up a
+    third of a batch is no hot key, which it would be for ``dropDuplicatesWithinWatermark``.
     """
+    # The slot of the newest record, one for records that begin in a slot, and those that late ones may reach.
+    back = 2 + -(-(within if late is None else late) // within)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spans = copies_per_slot(batch, keys, time, within).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             slots = spans.agg((F.min("slot") - 1).alias("low"), (F.max("slot") + 1).alias("high"))
             low, high = slots.select("low").scalar(), slots.select("high").scalar()
-            near = seen.before(batch_id).filter(F.col("slot").between(low, high))
+            known = seen.before(batch_id)
+            # From earlier batches only, so that a replay forgets and remembers the same.
+            newest = known.agg(F.max("slot")).first()[0]
+            oldest = None if newest is None else newest - back
+            near = known.filter(F.col("slot").between(low, high))
+            near = near if oldest is None else near.filter(F.col("slot") >= oldest)
             kept(first_copies(spans, near, keys, within).select(records.columns), batch_id)
             seen.replace(spans, batch_id)
+            if oldest is not None:
+                seen.forget(oldest)
         finally:
             spans.unpersist()
 
@@ -138,16 +154,29 @@ def constrain_events(
 
 
 def write_constrained(
-    events: DataFrame, batch_id: int, accepted: BatchTable, rejected: BatchWriter, workdir: str, *, order: str, **options
+    events: DataFrame,
+    batch_id: int,
+    accepted: BatchTable,
+    rejected: BatchWriter,
+    workdir: str,
+    *,
+    order: str,
+    also: BatchWriter | None = None,
+    **options,
 ) -> None:
+    """The batch's storable rows to the table, and to the writer ``also`` (an external store) if there is one."""
+    store = both(accepted.replace, also) if also else accepted.replace
     run = f"{workdir}/batch-{batch_id}-{uuid.uuid4().hex}"
     taken = accepted.before(batch_id).select("email", "username")
-    checked = check_table(events, order, run, taken=None if taken.isEmpty() else taken, **options).persist(StorageLevel.MEMORY_AND_DISK)
+    taken = None if taken.isEmpty() else taken
+    # The batch is held already, so it need not be written once more.
+    checked = check_table(events, order, run, taken=taken, write_checked=False, **options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        accepted.replace(storable(checked), batch_id)
+        store(storable(checked), batch_id)
         rejected(violators(checked), batch_id)
     finally:
         checked.unpersist()
+        remove_folder(events.sparkSession, run)
 
 
 def ingest_responses(
@@ -159,6 +188,7 @@ def ingest_responses(
     checkpoint: str,
     workdir: str,
     *,
+    also: BatchWriter | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Landed responses to published events and to the constrained table.
@@ -174,7 +204,7 @@ def ingest_responses(
         try:
             events = flatten_users(batch, keep=("id", "arrival"))
             publish(events.select(*EVENT_FIELDS), batch_id)
-            write_constrained(events, batch_id, accepted, rejected, workdir, order="arrival")
+            write_constrained(events, batch_id, accepted, rejected, workdir, order="arrival", also=also)
             unusable(unusable_responses(batch, keep), batch_id)
         finally:
             batch.unpersist()

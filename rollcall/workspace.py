@@ -34,6 +34,35 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/rollcall/{purpose}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has made; does nothing where it is gone."""
+    system, place = _file_system(spark, path)
+    system.delete(place, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder; False where there is none."""
+    system, place = _file_system(spark, source)
+    if not system.exists(place):
+        return False
+    _, to = _file_system(spark, target)
+    system.mkdirs(to.getParent())
+    return system.rename(place, to)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """The names of the folders in a folder."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place) if status.isDirectory())
+
+
 def local_session(cpus: int | str = "*", **settings: str) -> SparkSession:
     """The session of tests and benchmarks on one machine. On a cluster, spark-submit configures it."""
     builder = SparkSession.builder.master(f"local[{cpus}]").appName("rollcall")

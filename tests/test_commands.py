@@ -1,4 +1,5 @@
 import json
+import os
 
 from helpers import event, messages, response
 
@@ -43,6 +44,51 @@ def test_ingest(spark, tmp_path):
     assert published.count() == 3
 
 
+def test_ingest_in_bounded_batches(spark, tmp_path):
+    place = str(tmp_path)
+    (tmp_path / "landing").mkdir()
+    for i in range(12):
+        (tmp_path / "landing" / f"{i}.json").write_text(json.dumps(response(email=f"{i}@example.com", login={"username": str(i)})))
+    arguments = ["--format", "parquet", "--option", f"path={place}/topic", "--max-per-trigger", "4"]
+    arguments += ["--table-format", "json", "--table-option", f"path={place}/store"]
+    main(["ingest", "--landing", f"{place}/landing", "--out", f"{place}/files", *arguments], spark)
+    batches = [name for name in os.listdir(f"{place}/files/users") if name.startswith("batch_id=") and name != "batch_id=-1"]
+    assert len(batches) == 3
+    assert spark.read.parquet(f"{place}/files/users").count() == spark.read.json(f"{place}/store").count() == 12
+    # No folder of a batch's work is left.
+    assert not [d for d, _, names in os.walk(spark.conf.get("spark.checkpoint.dir")) if "/ingest-" in d and names]
+    texts = [(json.dumps(response(email=f"t{i}", login={"username": f"t{i}"})),) for i in range(6)]
+    spark.createDataFrame(texts, "response string").repartition(6).write.parquet(f"{place}/rows")
+    arguments = ["--format", "parquet", "--option", f"path={place}/topic-2", "--max-per-trigger", "2"]
+    files = len([name for name in os.listdir(f"{place}/rows") if name.endswith(".parquet")])
+    main(["ingest", "--landing-table", f"{place}/rows", "--out", f"{place}/table", *arguments], spark)
+    batches = [name for name in os.listdir(f"{place}/table/users") if name.startswith("batch_id=") and name != "batch_id=-1"]
+    assert len(batches) == -(-files // 2)
+
+
+def test_counts_and_resent(spark, tmp_path):
+    place = str(tmp_path)
+    messages(spark, [event(country=f"c{i % 2}", email=str(i % 3)) for i in range(7)]).write.parquet(f"{place}/topic")
+    main(["counts", "--source", f"{place}/topic", "--out", f"{place}/counts"], spark)
+    totals = spark.read.parquet(f"{place}/counts/totals").filter("dim = 'country'").collect()
+    assert {row.k: row.total for row in totals} == {"c0": 4, "c1": 3}
+    main(["resent", "--source", f"{place}/topic", "--out", f"{place}/resent", "--within", "5"], spark)
+    assert spark.read.parquet(f"{place}/resent/kept").count() <= 3
+
+
+def test_dashboard_with_known_countries_and_a_namespace(spark, tmp_path):
+    place = str(tmp_path)
+    messages(spark, [event(country=f"c{i % 2}", email=str(i)) for i in range(7)]).write.parquet(f"{place}/topic")
+    main(["stream", "--source", f"{place}/topic", "--out", f"{place}/stream", "--namespace", "people"], spark)
+    assert spark.table("people.users").count() == 0
+    spark.sql("drop database people cascade")
+    spark.createDataFrame([("c1",)], "country string").write.parquet(f"{place}/known")
+    arguments = ["--known", f"{place}/known", "--top", "1"]
+    main(["dashboard", "--option", f"path={place}/stream/users", "--out", f"{place}/figures", *arguments], spark)
+    assert {r.country: r.matched for r in spark.read.parquet(f"{place}/figures/country_match").collect()} == {"c0": False, "c1": True}
+    assert [r.country for r in spark.read.parquet(f"{place}/figures/top_countries").collect()] == ["c0"]
+
+
 def test_dashboard_equals_the_single_counts(spark, tables):
     everyone = users(spark, tables)
     known = spark.read.parquet(f"{tables}/nation.parquet").selectExpr("n_name as country").limit(3)

@@ -13,7 +13,7 @@ from rollcall.operators.codec import parse_messages, records
 from rollcall.operators.counts import chart_totals, count_by_country
 from rollcall.operators.resent import seen_schema
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
-from rollcall.sinks.batches import BatchTable
+from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.stores import keyed_store, topic
 from rollcall.sources.messages import file_messages, kafka_messages
 from rollcall.sources.responses import responses_from_files, responses_from_messages, responses_from_table
@@ -157,7 +157,7 @@ class _ResentJob:
     def __init__(self, spark, place):
         self.spark, self.topic, self.checkpoint = spark, f"{place}/topic", f"{place}/checkpoint"
         self.kept = BatchTable(spark, f"{place}/kept", "email string, offset long, timestamp timestamp")
-        self.seen = BatchTable(spark, f"{place}/seen", seen_schema(self.kept.schema, ["email"]))
+        self.seen = SlotTable(spark, f"{place}/seen", seen_schema(self.kept.schema, ["email"]))
         self.sent = 0
 
     def send(self, *records):
@@ -205,6 +205,39 @@ def test_resent_records_do_not_depend_on_the_batches(spark, tmp_path, batches):
     assert job.run() == sorted(expected)
 
 
+def test_state_of_resent_records_stays_flat(spark, tmp_path):
+    job = _ResentJob(spark, str(tmp_path))
+    sizes = []
+    for part in range(20):
+        job.send(*((f"e{i}", part * 90 + i) for i in range(3)))
+        job.run()
+        sizes.append(job.seen.before(1000).count())
+    assert max(sizes) == sizes[-1] == sizes[5] <= 5 * 3
+
+
+def test_late_records(spark, tmp_path):
+    """What has come in an earlier batch stands; within a batch time decides."""
+    job = _ResentJob(spark, f"{tmp_path}/one")
+    job.send(("a", 100), ("a", 70), ("a", 30))
+    assert job.run() == [("a", 2)]
+    job = _ResentJob(spark, f"{tmp_path}/two")
+    job.send(("a", 100))
+    job.send(("a", 70), ("b", 700))
+    job.send(("a", 30), ("c", 701))
+    # 70 is within reach of what has come already, 30 is older than all that is remembered.
+    assert job.run() == [("a", 0), ("a", 3), ("b", 2), ("c", 4)]
+
+
+def test_a_replaced_batch_is_written_aside_first(spark, tmp_path):
+    table = BatchTable(spark, f"{tmp_path}/t", "x long")
+    table.replace(spark.range(10).withColumnRenamed("id", "x"), 0)
+    slow = spark.range(20).withColumnRenamed("id", "x")
+    before = table.rows().count()
+    table.replace(slow, 0)
+    assert (before, table.rows().count()) == (10, 20)
+    assert [name for name in os.listdir(f"{tmp_path}/t") if name.startswith("_aside")] == []
+
+
 def test_resent_records_without_key_are_copies_too(spark, tmp_path):
     job = _ResentJob(spark, str(tmp_path))
     job.send((None, 0), (None, 1))

@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 import struct
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -34,7 +34,7 @@ CUT = re.compile(rb" (?=[^\s\x1c-\x1f\xc2\xe1\xe2\xe3])")
 #: Texts that need that careful cut: white space other than single spaces and newlines between other characters.
 RARE = r"[\x00-\x09\x0b-\x1f\x{85}\x{a0}\x{1000}-\x{3fff}]|[ \n][ \n]|^[ \n]|[ \n]\z"
 #: Pieces remembered per worker in each of two generations, some 200 bytes each; bytes of text worked on at a time.
-REMEMBERED, AT_ONCE = 250_000, 4 << 20
+REMEMBERED, AT_ONCE = 300_000, 2 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -45,7 +45,7 @@ def byte_letters() -> dict[str, int]:
 
 
 def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut where their texts reach AT_ONCE bytes; a longer text stands alone."""
+    """Batches cut where the column's values reach AT_ONCE bytes; a longer value stands alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
@@ -221,26 +221,47 @@ def loaded(kind: type, source: str):
     """One table of a kind per worker process, kept for its next tasks."""
     key = kind, hash(source)
     if key not in _loaded:
-        _loaded.clear()
+        for other in [k for k in _loaded if k[0] is kind]:
+            del _loaded[other]
         _loaded[key] = kind(source)
     return _loaded[key]
 
 
-def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """Adds the ids of every whole text, as little-endian unsigned 32-bit integers in a binary column.
+Batches = Iterator[pa.RecordBatch]
 
-    tokenizer is the path of a byte-level tokenizer file. A null or empty text has no ids. A given column named as the
-    new one is replaced; all others, and repeated rows, stay as they are.
-    """
-    source = docs.sparkSession.sparkContext.broadcast(text_of(tokenizer))  # a vocabulary file, some MB
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def encoding(source, text: str, ids: str) -> Callable[[Batches], Batches]:
+    """What a task does to add ids; source is a broadcast tokenizer file, some MB."""
+
+    def run(batches: Batches) -> Batches:
         known = loaded(Vocabulary, source.value)
         for batch in portions(batches, text):
             yield replaced(batch, {ids: pa.array(known.encode(batch.column(text)), pa.binary())})
 
+    return run
+
+
+def decoding(source, ids: str, text: str) -> Callable[[Batches], Batches]:
+    """What a task does to add the text of ids."""
+
+    def run(batches: Batches) -> Batches:
+        known = loaded(Strings, source.value)
+        for batch in portions(batches, ids):
+            rows = batch.column(ids).to_pylist()
+            yield replaced(batch, {text: pa.array([known.decode(x) if x else "" for x in rows], pa.string())})
+
+    return run
+
+
+def encode(docs: DataFrame, tokenizer: str, text: str = "text", ids: str = "ids") -> DataFrame:
+    """Adds the ids of every whole text, as little-endian unsigned 32-bit integers in a binary column.
+
+    tokenizer is the path of a byte-level tokenizer file. A null or empty text has no ids. A given column named as the
+    new one is replaced; all others, and repeated rows, stay as they are.
+    """
+    source = docs.sparkSession.sparkContext.broadcast(text_of(tokenizer))
     schema = T.StructType([*without(docs, ids).schema.fields, T.StructField(ids, T.BinaryType())])
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(encoding(source, text, ids), schema)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -250,23 +271,22 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", text: str = "de
     column named as the new one is replaced.
     """
     source = encoded.sparkSession.sparkContext.broadcast(text_of(tokenizer))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = loaded(Strings, source.value)
-        for batch in batches:
-            rows = batch.column(ids).to_pylist()
-            yield replaced(batch, {text: pa.array([known.decode(x) if x else "" for x in rows], pa.string())})
-
     schema = T.StructType([*without(encoded, text).schema.fields, T.StructField(text, T.StringType())])
-    return encoded.mapInArrow(run, schema)
+    return encoded.mapInArrow(decoding(source, ids, text), schema)
 
 
 def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Per document: the number of ids, and digests of the ids and of the text they decode to."""
-    encoded = encode(docs.select("doc_id", "text"), tokenizer).drop("text")
-    return decode(encoded, tokenizer).select(
+    """Per document: the number of ids, and digests of the ids and of the text they decode to.
+
+    One worker does both, so that no more workers than cores hold vocabularies and tables.
+    """
+    source = docs.sparkSession.sparkContext.broadcast(text_of(tokenizer))
+    to_ids, to_text = encoding(source, "text", "ids"), decoding(source, "ids", "text")
+    docs = docs.select("doc_id", "text")
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("ids", T.BinaryType()), T.StructField("text", T.StringType())])
+    return docs.mapInArrow(lambda batches: to_text(to_ids(batches)), schema).select(
         "doc_id",
         (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
     )

@@ -1,0 +1,199 @@
+"""The methods themselves: merging, hashing, seeds, trees, lexing, pieces."""
+
+from __future__ import annotations
+
+import itertools
+import math
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from rollcall.llm import bpe, components, decontaminate, html_text, jaccard, pii, rules, secret_scan, token_store, trees, warc
+from rollcall.llm.loser_tree import merge
+from rollcall.llm.perfect_hash import PerfectHash
+from rollcall.llm.queries import TOKENIZER
+from rollcall.llm.shared import scratch, text_of
+
+
+@given(st.lists(st.lists(st.integers(0, 20)), max_size=9))
+def test_merge(sources):
+    rows = [[(x, s) for x in sorted(values)] for s, values in enumerate(sources)]
+    assert list(merge(rows, lambda r: r[0])) == sorted(itertools.chain(*rows))
+
+
+@given(st.sets(st.integers(0, 2**64 - 1), min_size=1, max_size=300))
+@settings(deadline=None)
+def test_perfect_hash(keys):
+    keys = np.array(sorted(keys), np.uint64)
+    function, _ = PerfectHash.load(PerfectHash.build(keys).dump())
+    assert sorted(function(keys).tolist()) == list(range(len(keys)))
+
+
+def test_masks_find_every_window():
+    """Whatever words of a window are replaced, as many as the rule allows, a mask fits somewhere."""
+    for length in range(4, decontaminate.WINDOW + 1):
+        least = math.ceil(decontaminate.EQUAL * length / decontaminate.WINDOW)
+        for wrong in itertools.combinations(range(length), length - least):
+            assert any(not {at + o for o in mask} & set(wrong) for mask in decontaminate.MASKS for at in range(length - mask[-1]))
+
+
+TEXTS = st.lists(st.text(alphabet=st.sampled_from(" \t\n\r\x1c\x85\xa0 　ab's.,é日1２!<|"), max_size=12) | st.sampled_from(["<|endoftext|>", " word", "\nLine.", "x."]), max_size=8).map("".join)
+
+
+@given(st.lists(TEXTS, min_size=1, max_size=20))
+@settings(deadline=None, max_examples=150)
+def test_ids_equal_the_library(texts):
+    library = Tokenizer.from_file(TOKENIZER)
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    column = pa.array(texts, pa.string())
+    own, stored = bpe.loaded(bpe.Vocabulary, text_of(TOKENIZER)).encode(column), token_store.encoder(text_of(TOKENIZER), 2).encode(column)
+    assert [np.frombuffer(x, "<u4").tolist() for x in own] == wanted
+    assert [np.frombuffer(x, "<u2").tolist() for x in stored] == wanted
+
+
+def test_trees():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(2000, 4))
+    y = ((x[:, 0] > 0.3) & (x[:, 2] < 0.5)).astype(float)
+    model = trees.fit(x, y)
+    assert np.mean((model.predict(x) > 0.5) == y) > 0.98
+    slow = [model.start + sum(leaf(model, t, row) for t in range(len(model.feature))) for row in x[:50]]
+    assert np.allclose(model.raw(x[:50]), slow)
+    assert np.allclose(trees.fit(x[:0], y[:0]).predict(x[:3]), 0.5)
+
+
+def leaf(model, tree, row):
+    node = 0
+    for _ in range(model.depth):
+        node = 2 * node + (2 if row[model.feature[tree, node]] > model.threshold[tree, node] else 1)
+    return model.value[tree, node - (2**model.depth - 1)]
+
+
+def test_trees_as_sql(spark):
+    rng = np.random.default_rng(2)
+    x = rng.integers(0, 9, size=(400, len(pii.FEATURES))).astype(float)
+    x[:, 0] = 3
+    model = pii.Model(trees.fit(x, (x[:, 2] > x[:, 5]).astype(float), trees=10), {3: 0.1})
+    rows = spark.createDataFrame([(i, (3, row.tolist())) for i, row in enumerate(x)], "i int, c struct<kind:int,features:array<double>>")
+    found = [r.taken for r in rows.select("i", F.expr(model.sql("c")).alias("taken")).orderBy("i").collect()]
+    assert found == (model.fitted.raw(x) >= 0.1).tolist()
+
+
+@pytest.mark.parametrize(
+    ("text", "literal"),
+    [
+        ('k = "a8Fz91kLmQpW"\npassword = k', "a8Fz91kLmQpW"),
+        ("password = later\nlater = 'a8Fz91kLmQpW'", "a8Fz91kLmQpW"),
+        ("DB_PASSWORD=hunter2secret99", "hunter2secret99"),
+        ('{"apiKey": "sk_live_9a8b7c6d5e4f"}', "sk_live_9a8b7c6d5e4f"),
+        ('conf["client_secret"] = "q8w7e6r5t4y3"', "q8w7e6r5t4y3"),
+        ("Authorization: Bearer abcDEF123456789xyz", "abcDEF123456789xyz"),
+        ("é\ntoken := 'Zk39fjA0dkfPq'", "Zk39fjA0dkfPq"),
+        ("password = changeme", None),
+        ('password_hint = "a8Fz91kLmQpW"', None),
+        ('title = "a8Fz91kLmQpW"', None),
+        ("a = b\nb = a\npassword = a", None),
+        ("it's a token: nothing more", None),
+    ],
+)
+def test_lexing(text, literal):
+    spans = [text[s["start"] : s["end"]] for s in secret_scan.found(text.encode()) if s["kind"] == "literal"]
+    assert spans == ([literal] if literal else [])
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body class="has-sidebar"><div id="cookie-notice">We use cookies</div>
+<header><div>Site</div><ul class="menu"><li><a href=/>Home</a><li><a href=/b>B</a></ul></header>%s
+<aside>Side text that is long enough to be taken for an article, had it not been in an aside.</aside>
+<div class="comments"><p>A reader says something very long here that would be taken for text by its length.</p></div>
+<form><p>Subscribe</p><input></form><footer>(c) &copy; me</footer></body></html>"""
+BODY = """<h1>Title &amp; more</h1><p>First paragraph, long enough for an article, with <a href=x>a link</a>
+in it.</p><p>Short.</p><div class="ad-slot">Buy!</div><script>if (a < b) { p("</p>") }</script><ul><li>point one<li>point t<b>w</b>o</ul>"""
+WANTED = "Title & more First paragraph, long enough for an article, with a link in it. Short. point one point two"
+
+
+@pytest.mark.parametrize("around", ["%s", "<article>%s</article>", "<main><div>%s</div></main>", "<div class=content>%s</div>", "<article><header>%s</header>"])
+def test_main_text(around):
+    assert html_text.main_text(PAGE % (around % BODY)) == WANTED
+
+
+def test_cut_pages():
+    for end in range(len(PAGE)):
+        html_text.main_text((PAGE % BODY)[:end])
+    assert html_text.main_text("<article><p>one</p><p>t<b>w</b>o &am") == "one two &am"
+    assert html_text.main_text('<div class="nav"><p>menu</p><article><p>hello</article>') == "hello"
+    assert html_text.main_text("just a < b") == "just a < b"
+
+
+def test_runs_merge_in_several_levels(spark, monkeypatch):
+    monkeypatch.setattr(warc, "RUN_ROWS", 7)
+    monkeypatch.setattr(warc, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(warc, "MERGE_ROWS", 40)
+    monkeypatch.setattr(warc, "FAN_IN", 4)
+    pages = spark.range(150).selectExpr(
+        "id as page_id", "if(id % 3 = 0, 'http://hot.example/', concat('http://', id % 11, '.example/')) as url",
+        "timestamp_seconds(id % 17) as time", "concat('page ', id % 90) as html",
+    )
+    found = sorted(warc.history(pages.repartition(5)).collect(), key=lambda r: (r.range, r.row))
+    assert len(found) == 150
+    assert [warc.order_of(r.asDict()) for r in found] == sorted(warc.order_of(r.asDict()) for r in found)
+    assert max(r.range for r in found) >= 2
+    assert sum(r.record_type == "revisit" for r in found) == 60
+
+
+def test_components(spark):
+    rng = np.random.default_rng(3)
+    edges = {(int(a), int(b)) for a, b in rng.integers(0, 400, size=(300, 2))} | {(i, i + 1) for i in range(1000, 1100)}
+    found = components.labels(spark.createDataFrame(sorted(edges), "a long, b long"), scratch(spark, "stars")).collect()
+    top = {x: x for e in edges for x in e}
+
+    def root(x):
+        return x if top[x] == x else root(top[x])
+
+    for a, b in edges:
+        low, high = sorted((root(a), root(b)))
+        top[high] = low
+    assert {r.node: r.label for r in found} == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def near_copies(n, words=120, seed=5):
+    """Copies of one text with a fifth of the places open to change: many pairs link, many don't."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{i}" for i in rng.integers(0, 10_000, words)]
+    copies = []
+    for _ in range(n):
+        text = list(base)
+        for at in rng.choice(words, int(rng.integers(0, min(8, words))), replace=False):
+            text[at] = f"x{rng.integers(0, 10_000)}"
+        copies.append(" ".join(text))
+    return copies
+
+
+def test_near_copies_of_one_text(spark):
+    from test_results import brute_components
+
+    docs = list(enumerate(near_copies(80) + near_copies(3, 6, 6) + ["a b c d", "A B C D", "a b c d e", ""]))
+    found = jaccard.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute_components(docs)
+
+
+def test_ablations(spark):
+    docs = [(1, "word " * 5), (2, "### " * 40), (3, " ".join(f"w{i}" for i in range(50)))]
+    ledger = rules.ledger(spark.createDataFrame(docs, "doc_id long, text string"))
+    found = {(r.policy, r.rule): r for r in rules.ablations(ledger, rules.BASE, rules.FULL).collect()}
+    assert found["base", "few_words"].rejected == 2
+    assert found["base", "few_words"].kept_without == 1
+    assert found["full-1", "few_words"].kept_without == 0
+
+
+def test_pairs_that_hide_each_other(spark):
+    """A phone number before a card number is one failing match of the base pattern; the candidates find both."""
+    rows = [(i, f"call +1 (988) 555-{1000 + i} now, or pay 4{i:02d}00000000000") for i in range(400)]
+    rows += [(1000, "call +1 (988) 555-2485 4041894974608795 now")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.spans for r in pii.digests(docs).collect()}
+    assert "phone:5:22" in found[1000].split(",")

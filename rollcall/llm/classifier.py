@@ -20,7 +20,7 @@ from rollcall.llm.bpe import portions
 from rollcall.llm.shared import byte_texts, replaced, without
 from rollcall.llm.words import STEP, word_hashes
 
-#: Labelled documents the trees are fitted on at most, chosen by a hash of their ids.
+#: Labelled documents the trees are fitted on, about; if there are more, they are chosen by a hash of their ids.
 SAMPLE = 20_000
 #: Scores from here on are predicted as good.
 THRESHOLD = 0.3
@@ -103,12 +103,13 @@ def fold(doc: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> trees.Trees:
-    """Trees for the label, from at most SAMPLE labelled documents outside fold 0.
+    """Trees for the label, from about SAMPLE labelled documents outside fold 0.
 
     Labels that are null or neither 0 nor 1 don't count; a document with several rows or labels counts with each.
     """
     given = labels.select("doc_id", F.col(label).cast("int").alias("label")).where("doc_id is not null and label in (0, 1)").where(fold() != 0)
-    chosen = given.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(SAMPLE)
+    labelled = given.count()
+    chosen = given.where(F.pmod(F.xxhash64("doc_id"), F.lit(labelled)) < SAMPLE) if labelled > SAMPLE else given
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in portions(batches, "text"):

@@ -35,35 +35,30 @@ def parse_responses(responses: DataFrame, column: str = "response") -> DataFrame
     """Add ``user``, the first result of the response text, and ``reason`` where it cannot be used.
 
     Only the first result is read; later ones may have any shape. The text must be one JSON value and nothing
-    after it. Texts that name a key twice in one object, and those over Spark's limit of a variant (128 MB), count as
-    malformed.
+    after it.
     """
-    # In brackets, so that text after the value is an error, and not left unread.
-    whole = F.try_parse_json(F.concat(F.lit("["), F.col(column), F.lit("]")))
-    parsed = responses.withColumn("_whole", whole).withColumn("_first", F.get_json_object(column, "$.results[0]"))
+    # In brackets, so that text after the value is an error, and not left unread. The results stay text.
+    body = F.from_json(F.concat(F.lit("["), F.col(column), F.lit("]")), "array<struct<results: array<string>>>")
+    parsed = responses.withColumn("_body", body)
+    malformed = F.col("_body").isNull() | (F.size("_body") != 1) | F.get("_body", F.lit(0)).isNull()
+    # get() gives NULL on an empty array where [0] would end an ANSI job.
+    first = F.get(F.get("_body", F.lit(0))["results"], F.lit(0))
+    parsed = parsed.select(*responses.columns, malformed.alias("_malformed"), F.when(~malformed, first).alias("_first"))
     user = F.from_json("_first", f"{USER_DDL}, {_CORRUPT} string", {"columnNameOfCorruptRecord": _CORRUPT})
     parsed = parsed.withColumn("user", user)
-    one_value = _found("$[0]").isNotNull() & _found("$[1]").isNull()
-    malformed = F.col(column).isNull() | F.col("_whole").isNull() | ~one_value
     any_null = F.size(F.array_compact(F.array(*(_at(path) for path in USER_PATHS)))) < len(USER_PATHS)
-    missing = F.array(*(F.when(_found(f"$[0].results[0].{path}").isNull(), F.lit(path)) for path in USER_PATHS))
-    missing = F.array_join(F.array_compact(missing), ",")
+    parsed = parsed.withColumn("_missing", F.when(any_null, _missing_paths("_first")).otherwise(""))
     reason = (
-        F.when(malformed, "malformed_response")
-        .when(F.col("_first").isNull() | (F.col("_first") == "null"), "no_result")
+        F.when(F.col("_malformed"), "malformed_response")
+        .when(F.col("_first").isNull(), "no_result")
         .when(F.col(f"user.{_CORRUPT}").isNotNull(), "malformed_response")
-        .when(any_null & (missing != ""), F.concat(F.lit("missing:"), missing))
+        .when(F.col("_missing") != "", F.concat(F.lit("missing:"), F.col("_missing")))
     )
-    usable = ~malformed & F.col(f"user.{_CORRUPT}").isNull()
+    usable = F.col("_first").isNotNull() & F.col(f"user.{_CORRUPT}").isNull()
     kept = F.when(usable, F.col("user").dropFields(_CORRUPT)).alias("user")
     return parsed.select(*responses.columns, kept, reason.alias("reason"))
 
 
-def _found(path: str) -> Column:
-    """What the parsed text has at a path: NULL if there is none, a variant null where it says null."""
-    return F.variant_get("_whole", path, "variant")
-
-
 def flatten_users(parsed: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """One flat event per response that holds a usable user."""
     user = F.explode(F.when(F.col("reason").isNull(), F.array("user"))).alias("user")
@@ -85,3 +80,29 @@ def event_columns() -> list[Column]:
 
 def _at(path: str) -> Column:
     return F.col(f"user.{path}")
+
+
+def _missing_paths(first: str) -> Column:
+    """The paths the first result lacks. Its text is searched again only for values that are NULL.
+
+    One expression over an array: spelled out per path, the generated code grows too large to be compiled.
+    """
+    parts = [f"$.{path}".rpartition(".") for path in USER_PATHS]
+    places = F.array(
+        *(
+            F.struct(
+                F.lit(path).alias("path"),
+                F.lit(parent).alias("parent"),
+                F.lit(name).alias("name"),
+                _at(path).isNull().alias("empty"),
+            )
+            for path, (parent, _, name) in zip(USER_PATHS, parts)
+        )
+    )
+
+    def is_missing(place: Column) -> Column:
+        text = F.when(place["parent"] == "$", F.col(first)).otherwise(F.call_function("get_json_object", F.col(first), place["parent"]))
+        return ~F.coalesce(F.array_contains(F.json_object_keys(text), place["name"]), F.lit(False))
+
+    empty = F.filter(places, lambda place: place["empty"])
+    return F.array_join(F.transform(F.filter(empty, is_missing), lambda place: place["path"]), ",")

@@ -55,6 +55,7 @@ def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.Record
             upto = max(upto, at + 1)
             yield batch.slice(at, upto - at)
             at = upto
+    pa.default_memory_pool().release_unused()  # a worker waits for its next task without what this one took
 
 
 class Pieces:

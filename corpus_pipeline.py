@@ -16,6 +16,19 @@ from rollcall.llm.shared import keep, scratch, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Rows and bytes of the batches in which texts go to Python workers. Those of all stages stay alive between their tasks,
+#: so Spark's own 10,000 rows and 64 MB, in several buffers each, would add up beside the executor's heap.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
+def in_small_batches(stage: Stage) -> Stage:
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for name, value in BATCHES.items():
+            spark.conf.set(name, value)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good; it learns from those of them that are labelled."""
@@ -43,11 +56,11 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", good),
-    ("near_duplicates", unique),
+    ("quality", in_small_batches(good)),
+    ("near_duplicates", in_small_batches(unique)),
     ("decontamination", unseen),
-    ("secrets", redacted),
-    ("encode", encoded),
+    ("secrets", in_small_batches(redacted)),
+    ("encode", in_small_batches(encoded)),
 ]
 
 #: Trees, set similarity and merges can't be written in SQL; a test holds the run against a brute-force version.

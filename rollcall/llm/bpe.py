@@ -44,14 +44,14 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def portions(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut where the column's values reach AT_ONCE bytes; a longer value stands alone."""
+def portions(batches: Iterator[pa.RecordBatch], text: str, size: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Batches cut where the column's values reach so many bytes; a longer value stands alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         at = 0
         while at < batch.num_rows:
-            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + AT_ONCE, side="right"))
+            upto = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
             upto = max(upto, at + 1)
             yield batch.slice(at, upto - at)
             at = upto

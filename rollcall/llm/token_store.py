@@ -36,8 +36,8 @@ from rollcall.llm.shared import files, keep, read_file, single, text_of, write_f
 
 #: Keys in a bucket of the index, on average: what one task builds and one lookup task holds, some MB.
 BUCKET_KEYS = 100_000
-#: Pieces remembered per worker in each of two generations.
-REMEMBERED = 600_000
+#: Pieces remembered per worker in each of two generations; bytes of text worked on at a time.
+REMEMBERED, AT_ONCE = 600_000, 4 << 20
 #: Records read at a time, and ids of neighbours that come along.
 READ_ROWS, READ_IDS = 1_000, 4_000_000
 SLOT = np.dtype([("fingerprint", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("ids", "<u8"), ("start", "<u8")])
@@ -125,7 +125,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end: int | None = None,
         known, at, name, out = encoder(source.value, width), 0, f"{uuid.uuid4().hex}.ids", None
         last, copy = None, 0
         number = TaskContext.get().partitionId()
-        for batch in portions(batches, "text"):
+        for batch in portions(batches, "text", AT_ONCE):
             if out is None:
                 system, path = files(f"{folder}/shards/{name}")
                 system.create_dir(posixpath.dirname(path), recursive=True)

@@ -4,8 +4,9 @@ A page is cut into lines at tags that break text; markup, scripts, styles and co
 they are no article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, hidden parts) leave
 empty lines. Over the lines slides a window of three; its sum counts text outside links. Text surges where the sum
 rises over a threshold, and dives where a whole window is empty. What lies between is kept, line by line, short lines
-included. A page that marks its article needs no threshold: its longest article (or else main part) is the text, from
-the first line to the last.
+included. That holds for every page. Where a page marks articles or a main part, a window ends at the mark's edge, and
+inside it the threshold is 0 and links count as text, so all marked texts are found, however short; text outside of the
+marks is kept if it surges like that of any page.
 
 Pages may be cut off anywhere: what is not closed ends with the page, except that an unclosed menu or the like takes
 only its own line. Null pages have an empty text. Nothing else is dropped, and no text is capped.
@@ -14,6 +15,7 @@ only its own line. Null pages have an empty text. Nothing else is dropped, and n
 from __future__ import annotations
 
 import html
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -122,8 +124,8 @@ def elements(parts: list[tuple[str, str, str]]) -> tuple[list[Element], list[int
     return made, around
 
 
-def blocks(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
-    """The page's lines, and those of its article or main part: text, and characters of it outside links."""
+def blocks(page: str) -> list[tuple[str, int, int]]:
+    """The page's lines: text, characters of it outside links, and the article or main part around them, 0 if none."""
     parts = tokens(page)
     made, around = elements(parts)
     dropped = [False] * len(made)
@@ -136,7 +138,7 @@ def blocks(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
         dropped[i] = dropped[e.parent] or self_drop or e.name in RAW
         home[i] = home[e.parent] or (i if e.name in ("article", "main") and not dropped[i] else 0)
     lines: list[list] = [["", 0, 0, False]]  # text, length outside links, home, whether something was taken out
-    only, link, blocked = [], 0, -1
+    link, blocked = 0, -1
     for at, (kind, name, rest) in enumerate(parts):
         e = around[at]
         if kind == "text":
@@ -155,40 +157,32 @@ def blocks(page: str) -> tuple[list[tuple[str, int]], list[tuple[str, int]]]:
             if kind == "open" and name not in VOID and name not in ("html", "body", "main", "article") and made[e].token == at and made[e].close < 0 and made[e].outside and not made[e].keeps:
                 blocked = len(lines)  # not closed: its own line goes
     # lines of nothing but markup say nothing; lines that were taken out stay, empty
-    cleaned = [(line, length, of) for text, length, of, gone in lines if (line := " ".join(html.unescape(text).split())) or gone]
-    sizes: dict[int, int] = {}
-    for text, _, of in cleaned:
-        if of:
-            sizes[of] = sizes.get(of, 0) + len(text)
-    articles = {of: n for of, n in sizes.items() if made[of].name == "article"} or sizes
-    if articles:
-        best = max(articles, key=lambda of: (articles[of], -of))
-        only = [(text, length) for text, length, of in cleaned if of == best]
-    return [(text, length) for text, length, _ in cleaned], only
-
-
-def between(lines: list[tuple[str, int]]) -> list[str]:
+    return [(line, length, of) for text, length, of, gone in lines if (line := " ".join(html.unescape(text).split())) or gone]
+
+
+def between(lines: list[tuple[str, int, int]]) -> list[str]:
     """The lines between each surge and the dive after it."""
-    sizes = [length if text else 0 for text, length in lines]
-    sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
-    kept, i = [], 0
-    while i < len(lines):
-        if sizes[i] and sums[i] > SURGE:
-            while i < len(lines) and sums[i]:
+    sizes = [0 if not text else len(text) if of else length for text, length, of in lines]
+    kept, first = [], 0
+    for of, part in itertools.groupby(of for _, _, of in lines):
+        end = first + len(list(part))
+        sums = [sum(sizes[i : min(i + WINDOW, end)]) for i in range(first, end)]
+        inside = False
+        for i in range(first, end):
+            inside = sums[i - first] > 0 if inside else sizes[i] > 0 and sums[i - first] > (0 if of else SURGE)
+            if inside:
                 kept.append(lines[i][0])
-                i += 1
-        else:
-            i += 1
+        first = end
     return [text for text in kept if text]
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    lines, article = blocks(page)
-    kept = [text for text, _ in article if text] or between(lines)
+    lines = blocks(page)
+    kept = between(lines)
     if not kept:  # a page of a few words never surges
-        kept = [text for text, length in lines if text and length]
+        kept = [text for text, length, _ in lines if text and length]
     return " ".join(kept)
 
 

@@ -121,6 +121,13 @@ def test_main_text(around):
     assert html_text.main_text(PAGE % (around % BODY)) == WANTED
 
 
+def test_marks_lower_the_threshold_only():
+    long = "Words of a paragraph that is long enough to surge by itself, wherever on the page it may stand. "
+    several = "<article><h2><a href=x>One</a></h2><p>first</article><p>by</p><article><p>%s</article><article><p>third</article>" % long
+    assert html_text.main_text(PAGE % several) == f"One first {long}third"
+    assert html_text.main_text(PAGE % f"<div><p>{long}</div><article><p>marked</article><p>short</p>") == f"{long}marked"
+
+
 def test_cut_pages():
     for end in range(len(PAGE)):
         html_text.main_text((PAGE % BODY)[:end])

@@ -204,3 +204,15 @@ def test_pairs_that_hide_each_other(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r.doc_id: r.spans for r in pii.digests(docs).collect()}
     assert "phone:5:22" in found[1000].split(",")
+
+
+def test_small_tables_learn_as_well(spark):
+    rows = [(i, f"call +1 (988) 555-{1000 + i} 4041894974608795 now") for i in range(3)]
+    found = {r.doc_id: r.spans.split(",") for r in pii.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all("phone:5:22" in spans for spans in found.values())
+
+
+def test_thresholds_of_kinds():
+    scores, wrong = np.linspace(5, -5, 100), np.zeros(100)
+    assert pii.threshold(scores[:5], wrong[:5]) == pii.threshold(scores, wrong) == pii.FIXED
+    assert pii.threshold(scores, (scores > 1).astype(float)) > 0

@@ -216,3 +216,32 @@ def test_thresholds_of_kinds():
     scores, wrong = np.linspace(5, -5, 100), np.zeros(100)
     assert pii.threshold(scores[:5], wrong[:5]) == pii.threshold(scores, wrong) == pii.FIXED
     assert pii.threshold(scores, (scores > 1).astype(float)) > 0
+
+
+ADDED = [
+    ("email", "write to joe.doe (at) example.com today", "joe.doe (at) example.com"),
+    ("email", "see ann[at]mail[dot]example[dot]org there", "ann[at]mail[dot]example[dot]org"),
+    ("email", "mail to joe @ example.com. Then wait", "joe @ example.com"),
+    ("ip", "it came from 198.51.100[.]23 again", "198.51.100[.]23"),
+    ("card", "dial +1 (988) 555-2485 4041894974608795 now", "4041894974608795"),
+    ("phone", "dial +1 (988) 555-2485 4041894974608795 now", "+1 (988) 555-2485"),
+    ("phone", "my phone: 312-555-0188, evenings", "312-555-0188"),
+    ("account", "pay into NL91 ABNA 0417 1643 00, thanks", "NL91 ABNA 0417 1643 00"),
+    ("account", "my social security number 219-09-9999 is", "219-09-9999"),
+]
+NOT_ADDED = [
+    "pay into NL92 ABNA 0417 1643 00, thanks", "my social security number 000-09-9999 is", "7 @ 4.50 each", "it came from 198.51.300[.]23 again",
+    "order id 312-555-0188 sent", "dial +1 (988) 555-2485 4041894974608796 now",
+]
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_every_kind_adds_spans(spark, copies):
+    texts = [text for _, text, _ in ADDED] + NOT_ADDED
+    rows = [(i + 100 * n, text + " word" * n) for n in range(copies) for i, text in enumerate(texts)]
+    found = {r.doc_id: r.spans.split(",") for r in pii.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (kind, text, value) in enumerate(ADDED):
+        start = text.index(value)
+        assert f"{kind}:{start}:{start + len(value)}" in found[i], (text, found[i])
+    for i, text in enumerate(NOT_ADDED, len(ADDED)):
+        assert found[i] == [""] or text.startswith("dial") and not any(s.startswith("card") for s in found[i]), (text, found[i])

@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and literals that flow into names that sound secret.
 
-Lines that assign something are cut into tokens (names, quoted strings, bare words, operators) as most languages and
-configuration files write them: `name = "x"`, `name: x`, `"name": "x"`, `name := a + "x"`, `NAME=x`, `{name => 'x'}`. That
-gives pairs of a target name and its parts, literals or other names. A name's value is what it was assigned anywhere in
+Texts that assign something are cut into tokens (names, quoted strings, bare words, operators) as most languages and
+configuration files write them: `name = "x"`, `name: x`, `"name": "x"`, `name := a + "x"`, `NAME=x`, `{name => 'x'}`. A line's
+end ends a value, unless an assignment sign, a plus, an open bracket, a backslash, a block scalar or an open quote goes
+on; a quote is open up to an empty line at most, triple quotes and backticks up to their end. That gives pairs of a target name and its parts, literals or other names. A name's value is what it was assigned anywhere in
 the text, so a literal is followed through constants to every name it ends up in. The words of the target name and the
 look of the literal give a score; a literal at or above the threshold is a span of kind `literal`.
 
@@ -38,10 +39,14 @@ TOKEN = re.compile(
     rb"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)"""
     rb"""|(?P<equals>==+|!=|<=|>=)"""
     rb"""|(?P<assign>:=|=>|->|=|:(?!//))"""
-    rb"""|(?P<plus>\+|\.(?=\s))"""
+    rb"""|(?P<plus>\+|\.(?=[^\S\n]))"""
     rb"""|(?P<word>[A-Za-z0-9_/$%@!^*~.+=-]+)"""
-    rb"""|(?P<stop>[,;(){}\[\]<>|&#?"'`:\\])"""
+    rb"""|(?P<stop>[,;(){}\[\]<>|&#?"'`:\\])|(?P<line>\n)"""
 )
+#: Quoted strings over several lines, and the head of a block scalar after its colon.
+LONG = re.compile(rb"""\"{3}((?:[^\\]|\\.)*?)\"{3}|'{3}((?:[^\\]|\\.)*?)'{3}|`([^`]*)`|"((?:[^"\\\n]|\\.|\n(?![ \t\r]*\n))*)"|'((?:[^'\\\n]|\\.|\n(?![ \t\r]*\n))*)'""", re.S)
+BLOCK = re.compile(rb"[ \t]*[|>][+-]?[0-9]?[+-]?[ \t]*(?:#[^\n]*)?\r?\n")
+ROW = re.compile(rb"([ \t]*)([^\n]*)\n?")
 #: Words of a target name, and how much they say that its value is secret.
 SENSITIVE = {
     "password": 1.0, "passwd": 1.0, "passphrase": 1.0, "pwd": 0.9, "pass": 0.7, "secret": 1.0, "secrets": 1.0, "token": 0.8,
@@ -50,6 +55,11 @@ SENSITIVE = {
 }
 #: Words that say the opposite: the name of something about a secret.
 HARMLESS = {"count", "length", "limit", "size", "type", "url", "uri", "path", "file", "name", "id", "hint", "label", "public", "max", "min", "regex", "field", "column"}
+#: Without any of these, after taking out what may stand inside, no name is sensitive.
+STEMS = (b"pass", b"pwd", b"secret", b"token", b"credential", b"key", b"auth", b"bearer", b"signature", b"salt", b"access", b"private", b"api", b"encryption", b"signing")
+#: Names whose values may be phrases, and words that tell a phrase about a password from a password.
+PHRASED, ABOUT = {"password", "passwd", "passphrase", "pwd", "pass"}, re.compile(r"(?i)passw|passphrase")
+PEM = re.compile(r"-----[A-Z0-9 ]+-----")
 PLACEHOLDERS = re.compile(r"(?i)^(x+|\*+|\.+|-+|_+|none|null|true|false|undefined|changeme|example.*|your.*|todo|test|dummy|placeholder|password|passwd|secret|token|string|\$\{.*\}?|\$\(.*|<.*>|%.*%|\{\{.*)$")
 THRESHOLD, LEAST_LITERAL = 1.0, 8
 
@@ -83,36 +93,35 @@ def name_score(name: str) -> float:
     return min(1.0, sum(SENSITIVE.get(w, 0.0) for w in {*words, *joined}))
 
 
-def literal_score(literal: str) -> float:
-    """Up to 1: long, of many different characters, of mixed kinds, no placeholder and no prose."""
-    if len(literal) < LEAST_LITERAL or PLACEHOLDERS.match(literal) or literal.count(" ") > 2:
+def phrased(name: str) -> bool:
+    words = name_words(name)
+    return not PHRASED.isdisjoint({*words, *(a + b for a, b in zip(words, words[1:], strict=False))})
+
+
+def literal_score(literal: str, phrase: bool = False) -> float:
+    """Up to 1: long, of many different characters, of mixed kinds, no placeholder and no prose, unless it may be a phrase."""
+    if len(literal) < LEAST_LITERAL or PLACEHOLDERS.match(literal):
+        return 0.0
+    if PEM.sub("", literal).count(" ") > 2 and (not phrase or ABOUT.search(literal)):
         return 0.0
     counts = Counter(literal)
     entropy = -sum(n / len(literal) * math.log2(n / len(literal)) for n in counts.values())
-    kinds = sum(any(test(c) for c in literal) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum() and c != " "))
+    kinds = sum(any(test(c) for c in literal) for test in (str.islower, str.isupper, str.isdigit, lambda c: not c.isalnum() and not c.isspace()))
     return min(1.0, entropy / 6 + 0.2 * (kinds - 1)) if kinds > 1 or len(literal) >= 20 else 0.0
 
 
 def assignments(text: bytes) -> Iterator[Assigned]:
-    """What the lines of a text assign, in order."""
+    """What a text assigns, in order."""
     if b"=" not in text and b":" not in text:
         return
-    at = 0
-    for line in text.split(b"\n"):
-        if b"=" in line or b":" in line:
-            yield from _line(line, at)
-        at += len(line) + 1
-
-
-def _line(line: bytes, at: int) -> Iterator[Assigned]:
     tokens: list[tuple[str, bytes, int]] = []
-    for m in TOKEN.finditer(line):
+    for m in TOKEN.finditer(text):
         if tokens and m.lastgroup == "word" and tokens[-1][0] in ("name", "word") and tokens[-1][2] + len(tokens[-1][1]) == m.start():
             tokens[-1] = "word", tokens[-1][1] + m.group(), tokens[-1][2]
         else:
             tokens.append((m.lastgroup or "", m.group(), m.start()))
     for i in range(1, len(tokens) - 1):
-        kind, sign, _ = tokens[i]
+        kind, sign, start = tokens[i]
         if kind != "assign":
             continue
         before, target, _ = tokens[i - 1]
@@ -120,30 +129,93 @@ def _line(line: bytes, at: int) -> Iterator[Assigned]:
             before, target, _ = tokens[i - 2]
         if before not in ("name", "string", "word"):
             continue
-        found = Assigned(target.strip(b"\"'`").decode("utf-8", "replace"))
-        j, more = i + 1, True
-        while j < len(tokens) and more:
-            kind, value, start = tokens[j]
-            if kind == "string":
-                found.parts.append(Part(True, value[1:-1].decode("utf-8", "replace"), at + start + 1, at + start + len(value) - 1))
-            elif kind in ("name", "word"):
-                found.parts.append(Part(kind == "word", value.decode("utf-8", "replace"), at + start, at + start + len(value)))
-                if value.lower() in (b"bearer", b"basic", b"new", b"const", b"let", b"return") and j + 1 < len(tokens):
-                    found.parts.pop()
-                    j += 1
-                    continue
-            else:
+        name = target.strip(b"\"'`").decode("utf-8", "replace")
+        block = _block(text, start) if sign == b":" else None
+        if parts := [block] if block else _value(text, tokens, i + 1):
+            yield Assigned(name, parts)
+
+
+def _block(text: bytes, colon: int) -> Part | None:
+    """The block scalar that a colon begins: the lines after it that stand further in than the colon's line."""
+    head = BLOCK.match(text, colon + 1)
+    if not head:
+        return None
+    least = len(ROW.match(text, text.rfind(b"\n", 0, colon) + 1)[1])
+    lines, at, first, end = [], head.end(), -1, -1
+    while at < len(text):
+        row = ROW.match(text, at)
+        if content := row[2].strip():
+            if len(row[1]) <= least:
                 break
-            # a sum of parts, or strings side by side
-            follows = tokens[j + 1][0] if j + 1 < len(tokens) else ""
-            more = follows == "plus" or (kind == "string" and follows == "string")
-            j += 2 if follows == "plus" else 1
-        if found.parts:
-            yield found
+            first, end = row.start(2) if first < 0 else first, row.start(2) + len(row[2].rstrip())
+            lines.append(content)
+        at = row.end()
+    return Part(True, b"\n".join(lines).decode("utf-8", "replace"), first, end) if lines else None
+
+
+def _value(text: bytes, tokens: list[tuple[str, bytes, int]], j: int) -> list[Part]:
+    """The parts of the value from a token on."""
+    parts: list[Part] = []
+    depth = 0
+    kind_at = lambda at: tokens[at][0] if at < len(tokens) else "line"
+
+    def past(at: int, lines: bool) -> int:
+        """Past continued ends of lines, and all ends of lines if so said."""
+        while at < len(tokens) and (lines and tokens[at][0] == "line" or tokens[at][1] == b"\\" and kind_at(at + 1) == "line"):
+            at += 1 if tokens[at][0] == "line" else 2
+        return at
+
+    first = j
+    j = past(j, False)
+    if kind_at(j) == "line":  # a string on a later line, or the only word of the next
+        later = past(j, True)
+        alone = later == j + 1 and kind_at(later) in ("name", "word") and kind_at(later + 1) == "line"
+        opens = later < len(tokens) and (kind_at(later) == "string" and kind_at(later + 1) != "assign" or tokens[later][1] in (b'"', b"'", b"`"))
+        if not (alone or opens):
+            return parts
+        j = later
+    while j < len(tokens):
+        kind, value, start = tokens[j]
+        quote = value[:1] in (b'"', b"'", b"`") and (kind == "stop" or value in (b'""', b"''") and text[start + 2 : start + 3] == value[:1])
+        if quote and (m := LONG.match(text, start)):
+            a, b = m.span(m.lastindex)
+            parts.append(Part(True, m[m.lastindex].replace(b"\\\n", b"").decode("utf-8", "replace"), a, b))
+            kind = "string"
+            while j + 1 < len(tokens) and tokens[j + 1][2] < m.end():
+                j += 1
+        elif kind == "string":
+            parts.append(Part(True, value[1:-1].decode("utf-8", "replace"), start + 1, start + len(value) - 1))
+        elif kind in ("name", "word"):
+            parts.append(Part(kind == "word", value.decode("utf-8", "replace"), start, start + len(value)))
+            if value.lower() in (b"bearer", b"basic", b"new", b"const", b"let", b"return") and kind_at(j + 1) != "line":
+                parts.pop()
+                j += 1
+                continue
+        elif kind == "stop" and value in (b"(", b"[") and (j == first or depth or not parts):
+            depth += 1
+            j = past(j + 1, True)
+            continue
+        else:
+            break
+        # a sum of parts, or strings side by side; in brackets, lists too
+        j = past(j + 1, depth > 0)
+        after = past(j, True)
+        if depth and j < len(tokens) and tokens[j][1] == b",":
+            j = past(j + 1, True)
+        elif kind_at(j) == "plus":
+            j = past(j + 1, True)
+        elif kind_at(after) == "plus" and kind_at(after + 1) == "string":
+            j = after + 1
+        elif not (kind == "string" and kind_at(j) == "string"):
+            break
+    return parts
 
 
 def secrets_by_flow(text: bytes) -> list[tuple[int, int, str, float]]:
     """Literals that end up in names that sound secret: start, end (in bytes), name, score."""
+    plain = text.lower().translate(None, b"_.-$")
+    if not any(stem in plain for stem in STEMS):
+        return []
     made = list(assignments(text))
     if not any(name_score(a.name) for a in made):
         return []
@@ -168,7 +240,8 @@ def secrets_by_flow(text: bytes) -> list[tuple[int, int, str, float]]:
     for a in made:
         if weight := name_score(a.name):
             for part in literals(a.parts):
-                score = weight + literal_score(part.text) if literal_score(part.text) else 0.0
+                look = literal_score(part.text, phrased(a.name))
+                score = weight + look if look else 0.0
                 if score >= THRESHOLD and score > best.get((part.start, part.end), ("", 0.0))[1]:
                     best[part.start, part.end] = a.name, score
     return [(start, end, name, score) for (start, end), (name, score) in best.items()]

@@ -9,7 +9,8 @@ inside it the threshold is 0 and links count as text, so all marked texts are fo
 marks is kept if it surges like that of any page.
 
 Pages may be cut off anywhere: what is not closed ends with the page, except that an unclosed menu or the like takes
-only its own line. Null pages have an empty text. Nothing else is dropped, and no text is capped.
+only its own line. Every element is asked, paragraphs, list items, table cells and inline ones as well; where HTML lets
+end tags of those be missing, they end as in HTML. Null pages have an empty text. Nothing else is dropped, and no text is capped.
 """
 
 from __future__ import annotations
@@ -36,6 +37,21 @@ INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
     "mark", "q", "ruby", "rt", "rp", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr",
 }
+#: Elements whose end tag may be missing: those that an opening one ends, and those it doesn't look beyond.
+SCOPE = {"table", "td", "th", "caption", "button", "object", "template"}
+LISTED = SCOPE | {"section", "article", "main", "aside", "nav", "header", "footer", "form", "fieldset", "figure", "blockquote", "details", "body", "html"}
+ENDS = {
+    "li": ({"li"}, LISTED | {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, LISTED | {"dl"}), "dd": ({"dt", "dd"}, LISTED | {"dl"}),
+    "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}), "tr": ({"tr", "td", "th"}, {"table"}),
+    **dict.fromkeys(("tbody", "thead", "tfoot"), ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"})),
+    "option": ({"option"}, {"select", "datalist", "optgroup"}), "optgroup": ({"option", "optgroup"}, {"select"}),
+}
+OPTIONAL = {"p", *ENDS}
+#: Elements that end a paragraph.
+ENDS_P = {
+    "address", "article", "aside", "blockquote", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
+    "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "ul",
+}
 #: Elements that aren't part of an article, and words of a class, id or role that say so.
 OUTSIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu", "svg", "canvas", "object", "audio", "video", "head", "fieldset", "datalist"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form"}
@@ -101,12 +117,36 @@ def tokens(page: str) -> list[tuple[str, str, str]]:
 
 
 def elements(parts: list[tuple[str, str, str]]) -> tuple[list[Element], list[int]]:
-    """The elements that hold others, and for each token the innermost one around it."""
+    """The elements, and for each token the innermost one around it. End tags that HTML lets be missing are filled in."""
     made, around = [Element("", -1, -1, False, len(parts))], []
     stack, depth = [0], {}
+
+    def close(place: int, name: str, at: int) -> None:
+        """Close all from a place of the stack on: by its end tag, or where that may be missing."""
+        for e in stack[place:]:
+            depth[made[e].name] -= 1
+            if made[e].name == name or made[e].name in OPTIONAL:
+                made[e].close = at
+        del stack[place:]
+
+    def lowest(names: set[str], bounds: set[str]) -> int:
+        """The place of the outermost open one of these that no bound hides, 0 if none."""
+        found = 0
+        if any(depth.get(name) for name in names):
+            for place in range(len(stack) - 1, 0, -1):
+                if made[stack[place]].name in names:
+                    found = place
+                elif made[stack[place]].name in bounds:
+                    break
+        return found
+
     for at, (kind, name, rest) in enumerate(parts):
-        if kind == "open" and name not in VOID and name not in ("p", "li", "tr", "td", "th", "dt", "dd", "option", "b", "i", "a", "em", "strong"):
-            if not rest.endswith("/"):
+        if kind == "open":
+            if name in ENDS_P and (place := lowest({"p"}, SCOPE | (ENDS_P - {"p"}))):
+                close(place, "p", at)
+            if name in ENDS and (place := lowest(*ENDS[name])):
+                close(place, name, at)
+            if name not in VOID and not rest.endswith("/"):
                 made.append(Element(name, at, stack[-1], says_outside(name, rest)))
                 stack.append(len(made) - 1)
                 depth[name] = depth.get(name, 0) + 1
@@ -114,12 +154,19 @@ def elements(parts: list[tuple[str, str, str]]) -> tuple[list[Element], list[int
                 for e in stack[:-1]:
                     made[e].keeps = True
         elif kind == "close" and depth.get(name):
-            while True:
-                e = stack.pop()
-                depth[made[e].name] -= 1
-                if made[e].name == name:
-                    made[e].close = at
-                    break
+            place = len(stack) - 1
+            if name in INLINE:  # an inline end tag ends nothing around its block
+                while made[stack[place]].name != name and made[stack[place]].name in INLINE:
+                    place -= 1
+            elif name == "p":
+                place = lowest({"p"}, SCOPE | (ENDS_P - {"p"}))
+            elif name in ENDS:
+                place = lowest({name}, ENDS[name][1] - {"tr"} if name in ("td", "th") else ENDS[name][1])
+            else:
+                while made[stack[place]].name != name:
+                    place -= 1
+            if place and made[stack[place]].name == name:
+                close(place, name, at)
         around.append(stack[-1])
     return made, around
 
@@ -149,9 +196,12 @@ def blocks(page: str) -> list[tuple[str, int, int]]:
             line[0] += rest
             line[1] += 0 if link else len(rest.strip())
             line[2] = line[2] or home[e]
-        elif name == "a" and not (kind == "open" and rest.endswith("/")):
-            link = 1 if kind == "open" else 0
-        elif name not in INLINE:
+        elif name in INLINE:
+            if name == "a" and not (kind == "open" and rest.endswith("/")):
+                link = 1 if kind == "open" else 0
+            if kind == "open" and made[e].token == at and made[e].close < 0 and made[e].outside and not made[e].keeps:
+                blocked = len(lines)
+        else:
             link = 0
             lines.append(["", 0, 0, False])
             if kind == "open" and name not in VOID and name not in ("html", "body", "main", "article") and made[e].token == at and made[e].close < 0 and made[e].outside and not made[e].keeps:

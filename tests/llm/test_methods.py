@@ -154,6 +154,33 @@ def test_marks_lower_the_threshold_only():
     assert html_text.main_text(PAGE % f"<div><p>{long}</div><article><p>marked</article><p>short</p>") == f"{long}marked"
 
 
+LONG_WORDS = "Words of a paragraph that is long enough to surge by itself, wherever on the page it may stand."
+
+
+@pytest.mark.parametrize("around", ["<article>%s</article>", "<div>%s</div>"])
+@pytest.mark.parametrize("sign", ["class=advert", 'id="comments-1"', "hidden", 'style="display: none"', "role=alert", "aria-hidden=true"])
+@pytest.mark.parametrize(
+    "taken",
+    [
+        "<p {}>{}", "<p {}>{}</p>", "<ul><li>one<li {}>{}<li>two</ul>", "<dl><dt>one<dd {}>{}<dt>two</dl>", "<dl><dt {}>{}<dd>one<dt>two</dl>",
+        "<table><tr><td>one<td {}>{}<td>two</table>", "<table><tr><th {}>{}<td>one<tr><td>two</table>", "<table><tr {}><td>{}<td>x<tr><td>one<tr><td>two</table>",
+        "<p>one <a href=x {}>{}</a> two", "<p>one <b {}>{}</b> two</p>", "<p>one <strong {}><em>{}</em></strong> two</p>", "<p>one <i {}>{}</i><em> two</em>",
+    ],
+)
+def test_signs_on_every_element(around, sign, taken):
+    page = around % f"<p>{LONG_WORDS}</p>{taken.format(sign, 'Buy this, ' * 30)}<p>{LONG_WORDS}</p>"
+    inner = " one two" if "one" in taken else ""
+    assert html_text.main_text(page) == f"{LONG_WORDS}{inner} {LONG_WORDS}"
+
+
+def test_end_tags_that_are_missing():
+    assert html_text.main_text("<article><p class=ad>x<div>kept</div><p hidden>y<hr>too") == "kept too"
+    assert html_text.main_text("<article><p>one <a class=share>x<p>two</p>three <b hidden>y<p>four</article>") == "one two three four"
+    assert html_text.main_text("<article><b><p class=ad>x</b>y</p>kept</article>") == "kept"
+    assert html_text.main_text("<article><ul><li class=ad>x<ul><li>y</ul>z<li>kept</ul></article>") == "kept"
+    assert html_text.main_text("<article><table><tr><td class=ad><table><tr><td>x</table>y<td>kept</table></article>") == "kept"
+
+
 def test_cut_pages():
     for end in range(len(PAGE)):
         html_text.main_text((PAGE % BODY)[:end])

@@ -46,16 +46,16 @@ def seeds(hashed: DataFrame, key: str, at: str, *kept: str) -> DataFrame:
 def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", doc: str = "doc_id", item: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document and item that leaks into it, under the given id names: item_words, equal_words on the best
     offset, and window_words, the equal words of the best window there."""
-    given = docs.select(F.col(doc).alias("doc"), words(F.col(text)).alias("words"))
+    given = docs.select(F.col(doc).alias("doc"), words(F.col(text)).alias("words")).withColumn("copy", F.xxhash64("words"))
     items = benchmark.select(F.col(item).alias("item"), words(F.col(item_text)).alias("words")).distinct()
     wanted = seeds(items, "seed", "place", "item").select("seed", "item", "place", F.size("words").alias("length"))
     if wanted.count() <= BROADCAST_SEEDS:
         wanted = F.broadcast(wanted)
-    hits = seeds(given, "seed", "at", "doc").join(wanted, "seed").withColumn("offset", F.col("at") - F.col("place"))
-    # a passage's hits all name one offset, and lie in one task: they fold into one row before any shuffle
+    hits = seeds(given, "seed", "at", "doc", "copy").join(wanted, "seed").withColumn("offset", F.col("at") - F.col("place"))
+    # texts of one id stay apart; a passage's hits all name one offset, and lie in one task: they fold into one row before any shuffle
     start = F.greatest(F.col("offset"), F.lit(0))
     there = F.slice("words", start + 1, F.col("offset") + F.col("length") - start)
-    found = hits.groupBy("doc", "item", "offset", "length").agg(F.any_value(there).alias("there"))
+    found = hits.groupBy("doc", "copy", "item", "offset", "length").agg(F.any_value(there).alias("there"))
     known = items.select(F.col("item").alias("known"), F.col("words").alias("item_words"))
     pairs = found.join(known, F.col("item").eqNullSafe(F.col("known")) & (F.col("length") == F.size("item_words")))
     skipped = F.greatest(-F.col("offset"), F.lit(0))

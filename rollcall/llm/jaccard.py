@@ -121,67 +121,83 @@ def measured(docs: DataFrame, order, folder: str) -> DataFrame:
 
 
 def equal_sets(made: DataFrame, folder: str) -> DataFrame:
-    """doc, label: documents whose set a smaller id has too, and the least of these ids."""
+    """doc, set, label: documents whose set a smaller id has too, that set, and the least of these ids."""
     there = made.where("doc is not null and n > 0")
     least = there.groupBy("set").agg(F.min("doc").alias("label"), F.max("doc").alias("last")).where("label < last").drop("last")
-    pairs = there.select("doc", "set").join(least, "set").where("doc <> label").select("doc", "label").distinct()
+    pairs = there.select("doc", "set").join(least, "set").where("doc <> label").select("doc", "set", "label").distinct()
     return keep(pairs, f"{folder}/copies")
 
 
+def parted(made: DataFrame, folder: str) -> DataFrame:
+    """Adds part, which tells the sets of a repeated id apart: 0 for ids with one set."""
+    name = F.xxhash64("set")
+    several = made.where("doc is not null and n > 0").groupBy("doc").agg(F.min(name).alias("low"), F.max(name).alias("high"))
+    several = keep(several.where("low < high").select(F.col("doc").alias("_several")), f"{folder}/several")
+    return made.join(sized(several), F.col("doc") == F.col("_several"), "left").withColumn("part", F.when(F.col("_several").isNotNull(), name).otherwise(0)).drop("_several")
+
+
 def postings(made: DataFrame, copies: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Postings that two or more documents share (token, doc, n, at, met), and per document its tokens among them and
-    how often these are shared."""
-    rows = made.where("doc is not null and n > 0").join(sized(copies.select("doc")), "doc", "left_anti")
-    rows = rows.select("doc", "n", F.posexplode("tokens").alias("at", "token"))
+    """Postings that two or more documents share (token, doc, part, n, at, met), and per set of a document its tokens
+    among them and how often these are shared."""
+    rows = made.where("doc is not null and n > 0").join(sized(copies.select("doc", "set")), ["doc", "set"], "left_anti")
+    rows = parted(rows, folder).select("doc", "part", "n", F.posexplode("tokens").alias("at", "token"))
     met = rows.withColumn("met", F.count("*").over(Window.partitionBy("token"))).where("met > 1")
     met = keep(met, f"{folder}/postings")
-    of_doc = met.groupBy("doc").agg(F.max("n").alias("n"), F.sum("met").alias("score"), F.collect_set("token").alias("tokens"))
+    of_doc = met.groupBy("doc", "part").agg(F.max("n").alias("n"), F.sum("met").alias("score"), F.collect_set("token").alias("tokens"))
     return met, keep(of_doc, f"{folder}/shared")
 
 
+def ordered(doc: str, part: str, other: str, other_part: str) -> list[Column]:
+    """The columns of a pair, the smaller id first: a, part_a, b, part_b."""
+    low = F.col(doc) < F.col(other)
+    pick = lambda x, y, name: F.when(low, F.col(x)).otherwise(F.col(y)).alias(name)
+    return [pick(doc, other, "a"), pick(part, other_part, "part_a"), pick(other, doc, "b"), pick(other_part, part, "part_b")]
+
+
 def stars(met: DataFrame, of_doc: DataFrame) -> DataFrame:
-    """The pairs (a, b) that documents ask for first."""
-    rows = met.select("token", "doc", "n").join(of_doc.select("doc", "score"), "doc")
-    ranked = Window.partitionBy("token").orderBy(F.desc("score"), "doc")
+    """The pairs (a, part_a, b, part_b) that documents ask for first."""
+    rows = met.select("token", "doc", "part", "n").join(of_doc.select("doc", "part", "score"), ["doc", "part"])
+    ranked = Window.partitionBy("token").orderBy(F.desc("score"), "doc", "part")
     whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    one = F.struct("doc", "n")
+    one = F.struct("doc", "part", "n")
     near = [F.first(one).over(whole), F.nth_value(one, 2).over(whole), F.lag(one).over(ranked)]
-    asked = rows.select("doc", "n", F.array(*near).alias("near")).select("doc", "n", F.explode("near").alias("other"))
+    asked = rows.select("doc", "part", "n", F.array(*near).alias("near")).select("doc", "part", "n", F.explode("near").alias("other"))
     asked = asked.where("other.doc <> doc").where(F.least("n", "other.n") >= least_overlap(F.greatest("n", "other.n")))
-    pairs = asked.groupBy(F.least("doc", "other.doc").alias("a"), F.greatest("doc", "other.doc").alias("b")).agg(F.count("*").alias("times"))
-    best = Window.partitionBy("doc").orderBy(F.desc("times"), "a", "b")
-    each = pairs.select("a", "b", "times", F.explode(F.array("a", "b")).alias("doc"))
-    return each.withColumn("place", F.row_number().over(best)).where(F.col("place") <= ASKED).select("a", "b").distinct()
+    pairs = asked.groupBy(*ordered("doc", "part", "other.doc", "other.part")).agg(F.count("*").alias("times"))
+    best = Window.partitionBy("doc", "part").orderBy(F.desc("times"), "a", "b", "part_a", "part_b")
+    ends = F.array(*[F.struct(F.col(end).alias("doc"), F.col(f"part_{end}").alias("part")) for end in ("a", "b")])
+    each = pairs.select("*", F.inline(ends))
+    return each.withColumn("place", F.row_number().over(best)).where(F.col("place") <= ASKED).select("a", "part_a", "b", "part_b").distinct()
 
 
 def others(met: DataFrame, known: DataFrame, folder: str) -> DataFrame:
-    """All pairs (a, b) of different components that a common posting allows to link."""
+    """All pairs (a, part_a, b, part_b) of different components that a common posting allows to link."""
     found = met.join(known.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     around = Window.partitionBy("token")
     several = found.withColumn("low", F.min("label").over(around)).withColumn("high", F.max("label").over(around))
-    several = keep(several.where("low < high").select("token", "doc", "n", "at", "label"), f"{folder}/open")
+    several = keep(several.where("low < high").select("token", "doc", "part", "n", "at", "label"), f"{folder}/open")
     sizes = several.groupBy("token", "label").agg(F.count("*").alias("docs"))
     largest = sizes.groupBy("token").agg(F.max_by("label", F.struct("docs", "label")).alias("largest"))
     rows = several.join(largest, "token").withColumn("main", F.col("label") == F.col("largest"))
     early = rows.where(F.col("n") - F.col("at") >= needed(F.col("n"), F.col("n")))
-    side = lambda df, end: df.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("doc", "n", "at", "label")])
+    side = lambda df, end: df.select("token", *[F.col(c).alias(f"{c}_{end}") for c in ("doc", "part", "n", "at", "label")])
     fits = F.expr("label_x <> label_y and (n_x < n_y or n_x = n_y and doc_x < doc_y)")
     fits &= F.col("n_x") >= least_overlap(F.col("n_y"))
     fits &= F.least(F.col("n_x") - F.col("at_x"), F.col("n_y") - F.col("at_y")) >= needed(F.col("n_x"), F.col("n_y"))
     outside = side(early.where("not main"), "x").join(side(rows, "y"), "token").where(fits)
     inside = side(early.where("main"), "x").join(side(rows.where("not main"), "y"), "token").where(fits)
-    pairs = [p.select(F.least("doc_x", "doc_y").alias("a"), F.greatest("doc_x", "doc_y").alias("b")) for p in (outside, inside)]
+    pairs = [p.select(*ordered("doc_x", "part_x", "doc_y", "part_y")) for p in (outside, inside)]
     return pairs[0].unionByName(pairs[1]).distinct()
 
 
 def possible(pairs: DataFrame, of_doc: DataFrame) -> DataFrame:
-    """The pairs whose shared postings leave room for enough overlap.
+    """The pairs (a, b) whose shared postings leave room for enough overlap.
 
     All that two sets share up to the end of the postings that end first is shared postings; after it, at most what
     that document has left.
     """
-    side = lambda end: of_doc.select(F.col("doc").alias(end), F.col("n").alias(f"n_{end}"), F.col("tokens").alias(f"tokens_{end}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    side = lambda end: of_doc.select(F.col("doc").alias(end), F.col("part").alias(f"part_{end}"), F.col("n").alias(f"n_{end}"), F.col("tokens").alias(f"tokens_{end}"))
+    both = pairs.join(side("a"), ["a", "part_a"]).join(side("b"), ["b", "part_b"])
     shared = F.size(F.array_intersect("tokens_a", "tokens_b"))
     rest = F.greatest(least_overlap(F.col("n_a")), least_overlap(F.col("n_b"))) - 1
     return both.where(shared + rest >= needed(F.col("n_a"), F.col("n_b"))).select("a", "b")

@@ -298,3 +298,21 @@ def test_every_kind_adds_spans(spark, copies):
         assert f"{kind}:{start}:{start + len(value)}" in found[i], (text, found[i])
     for i, text in enumerate(NOT_ADDED, len(ADDED)):
         assert found[i] == [""] or text.startswith("dial") and not any(s.startswith("card") for s in found[i]), (text, found[i])
+
+
+def test_repeated_ids_with_different_texts(spark):
+    """A document links if any of its texts does, whatever the others are."""
+    text = lambda name, words: " ".join(f"{name}{i}" for i in range(words))
+    a, b, c, long = text("a", 60), text("b", 120), text("c", 50), text("d", 400)
+    like_b, like_c = b.replace("b60 ", "x "), c.replace("c49", "x")
+    docs = [(1, a), (5, a), (5, b), (7, like_b), (20, c), (20, long), (21, like_c)]
+    found = {r.doc_id: r.component_id for r in jaccard.components(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert found == {1: 1, 5: 1, 7: 1, 20: 20, 21: 20}
+
+
+def test_leaks_in_one_of_the_texts_of_an_id(spark):
+    item = " ".join(f"word{i}" for i in range(20))
+    part = " ".join([f"word{i}" for i in range(5)] + [f"else{i}" for i in range(15)])
+    docs = spark.createDataFrame([(1, item), (1, part), (2, part), (2, item), (3, part)], "doc_id long, text string").coalesce(1)
+    found = decontaminate.overlaps(docs, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.window_words) for r in found) == [(1, 13), (2, 13)]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, pii, rules, secret_scan, token_store, warc
+from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, merkle, pii, prefix_trie, rules, secret_scan, superminhash, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -57,6 +57,18 @@ def op10_pii(spark: SparkSession, folder: str) -> DataFrame:
     return pii.digests(table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, folder, "conversations"))
+
+
+def op12_superminhash(spark: SparkSession, folder: str) -> DataFrame:
+    return superminhash.components(table(spark, folder, "documents"))
+
+
+def op13_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.audited(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_secret_scan": op2_secret_scan,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_store": op8_token_store,
     "op9_classifier": op9_classifier,
     "op10_pii": op10_pii,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_superminhash": op12_superminhash,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {

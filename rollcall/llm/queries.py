@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, merkle, pii, prefix_trie, rules, secret_scan, superminhash, token_store, warc
+from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, merkle, pii, prefix_trie, rules, secret_scan, sql, superminhash, token_store, warc
 from rollcall.llm.shared import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -87,5 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_decontaminate": decontaminate.ORACLE,
+    "op4_jaccard": sql.groups(jaccard.SIZE, jaccard.PERCENT),
     "op6_rules": rules.ORACLE,
+    "op11_prefix_trie": sql.TRIE,
+    "op12_superminhash": sql.groups(superminhash.SIZE, superminhash.PERCENT, ", doc_id = least_id as kept"),
+    "op13_merkle": sql.MERKLE,
 }

@@ -10,8 +10,9 @@
 4. Every bucket has a centre, the document that meets most others over all its buckets; each document is compared with
    the centres it meets most often: as many pairs as documents, however large a group of copies is. Links join groups.
 5. What is left is documents that share a bucket but no group. Of each bucket the largest group is compared with the
-   others, and these with each other; equal groups never are. Where that would be many pairs, documents must meet in a
-   second band as well, which at similarity 0.8 they fail to once in three hundred thousand times.
+   others, and these with each other; equal groups never are. Where that would be many pairs, as in a crowd of copies
+   that are just not similar enough, the bucket's documents are compared exactly instead, by the rarest of their
+   shingles: of two sets that link, the first shingle they share stands early in both.
 6. A pair is a candidate if sizes allow it and not too many bits of the signatures differ, and a link only after both
    full sets were compared. Links are united in trees of pointers, within tasks first, then between them.
 
@@ -25,9 +26,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from rollcall.llm.bpe import portions
 from rollcall.llm.components import labels
@@ -40,8 +40,10 @@ BANDS, ROWS = 30, 4
 PLACES = BANDS * ROWS
 #: Places whose lowest bits may differ: 12 of 120 do at similarity 0.8; more than 36 with a chance of one in 10^8.
 DIFFER = 36
-#: Centres a document is compared with, and pairs of a bucket beyond which a second band must agree.
-CENTRES, PAIRS = 2, 2_000
+#: Centres a document is compared with, and pairs of a bucket beyond which its documents meet by rare shingles.
+CENTRES, PAIRS = 2, 300
+#: Buckets in which shingles are counted for the order by rarity, and chunks in which tasks send the counts.
+COUNTS, CHUNKS = 1 << 18, 64
 #: Bytes of text worked on at a time, and nodes of a task's union-find forest.
 AT_ONCE, FOREST = 1 << 20, 500_000
 EMPTY = np.uint64(2**64 - 1)
@@ -123,13 +125,13 @@ def equal_sets(made: DataFrame, folder: str) -> DataFrame:
 
 def buckets(made: DataFrame, copies: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
     """Places in buckets that several documents share (bucket, doc, part), and of each of these documents what pairs are
-    chosen by: score (how many it meets), n, low, high, bands."""
+    chosen by: score (how many it meets), n, low, high."""
     alone = made.where("doc is not null and n > 0").join(sized(copies.select("doc", "set")), ["doc", "set"], "left_anti")
     rows = alone.select("doc", "part", F.explode("bands").alias("bucket"))
     several = rows.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
     met = keep(rows.join(several, "bucket"), f"{folder}/buckets")
     scores = met.groupBy("doc", "part").agg(F.sum("met").alias("score"))
-    facts = alone.select("doc", "part", "n", "low", "high", "bands").dropDuplicates(["doc", "part"])
+    facts = alone.select("doc", "part", "n", "low", "high").dropDuplicates(["doc", "part"])
     return met.drop("met"), keep(scores.join(facts, ["doc", "part"]), f"{folder}/facts")
 
 
@@ -152,7 +154,7 @@ def ordered(x: str, y: str) -> list[Column]:
 
 def centred(met: DataFrame, facts: DataFrame) -> DataFrame:
     """Pairs (a, part_a, b, part_b) of documents with the centres they meet most often."""
-    rows = met.join(facts.drop("bands"), ["doc", "part"]).select("bucket", "score", F.struct(*WHO).alias("x"))
+    rows = met.join(facts, ["doc", "part"]).select("bucket", "score", F.struct(*WHO).alias("x"))
     centre = rows.groupBy("bucket").agg(F.max(F.struct("score", (-F.col("x.doc")).alias("last"), "x")).alias("best")).select("bucket", F.col("best.x").alias("y"))
     pairs = rows.join(centre, "bucket").where(F.col("x.doc") != F.col("y.doc")).where(may_link("x", "y"))
     counted = pairs.groupBy("x.doc", "x.part", *ordered("x", "y")).agg(F.count("*").alias("times"))
@@ -179,26 +181,82 @@ def crossed(rows: DataFrame) -> DataFrame:
     return mixed_.select(*ordered("x", "y")).unionByName(among.select(*ordered("x", "y")))
 
 
-def remaining(met: DataFrame, facts: DataFrame, known: DataFrame, folder: str) -> DataFrame:
-    """Pairs of documents in different groups that share a bucket, or two where a bucket has many of them."""
+def remaining(docs: DataFrame, met: DataFrame, facts: DataFrame, known: DataFrame, folder: str) -> DataFrame:
+    """Pairs of documents in different groups that share a bucket."""
     grouped = facts.join(known.select(F.col("node").alias("doc"), "label"), "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    of_doc = grouped.select("doc", "part", "label", F.struct(*WHO).alias("x"), "bands")
-    rows = met.join(of_doc.drop("bands"), ["doc", "part"]).select("bucket", "label", "x")
-    first = apart(rows, f"{folder}/apart")
-    few, many = first.where(F.col("pairs") <= PAIRS), first.where(F.col("pairs") > PAIRS)
-    second = many.select("bucket", F.col("x.doc").alias("doc"), F.col("x.part").alias("part")).join(of_doc, ["doc", "part"])
-    # of two buckets that agree the smaller one's name comes first, so that a pair of them counts once
-    finer = second.select("label", "x", F.col("bucket").alias("one"), F.explode("bands").alias("other")).where("one < other")
-    several = finer.select(F.xxhash64("one", "other").alias("bucket"), "label", "x")
-    finer_few = apart(several, f"{folder}/finer")
-    return crossed(few.drop("pairs")).unionByName(crossed(finer_few.drop("pairs"))).distinct()
+    of_doc = grouped.select("doc", "part", "label", F.struct(*WHO).alias("x"))
+    places = apart(met.join(of_doc, ["doc", "part"]).select("bucket", "label", "x"), f"{folder}/apart")
+    crowded = places.where(F.col("pairs") > PAIRS).select("x.doc", "x.part", "label", "x").dropDuplicates(["doc", "part"])
+    return crossed(places.where(F.col("pairs") <= PAIRS)).unionByName(rare(docs, keep(crowded, f"{folder}/crowded"), folder)).distinct()
 
 
-def links(docs: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
-    """The pairs (a, b) whose full sets link."""
-    pairs = keep(pairs, f"{folder}/pairs")
-    ends = [pairs.select(F.col(end).alias("doc"), F.col(f"part_{end}").alias("part")) for end in ("a", "b")]
-    wanted = keep(ends[0].unionByName(ends[1]).distinct(), f"{folder}/wanted")
+def needed(n: Column, m: Column) -> Column:
+    """Shingles that sets of n and m must share to link."""
+    return F.ceil(F.lit(PERCENT) * (n + m) / (100 + PERCENT))
+
+
+def rare(docs: DataFrame, crowded: DataFrame, folder: str) -> DataFrame:
+    """All pairs of different groups among these documents that may link, by their rarest shingles.
+
+    If the first shingle that two sets share stands at places i and j in the order, they share at most what the shorter
+    rest holds. So it stands within the first fifth of each, and within the first ninth of the smaller one.
+    """
+    sets = keep(whole_sets(docs, crowded.select("doc", "part"), f"{folder}/rare"), f"{folder}/rare/sets")
+    order = docs.sparkSession.sparkContext.broadcast(np.argsort(np.argsort(counts(sets, f"{folder}/rare"), kind="stable"), kind="stable").astype(np.uint32))  # 1 MB
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in portions(batches, "set", AT_ONCE):
+            out: dict[str, list] = {"doc": [], "part": [], "at": [], "shingle": []}
+            for doc, part, held in zip(batch.column("doc").to_pylist(), batch.column("part").to_pylist(), batch.column("set"), strict=True):
+                elements = np.frombuffer(held.as_buffer(), np.uint64)
+                ranks = order.value[(elements % np.uint64(COUNTS)).astype(np.int64)]
+                early = np.lexsort((elements, ranks))[: len(elements) - -(-PERCENT * len(elements) // 100) + 1]
+                for values, value in zip(out.values(), (np.full(len(early), doc), np.full(len(early), part), np.arange(len(early)), elements[early].view(np.int64)), strict=True):
+                    values.append(value)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(v).astype(np.int64)) for v in out.values()], names=list(out))
+
+    rows = sets.mapInArrow(first, "doc long, part long, at long, shingle long").join(crowded, ["doc", "part"]).select("shingle", "at", "label", "x")
+    sizes = rows.groupBy("shingle", "label").agg(F.count("*").alias("docs"))
+    open_ = sizes.groupBy("shingle").agg(F.max(F.struct("docs", "label")).alias("most"), F.count("*").alias("groups")).where("groups > 1")
+    rows = keep(rows.join(open_.select("shingle", F.col("most.label").alias("largest")), "shingle").withColumn("main", F.col("label") == F.col("largest")), f"{folder}/rare/places")
+    early = rows.where(F.col("x.n") - F.col("at") >= needed(F.col("x.n"), F.col("x.n")))
+    side = lambda df, name: df.select("shingle", F.col("label").alias(f"label_{name}"), F.col("at").alias(f"at_{name}"), F.col("x").alias(name))
+    fits = F.expr("label_x <> label_y and (x.n < y.n or x.n = y.n and x.doc < y.doc)") & may_link("x", "y")
+    fits &= F.least(F.col("x.n") - F.col("at_x"), F.col("y.n") - F.col("at_y")) >= needed(F.col("x.n"), F.col("y.n"))
+    outside = side(early.where("not main"), "x").join(side(rows, "y"), "shingle").where(fits)
+    inside = side(early.where("main"), "x").join(side(rows.where("not main"), "y"), "shingle").where(fits)
+    return outside.select(*ordered("x", "y")).unionByName(inside.select(*ordered("x", "y")))
+
+
+def counts(sets: DataFrame, folder: str) -> np.ndarray:
+    """Shingles of all sets per bucket by hash: a table of fixed size."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTS, np.int64)
+        for batch in batches:
+            for held in batch.column("set"):
+                total += np.bincount((np.frombuffer(held.as_buffer(), np.uint64) % np.uint64(COUNTS)).astype(np.int64), minlength=COUNTS)
+        yield sent(enumerate(total.reshape(CHUNKS, -1)))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                total[row["chunk"]] = total.get(row["chunk"], 0) + np.frombuffer(row["counts"], np.int64)
+        yield sent(total.items())
+
+    def sent(chunks) -> pa.RecordBatch:
+        numbers, arrays = zip(*chunks, strict=True) if (chunks := list(chunks)) else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array([x.tobytes() for x in arrays], pa.binary())], names=["chunk", "counts"])
+
+    schema = "chunk int, counts binary"
+    found = keep(sets.select("set").mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema), f"{folder}/counts")
+    chunks = {row.chunk: np.frombuffer(bytes(row.counts), np.int64) for row in found.collect()}  # 2 MB in all
+    return np.concatenate([chunks.get(i, np.zeros(COUNTS // CHUNKS, np.int64)) for i in range(CHUNKS)])
+
+
+def whole_sets(docs: DataFrame, wanted: DataFrame, folder: str) -> DataFrame:
+    """doc, part, set (the distinct shingles, in order) of the wanted documents (doc, part), once each."""
     ids = sized(keep(wanted.select(F.col("doc").alias("doc_id")).distinct(), f"{folder}/ids"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,9 +267,16 @@ def links(docs: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
             parts = np.frombuffer(b"".join(xxhash.xxh3_128_digest(each)[:8] for each in held), "<i8")
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(parts), pa.array(held, pa.binary())], names=["doc", "part", "set"])
 
-    found = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc long, part long, set binary")
     # an id may be repeated, with the same text or others
-    whole = found.groupBy("doc", "part").agg(F.any_value("set").alias("set"))
+    found = docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc long, part long, set binary")
+    return found.groupBy("doc", "part").agg(F.any_value("set").alias("set"))
+
+
+def links(docs: DataFrame, pairs: DataFrame, folder: str) -> DataFrame:
+    """The pairs (a, b) whose full sets link."""
+    pairs = keep(pairs, f"{folder}/pairs")
+    ends = [pairs.select(F.col(end).alias("doc"), F.col(f"part_{end}").alias("part")) for end in ("a", "b")]
+    whole = whole_sets(docs, ends[0].unionByName(ends[1]).distinct(), folder)
     side = lambda end: whole.select(F.col("doc").alias(end), F.col("part").alias(f"part_{end}"), F.col("set").alias(f"set_{end}"))
     both = pairs.join(side("b"), ["b", "part_b"]).join(side("a"), ["a", "part_a"]).select("a", "b", "set_a", "set_b")
 
@@ -269,7 +334,7 @@ def components(docs: DataFrame, folder: str | None = None) -> DataFrame:
     met, facts = buckets(made, copies, folder)
     first = links(docs, centred(met, facts), f"{folder}/centres")
     known = keep(labels(united(first), f"{folder}/centres/groups"), f"{folder}/centres/labels")
-    last = links(docs, remaining(met, facts, known, folder), f"{folder}/remaining")
+    last = links(docs, remaining(docs, met, facts, known, folder), f"{folder}/remaining")
     # what is known already is a star around each label, and so are equal sets
     stars = [df.select(F.col(x).alias("a"), F.col(y).alias("b")) for df, x, y in ((known.where("node <> label"), "node", "label"), (copies, "doc", "label"))]
     final = labels(united(last.unionByName(stars[0]).unionByName(stars[1])), f"{folder}/groups")

@@ -254,7 +254,8 @@ def manifest(docs: DataFrame, folder: str | None = None, finish: Callable[[str],
     """
     spark = docs.sparkSession
     folder = folder or scratch(spark, "merkle")
-    lowest = placed(leaves(docs), ["tree"], ["id", "digest", "other"], f"{folder}/leaves")
+    # written before they are dealt by range, which reads its rows twice
+    lowest = placed(keep(leaves(docs), f"{folder}/digests"), ["tree"], ["id", "digest", "other"], f"{folder}/leaves")
     made, roots = build(lowest, f"{folder}/sources")
     subroots = keep(placed(roots, [], ["tree"], f"{folder}/roots"), f"{folder}/subroots")
     top_rows = subroots.select(F.lit(None).cast("string").alias("tree"), "pos", F.col("pos").alias("id"), F.col("root").alias("digest"), F.col("root").alias("other"))

@@ -173,7 +173,7 @@ def ranged(keys: DataFrame, folder: str) -> tuple[DataFrame, dict[int, tuple[int
 
     rows = sorted((r.part, r.shared) for r in pairs.mapInArrow(shared, "part int, shared int").collect())
     after = [shared for _, shared in rows[1:]] + [-1]
-    return dealt, {part: (before, next_) for (part, before), next_ in zip(rows, after, strict=True)}
+    return dealt, {part: (before, next_) for (part, before), next_ in zip(rows, after, strict=False)}
 
 
 class Edge:

@@ -21,7 +21,7 @@ from rollcall.plans.dashboard import dashboard
 from rollcall.schemas import CONSTRAINED, COUNTED, EVENT, STORED
 from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.ddl import create_if_absent
-from rollcall.sinks.stores import keyed_store, topic
+from rollcall.sinks.stores import keyed_store, once_store, topic
 from rollcall.sources.messages import file_messages, kafka_messages
 from rollcall.sources.responses import responses_from_files, responses_from_messages, responses_from_table
 from rollcall.sources.tables import load_users
@@ -50,9 +50,8 @@ def stream(spark: SparkSession, args) -> None:
     if args.format:
         store = keyed_store(args.format, **_options(args.option))
     else:
-        store = BatchTable(spark, f"{args.out}/users", STORED).replace
-    if args.namespace:
-        create_if_absent(spark, args.namespace, "users", STORED, f"{args.out}/{args.namespace}")
+        name = create_if_absent(spark, args.namespace, "users", STORED, f"{args.out}/{args.namespace}", batches=f"{args.out}/users") if args.namespace else None
+        store = BatchTable(spark, f"{args.out}/users", STORED, catalog=name).replace
     checkpoint = f"{args.out}/checkpoint"
     jobs.store_messages(
         _messages(spark, args),
@@ -80,7 +79,7 @@ def ingest(spark: SparkSession, args) -> None:
         BatchTable(spark, f"{args.out}/unusable", UNUSABLE).replace,
         f"{args.out}/checkpoint",
         new_folder(spark, "ingest"),
-        also=keyed_store(args.table_format, **_options(args.table_option)) if args.table_format else None,
+        also=once_store(spark, args.table_format, f"{args.out}/ledger", **_options(args.table_option)) if args.table_format else None,
         trigger=_trigger(args),
     ).awaitTermination()
 

@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rollcall.sinks.batches import Slices
 from rollcall.sources.messages import MAX_FILES
 
 
 def load_users(spark: SparkSession, source_format: str = "parquet", **options) -> DataFrame:
     """The stored users from any batch source: a file format, or a connector such as Cassandra or JDBC.
 
-    Lazy, so the columns a count does not use never leave the store.
+    Lazy, so the columns a count does not use never leave the store. A folder that a `BatchTable` keeps is read as its log
+    says.
     """
+    if source_format == "parquet" and "path" in options:
+        slices = Slices(spark, options["path"])
+        if live := slices.live():
+            others = {name: value for name, value in options.items() if name != "path"}
+            return spark.read.options(**others).parquet(*map(slices.place, live))
     return spark.read.format(source_format).options(**options).load()
 
 

@@ -22,9 +22,13 @@ from rollcall.operators.flatten import flatten_users, parse_responses, unusable_
 from rollcall.operators.resent import copies_per_slot, first_copies
 from rollcall.schemas import EVENT_FIELDS
 from rollcall.sinks.batches import BatchTable, SlotTable
+from rollcall.sinks.keys import KeyIndex
 from rollcall.sinks.stores import BatchWriter, both
 from rollcall.workspace import remove_folder
 
+#: The constrained table's keys.
+UNIQUE = ("email", "username")
+
 
 def start(
     stream: DataFrame, write: BatchWriter, checkpoint: str, *, mode: str = "append", trigger: dict | None = None
@@ -140,7 +144,7 @@ def constrain_events(
     """Events to the constrained table. ``events`` carry ``id``, the event fields and a unique ``order``.
 
     A batch is checked against the keys of earlier batches only, so a replay does not meet its own rows.
-    The keys the table holds are the state, and grow with it.
+    The keys the table holds are the state, and grow with it; they are looked up in an index beside the table (`KeyIndex`).
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -167,13 +171,17 @@ def write_constrained(
     """The batch's storable rows to the table, and to the writer ``also`` (an external store) if there is one."""
     store = both(accepted.replace, also) if also else accepted.replace
     run = f"{workdir}/batch-{batch_id}-{uuid.uuid4().hex}"
-    taken = accepted.before(batch_id).select("email", "username")
-    taken = None if taken.isEmpty() else taken
+    index = KeyIndex(events.sparkSession, f"{accepted.path}/_keys", UNIQUE)
+    if not index.slices.live(before=batch_id) and accepted.slices.live(before=batch_id):
+        index.put(accepted.before(batch_id), batch_id - 1)  # a table from before it had an index
+    taken = index.taken(events, batch_id)
     # The batch is held already, so it need not be written once more.
     checked = check_table(events, order, run, taken=taken, write_checked=False, **options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store(storable(checked), batch_id)
         rejected(violators(checked), batch_id)
+        # What the table took, from its files. Until this is done the batch is replayed.
+        index.put(accepted.batch(batch_id), batch_id)
     finally:
         checked.unpersist()
         remove_folder(events.sparkSession, run)

@@ -45,14 +45,51 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
-def move_folder(spark: SparkSession, source: str, target: str) -> bool:
-    """Rename a folder; False where there is none."""
-    system, place = _file_system(spark, source)
-    if not system.exists(place):
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _file_system(spark, path)
+    return system.exists(place)
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes in a folder."""
+    system, place = _file_system(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file where there is none; False where there is one."""
+    system, place = _file_system(spark, path)
+    try:
+        out = system.create(place, False)
+    except Exception as error:  # the JVM's, whose class differs between file systems
+        if not system.exists(place):
+            raise error
         return False
-    _, to = _file_system(spark, target)
-    system.mkdirs(to.getParent())
-    return system.rename(place, to)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None where there is none."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return None
+    source = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files in a folder."""
+    system, place = _file_system(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(status.getPath().getName() for status in system.listStatus(place) if status.isFile())
 
 
 def folders(spark: SparkSession, path: str) -> list[str]:

@@ -80,7 +80,8 @@ def test_dashboard_with_known_countries_and_a_namespace(spark, tmp_path):
     place = str(tmp_path)
     messages(spark, [event(country=f"c{i % 2}", email=str(i)) for i in range(7)]).write.parquet(f"{place}/topic")
     main(["stream", "--source", f"{place}/topic", "--out", f"{place}/stream", "--namespace", "people"], spark)
-    assert spark.table("people.users").count() == 0
+    assert spark.table("people.users").count() == 7
+    assert sorted(r.email for r in spark.table("people.users").collect()) == [str(i) for i in range(7)]
     spark.sql("drop database people cascade")
     spark.createDataFrame([("c1",)], "country string").write.parquet(f"{place}/known")
     arguments = ["--known", f"{place}/known", "--top", "1"]

@@ -18,12 +18,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.bpe import portions
-from rollcall.llm.shared import keep, scratch
+from rollcall.llm.shared import keep, placed, scratch
 from rollcall.llm.van_emde_boas import addresses, size
 
 FAN, HEIGHT = 3, 6
@@ -60,44 +59,6 @@ def leaves(docs: DataFrame) -> DataFrame:
     return made.withColumn("other", F.coalesce("other", "digest"))
 
 
-def placed(rows: DataFrame, group: list[str], order: list[str], folder: str) -> DataFrame:
-    """Adds pos: each row's number in its group, in the given order, null first.
-
-    Rows are dealt by range and numbered inside their part. Only a part's first group can have begun in an earlier one, so
-    one offset per part is all that is added.
-    """
-    schema = "_part int, _local long, _lead boolean, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, last, lead, count = TaskContext.get().partitionId(), None, True, 0
-        for batch in batches:
-            keys = list(zip(*[batch.column(name).to_pylist() for name in group], strict=True)) if group else [()] * batch.num_rows
-            local, leads = [], []
-            for key in keys:
-                if key != last:
-                    lead, last, count = last is None, key, 0
-                local.append(count)
-                leads.append(lead)
-                count += 1
-            columns = [pa.array([part] * len(keys), pa.int32()), pa.array(local, pa.int64()), pa.array(leads, pa.bool_()), *batch.columns]
-            yield pa.RecordBatch.from_arrays(columns, names=["_part", "_local", "_lead", *batch.schema.names])
-
-    by = [F.col(name).asc_nulls_first() for name in [*group, *order]]
-    found = keep(rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(number, schema), folder)
-    name = F.struct(*group) if group else F.lit(1)
-    edges = found.groupBy("_part").agg(F.min(name).alias("first"), F.max(name).alias("last"), F.max_by("_local", F.struct(name, "_local")).alias("at"))
-    near = F.lag("last").over(Window.orderBy("_part"))  # one row per part
-    parts = edges.select("_part", F.col("first").eqNullSafe(near).alias("goes_on"), (F.col("first") == F.col("last")).alias("single"), "at").orderBy("_part").collect()
-    offsets, held = [], 0
-    for row in parts:
-        offset = held if row.goes_on else 0
-        held = row["at"] + 1 + (offset if row.single else 0)
-        offsets.append((row._part, offset))
-    named = rows.sparkSession.createDataFrame(offsets, "_part int, _offset long")
-    pos = F.col("_local") + F.when(F.col("_lead"), F.col("_offset")).otherwise(0)
-    return found.join(F.broadcast(named), "_part").select(*rows.columns, pos.alias("pos"))
-
-
 def levels_of(leaves: list[bytes], height: int) -> list[list[bytes]]:
     """The levels of a subtree from its leaves up."""
     made = [leaves]

@@ -1,4 +1,4 @@
-"""Minimal perfect hashing by hash and displace: n keys to the numbers 0 to n-1, some 2 bits a key and no key stored.
+"""Minimal perfect hashing by hash and displace: n keys to the numbers 0 to n-1, 16 bits a key and no key stored.
 
 Keys fall into groups of four on average. The largest groups come first; each tries displacements until its keys land
 on free places. Groups of one key take the places left over, named directly.

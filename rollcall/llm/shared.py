@@ -8,6 +8,7 @@ from functools import cache
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -89,3 +90,47 @@ def single(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def carried(parts: list[tuple]) -> list[tuple[int, int]]:
+    """For parts of sorted rows (part, first group, last group, last number in that), in order: the part, and the rows of its
+    first group that lie in parts before it."""
+    offsets, before, held = [], None, 0
+    for part, first, last, at in parts:
+        offset = held if offsets and first == before else 0
+        held = at + 1 + (offset if first == last else 0)
+        before = last
+        offsets.append((part, offset))
+    return offsets
+
+
+def placed(rows: DataFrame, group: list[str], order: list[str], folder: str) -> DataFrame:
+    """Adds pos: each row's number in its group, in the given order, null first.
+
+    Rows are dealt by range and numbered inside their part. Only a part's first group can have begun in an earlier one, so
+    one offset per part is all that is added.
+    """
+    schema = "_part int, _local long, _lead boolean, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, lead, count = TaskContext.get().partitionId(), None, True, 0
+        for batch in batches:
+            keys = list(zip(*[batch.column(name).to_pylist() for name in group], strict=True)) if group else [()] * batch.num_rows
+            local, leads = [], []
+            for key in keys:
+                if key != last:
+                    lead, last, count = last is None, key, 0
+                local.append(count)
+                leads.append(lead)
+                count += 1
+            columns = [pa.array([part] * len(keys), pa.int32()), pa.array(local, pa.int64()), pa.array(leads, pa.bool_()), *batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=["_part", "_local", "_lead", *batch.schema.names])
+
+    by = [F.col(name).asc_nulls_first() for name in [*group, *order]]
+    found = keep(rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInArrow(number, schema), folder)
+    name = F.struct(*group) if group else F.lit(1)
+    edges = found.groupBy("_part").agg(F.min(name).alias("first"), F.max(name).alias("last"), F.max_by("_local", F.struct(name, "_local")).alias("at"))
+    offsets = carried([tuple(row) for row in edges.orderBy("_part").collect()])  # one row per part
+    named = rows.sparkSession.createDataFrame(offsets, "_part int, _offset long")
+    pos = F.col("_local") + F.when(F.col("_lead"), F.col("_offset")).otherwise(0)
+    return found.join(F.broadcast(named), "_part").select(*rows.columns, pos.alias("pos"))

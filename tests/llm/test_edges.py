@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import struct
+from collections import Counter
+
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from rollcall.llm import bpe, classifier, decontaminate, html_text, jaccard, pii, rules, secret_scan, token_store, warc
 from rollcall.llm.shared import scratch
@@ -126,13 +130,33 @@ def test_warc(spark):
 
 
 def test_token_store(spark, odd, none):
-    found = sorted((r.doc_id, r.start, r.n_tokens) for r in token_store.checks(clashing(odd, "key", "shard"), scratch(spark, "store"), TOKENIZER, 2).collect())
-    assert [d for d, *_ in found] == [1, 2, 3, 4, 5, 5, 6]  # rows without an id are not stored
+    found = [(r.doc_id, r.start, r.n_tokens) for r in token_store.checks(clashing(odd, "key", "shard", "at", "copy"), scratch(spark, "store"), TOKENIZER, 2).collect()]
+    found.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    assert [d for d, *_ in found] == [1, 2, 3, 4, 5, 5, 6, None]  # rows without an id come last
     assert [n for _, _, n in found][:2] == [1, 1]
     assert [s for _, s, _ in found] == [sum(n for *_, n in found[:i]) for i in range(len(found))]
     assert token_store.checks(none, scratch(spark, "store"), TOKENIZER, 2).count() == 0
 
 
+def test_token_store_with_keys_that_span_shards(spark, parted):
+    """Most rows have one key, or none, many of them the same text; each asked for as often as it is there."""
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, f"text {i % 5 if i % 2 else 0}") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    folder = scratch(spark, "store")
+    token_store.write(docs, folder, TOKENIZER, 2)
+    assert spark.read.parquet(f"{folder}/shards.parquet").count() > 2
+    read = token_store.read(spark, folder, docs.select("doc_id")).collect()
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    ids = lambda text: tuple([*tokenizer.encode(text, add_special_tokens=False).ids, 2])
+    wanted = Counter((doc, ids(text)) for doc, text in rows)
+    assert Counter((r.doc_id, struct.unpack(f"<{r.n_tokens}I", r.ids)) for r in read) == wanted
+    in_order = sorted(read, key=lambda r: r.start)
+    assert [r.start for r in in_order] == [sum(r.n_tokens for r in in_order[:i]) for i in range(len(in_order))]
+    assert [r.doc_id for r in in_order] == sorted([d for d, _ in rows], key=lambda d: (d is None, d or 0))
+    unknown = spark.createDataFrame([(7,), (-1,), (None,)], "doc_id long")
+    assert sorted(str(r.doc_id) for r in token_store.read(spark, folder, unknown).collect()) == ["7", "None"]
+
+
 def test_classifier(spark, odd, none):
     labels = spark.createDataFrame([(1, 1, None), (2, None, 0), (4, 0, 0), (5, 1, 0), (5, 0, 0), (77, 1, 1), (None, 1, 1), (6, 3, 0)], LABELS)
     rows = classifier.predictions(clashing(odd, "score", "label"), labels).collect()

@@ -109,7 +109,7 @@ def crowd(seed, convs=400):
 
 
 @pytest.mark.parametrize("keys", [1, 3, 7, 20_000])
-def test_trie_in_trees_of_any_size(spark, keys):
+def test_trie_in_trees_of_any_size(spark, parted, keys):
     rows = crowd(keys)
     convs = prefix_trie.rebuilt(prefix_trie.gathered(spark.createDataFrame(rows, TURNS)))
     found = prefix_trie.nodes(convs, scratch(spark, "trie"), keys).collect()
@@ -138,7 +138,7 @@ def test_trie_of_odd_rows(spark):
     assert (root.depth, root.n_leaves, root.n_children, root.saved_tokens, root.parent_conv_id) == (0, 1, 0, 0, None)
 
 
-def test_ids_of_a_key_with_most_conversations(spark):
+def test_ids_of_a_key_with_most_conversations(spark, parted):
     """More ids than a piece holds, over several tasks."""
     many = 3 * prefix_trie.IDS + 17
     convs = spark.range(0, many).selectExpr("id * 7 as conv_id", "cast(cast(if(id % 3 = 0, id, 5) as string) as binary) as seq")
@@ -333,7 +333,7 @@ def test_manifest_of_the_table(spark, tables):
     assert sorted(map(str, map(tuple, merkle.audited(given).collect()))) == brute_manifest(rows)
 
 
-def test_manifest_over_many_blocks(spark):
+def test_manifest_over_many_blocks(spark, parted):
     """A source of several blocks, the last one short, beside sources of a full block, a block and one, and single rows."""
     counts = {"hot": 5 * merkle.BLOCK + 1, "full": merkle.BLOCK, "more": merkle.BLOCK + 1, None: 4, "": 1, "é": 2, "z": 1}
     rows = [(1000 * n + i, name, None, i, f"line\n{i}") for n, (name, count) in enumerate(counts.items()) for i in range(count)]
@@ -342,7 +342,7 @@ def test_manifest_over_many_blocks(spark):
     assert sorted(map(str, map(tuple, merkle.audited(given).collect()))) == brute_manifest(rows)
 
 
-def test_manifest_over_many_sources(spark):
+def test_manifest_over_many_sources(spark, parted):
     rows = [(i, f"s{i}", "en", 1, "a\nb") for i in range(merkle.BLOCK + 5)]
     found = merkle.audited(spark.createDataFrame(rows, DOCS).repartition(5)).collect()
     assert sorted(map(str, map(tuple, found))) == brute_manifest(rows)

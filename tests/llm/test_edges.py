@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import struct
 from collections import Counter
 
@@ -73,18 +74,37 @@ def test_secrets(odd, none, spark):
     assert secret_scan.digests(long).first().spans.split(",")[0] == "assign:0:100011"
 
 
-def test_decontamination(odd, none, spark):
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_decontamination(odd, none, spark, few):
     items = spark.createDataFrame([(None, "text without an id of more than five words"), (1, None), (2, "too short"), (3, ""), (4, "same row twice with some words"), (4, "same row twice with some words")], ITEMS)
-    found = sorted((str(r.doc_id), str(r.item_id)) for r in decontaminate.overlaps(odd, items).collect())
+    found = sorted((str(r.doc_id), str(r.item_id)) for r in decontaminate.overlaps(odd, items, broadcast_seeds=few).collect())
     assert found == [("5", "4"), ("None", "None")]
     clash = clashing(odd, "doc", "words", "seed", "item")
     kept = decontaminate.clean(clash, items)
     assert kept.columns == clash.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "6"]
-    assert decontaminate.overlaps(none, items).count() == 0
+    assert decontaminate.overlaps(none, items, broadcast_seeds=few).count() == 0
+    assert decontaminate.overlaps(odd, items.limit(0), broadcast_seeds=few).count() == 0
     assert decontaminate.clean(odd, spark.createDataFrame([], ITEMS)).count() == odd.count()
 
 
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_short_items_are_found_by_all_their_words(spark, few):
+    docs = spark.createDataFrame([(1, "Alpha beta. Gamma"), (2, "beta alpha gamma"), (3, "alpha"), (4, "x alpha beta gamma delta y"), (5, None)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "alpha"), (2, "alpha beta"), (3, "alpha beta gamma"), (4, "alpha beta gamma delta"), (5, "delta!"), (6, "gamma alpha")], ITEMS)
+    found = sorted(tuple(r) for r in decontaminate.overlaps(docs, items, broadcast_seeds=few).collect())
+    assert [r[:2] for r in found] == [(1, 1), (1, 2), (1, 3), (2, 1), (3, 1), (4, 1), (4, 2), (4, 3), (4, 4), (4, 5)]
+    assert all(r[2] == r[3] == r[4] for r in found)
+
+
+def test_shuffled_seeds_find_the_same_and_carry_no_text(spark, tables):
+    docs, items = (spark.read.parquet(f"{tables}/{name}.parquet") for name in ("documents", "benchmark"))
+    few, many = (decontaminate.overlaps(docs, items, broadcast_seeds=n) for n in (10**6, 0))
+    assert sorted(map(tuple, few.collect())) == sorted(map(tuple, many.collect()))
+    plan = many._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Project \[seed#\d+L, doc#\d+L, copy#\d+L, at#\d+\]", plan)
+
+
 def test_jaccard(odd, none):
     rows = sorted((str(r.doc_id), r.n_shingles, r.component_id) for r in jaccard.components(clashing(odd, "doc", "n", "label")).collect())
     sizes = {name: n for name, n, _ in rows}

@@ -15,7 +15,12 @@ def dashboard(users: DataFrame, workdir: str, known: DataFrame | None = None, to
     The users are counted once per (country, gender, year) into a small table; each figure adds that up.
     """
     joint_counts(users).write.mode("overwrite").parquet(workdir)
-    joint = users.sparkSession.read.parquet(workdir)
+    return figures(users.sparkSession.read.parquet(workdir), known, top)
+
+
+def figures(joint: DataFrame, known: DataFrame | None = None, top: int | None = None) -> dict[str, DataFrame]:
+    """The data sets from counts per (country, gender, year), in one table or in parts, as a stream writes them with every
+    batch: no user is read."""
     by_country = _add_up(joint, "country")
     frames = {
         "count_by_country": by_country,

@@ -1,7 +1,8 @@
 """The streaming jobs. Each returns the started query; the caller decides whether to wait.
 
 A job gets its own checkpoint, kept as long as the table it writes. By default it takes what is there and
-ends (``availableNow``), so any scheduler can run it again; pass ``trigger`` to keep it running.
+ends (``availableNow``), so any scheduler can run it again; pass ``trigger`` to keep it running. A ``limit`` in the
+trigger, in seconds, refuses batches after that time (`limits.run_for` waits for such a query).
 """
 
 from __future__ import annotations
@@ -10,7 +11,7 @@ import uuid
 from datetime import timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,19 +25,25 @@ from rollcall.schemas import EVENT_FIELDS
 from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.keys import KeyIndex
 from rollcall.sinks.stores import BatchWriter, both
+from rollcall.streaming.limits import until
+from rollcall.streaming.tables import CHECKED, METRICS
 from rollcall.workspace import remove_folder
 
-#: The constrained table's keys.
+#: The constrained table's keys, and its kinds of constraints.
 UNIQUE = ("email", "username")
+KINDS = ("null", "date", "unique")
 
 
 def start(
     stream: DataFrame, write: BatchWriter, checkpoint: str, *, mode: str = "append", trigger: dict | None = None
 ) -> StreamingQuery:
+    trigger = dict(trigger or {"availableNow": True})
+    limit = trigger.pop("limit", None)
+    write = write if limit is None else until(write, limit)
     return (
         stream.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
+        .trigger(**trigger)
         .foreachBatch(write)
         .start()
     )
@@ -49,22 +56,33 @@ def store_messages(
     checkpoint: str,
     *,
     include_unreadable: bool = False,
+    counts: BatchTable | None = None,
+    metrics: BatchTable | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Messages to stored users; messages that cannot be read go to ``unreadable`` with the reason.
 
-    With ``include_unreadable`` they are stored as rows of NULLs as well, and so are counted.
+    With ``include_unreadable`` they are stored as rows of NULLs as well, and so are counted. ``counts`` takes each batch's
+    users per country, gender and year, from which a dashboard adds up its figures (`counts.joint_counts`). ``metrics``
+    takes one row per batch with the numbers of its outcomes, observed while the batch is stored.
 
-    The stream has no shuffle: a micro-batch has the parallelism of its source partitions.
+    The stream has no shuffle but for ``counts``: a micro-batch has the parallelism of its source partitions.
     """
     parsed = parse_messages(messages.withColumn("id", position_id()), keep=("id", *SOURCE_FIELDS))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # Parsed once for both outputs. A lost block is read again from the source, with the same ids.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        seen = Observation()
         try:
-            store(records(batch, keep=("id",), include_unreadable=include_unreadable), batch_id)
-            unreadable(quarantine(batch), batch_id)
+            users = records(batch, keep=("id",), include_unreadable=include_unreadable)
+            store(users, batch_id)
+            outcome = [F.count("*").alias("messages"), F.count("reason").alias("unreadable")]
+            unreadable(quarantine(batch.observe(seen, *outcome) if metrics else batch), batch_id)
+            if counts:
+                counts.replace(joint_counts(users), batch_id)
+            if metrics:
+                metrics.replace(batch.sparkSession.createDataFrame([(seen.get["messages"], seen.get["unreadable"])], METRICS), batch_id)
         finally:
             batch.unpersist()
 
@@ -166,9 +184,13 @@ def write_constrained(
     *,
     order: str,
     also: BatchWriter | None = None,
+    metrics: BatchTable | None = None,
     **options,
 ) -> None:
-    """The batch's storable rows to the table, and to the writer ``also`` (an external store) if there is one."""
+    """The batch's storable rows to the table, and to the writer ``also`` (an external store) if there is one.
+
+    ``metrics`` takes one row per batch: rows, and rows rejected by the first constraint they break, observed on the way.
+    """
     store = both(accepted.replace, also) if also else accepted.replace
     run = f"{workdir}/batch-{batch_id}-{uuid.uuid4().hex}"
     index = KeyIndex(events.sparkSession, f"{accepted.path}/_keys", UNIQUE)
@@ -179,7 +201,10 @@ def write_constrained(
     checked = check_table(events, order, run, taken=taken, write_checked=False, **options).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         store(storable(checked), batch_id)
-        rejected(violators(checked), batch_id)
+        seen, broken = Observation(), [F.count(F.when(F.startswith("violation", F.lit(f"{kind}:")), 1)).alias(kind) for kind in KINDS]
+        rejected(violators(checked.observe(seen, F.count("*").alias("events"), *broken) if metrics else checked), batch_id)
+        if metrics:
+            metrics.replace(events.sparkSession.createDataFrame([tuple(seen.get[name] for name in ("events", *KINDS))], CHECKED), batch_id)
         # What the table took, from its files. Until this is done the batch is replayed.
         index.put(accepted.batch(batch_id), batch_id)
     finally:
@@ -197,6 +222,7 @@ def ingest_responses(
     workdir: str,
     *,
     also: BatchWriter | None = None,
+    metrics: BatchTable | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Landed responses to published events and to the constrained table.
@@ -212,7 +238,7 @@ def ingest_responses(
         try:
             events = flatten_users(batch, keep=("id", "arrival"))
             publish(events.select(*EVENT_FIELDS), batch_id)
-            write_constrained(events, batch_id, accepted, rejected, workdir, order="arrival", also=also)
+            write_constrained(events, batch_id, accepted, rejected, workdir, order="arrival", also=also, metrics=metrics)
             unusable(unusable_responses(batch, keep), batch_id)
         finally:
             batch.unpersist()

@@ -6,3 +6,6 @@ UNREADABLE = "topic string, partition int, offset bigint, timestamp timestamp, v
 UNUSABLE = "id string, response string, reason string"
 REJECTED = "id string, violation string"
 SNAPSHOT = "dim string, k string, total bigint"
+COUNTS = "country string, gender string, registration_year int, total bigint"
+METRICS = "messages bigint, unreadable bigint"
+CHECKED = "events bigint, `null` bigint, `date` bigint, `unique` bigint"

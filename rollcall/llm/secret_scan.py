@@ -35,16 +35,19 @@ HEX = re.compile(rb"[0-9a-f]{32,}")  # a run is taken whole, so shorter runs nee
 LEAST = {"assign": 8, "access": 16, "hex": 32}
 
 TOKEN = re.compile(
-    rb"""(?P<string>(?<![A-Za-z0-9])(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`))"""
-    rb"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)"""
+    rb"""(?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z0-9_$]+)*)"""
     rb"""|(?P<equals>==+|!=|<=|>=)"""
     rb"""|(?P<assign>:=|=>|->|=|:(?!//))"""
     rb"""|(?P<plus>\+|\.(?=[^\S\n]))"""
     rb"""|(?P<word>[A-Za-z0-9_/$%@!^*~.+=-]+)"""
     rb"""|(?P<stop>[,;(){}\[\]<>|&#?"'`:\\])|(?P<line>\n)"""
 )
-#: Quoted strings over several lines, and the head of a block scalar after its colon.
-LONG = re.compile(rb"""\"{3}((?:[^\\]|\\.)*?)\"{3}|'{3}((?:[^\\]|\\.)*?)'{3}|`([^`]*)`|"((?:[^"\\\n]|\\.|\n(?![ \t\r]*\n))*)"|'((?:[^'\\\n]|\\.|\n(?![ \t\r]*\n))*)'""", re.S)
+#: Quoted strings on one line.
+STRING = {b'"': re.compile(rb'"(?:[^"\\\n]|\\.)*+"'), b"'": re.compile(rb"'(?:[^'\\\n]|\\.)*+'"), b"`": re.compile(rb"`[^`\n]*+`")}
+ALNUM = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+#: Quoted strings over several lines, where they can't go on, and the head of a block scalar after its colon.
+LONG = re.compile(rb"""\"{3}((?:[^\\]|\\.)*?)\"{3}|'{3}((?:[^\\]|\\.)*?)'{3}|`([^`]*)`|"((?:[^"\\\n]|\\.|\n(?![ \t\r]*\n))*+)"|'((?:[^'\\\n]|\\.|\n(?![ \t\r]*\n))*+)'""", re.S)
+EMPTY_LINE = re.compile(rb"\n[ \t\r]*\n")
 BLOCK = re.compile(rb"[ \t]*[|>][+-]?[0-9]?[+-]?[ \t]*(?:#[^\n]*)?\r?\n")
 ROW = re.compile(rb"([ \t]*)([^\n]*)\n?")
 #: Words of a target name, and how much they say that its value is secret.
@@ -110,16 +113,55 @@ def literal_score(literal: str, phrase: bool = False) -> float:
     return min(1.0, entropy / 6 + 0.2 * (kinds - 1)) if kinds > 1 or len(literal) >= 20 else 0.0
 
 
+def lexed(text: bytes) -> list[tuple[str, bytes, int]]:
+    """The tokens of a text: kind, text, place.
+
+    A quote that isn't closed on its line is tried once: the same quotes after it on that line are escaped, and read from
+    any of them the rest of the line is the same.
+    """
+    tokens: list[tuple[str, bytes, int]] = []
+    unclosed = {quote: -1 for quote in STRING}
+    at = 0
+    while m := TOKEN.search(text, at):
+        kind, value, start = m.lastgroup or "", m.group(), m.start()
+        at = m.end()
+        if value in STRING and start >= unclosed[value] and not (start and text[start - 1] in ALNUM):
+            if string := STRING[value].match(text, start):
+                kind, value, at = "string", string.group(), string.end()
+            else:
+                line = text.find(b"\n", start)
+                unclosed[value] = len(text) if line < 0 else line
+        if kind == "word" and tokens and tokens[-1][0] in ("name", "word") and tokens[-1][2] + len(tokens[-1][1]) == start:
+            tokens[-1] = "word", tokens[-1][1] + value, tokens[-1][2]
+        else:
+            tokens.append((kind, value, start))
+    return tokens
+
+
+class Quoted:
+    """Strings over several lines. One that is never closed is tried once up to where it can't go on."""
+
+    def __init__(self, text: bytes):
+        self.text = text
+        self.unclosed: dict[tuple[bytes, bool], int] = {}
+
+    def match(self, start: int) -> re.Match | None:
+        quote = self.text[start : start + 1]
+        kind = quote, self.text[start : start + 3] == 3 * quote
+        if start < self.unclosed.get(kind, -1):
+            return None
+        found = LONG.match(self.text, start)
+        if not found:
+            gap = EMPTY_LINE.search(self.text, start) if quote != b"`" else None
+            self.unclosed[kind] = gap.start() if gap else len(self.text)
+        return found
+
+
 def assignments(text: bytes) -> Iterator[Assigned]:
     """What a text assigns, in order."""
     if b"=" not in text and b":" not in text:
         return
-    tokens: list[tuple[str, bytes, int]] = []
-    for m in TOKEN.finditer(text):
-        if tokens and m.lastgroup == "word" and tokens[-1][0] in ("name", "word") and tokens[-1][2] + len(tokens[-1][1]) == m.start():
-            tokens[-1] = "word", tokens[-1][1] + m.group(), tokens[-1][2]
-        else:
-            tokens.append((m.lastgroup or "", m.group(), m.start()))
+    tokens, quoted = lexed(text), Quoted(text)
     for i in range(1, len(tokens) - 1):
         kind, sign, start = tokens[i]
         if kind != "assign":
@@ -131,7 +173,7 @@ def assignments(text: bytes) -> Iterator[Assigned]:
             continue
         name = target.strip(b"\"'`").decode("utf-8", "replace")
         block = _block(text, start) if sign == b":" else None
-        if parts := [block] if block else _value(text, tokens, i + 1):
+        if parts := [block] if block else _value(text, tokens, i + 1, quoted):
             yield Assigned(name, parts)
 
 
@@ -153,7 +195,7 @@ def _block(text: bytes, colon: int) -> Part | None:
     return Part(True, b"\n".join(lines).decode("utf-8", "replace"), first, end) if lines else None
 
 
-def _value(text: bytes, tokens: list[tuple[str, bytes, int]], j: int) -> list[Part]:
+def _value(text: bytes, tokens: list[tuple[str, bytes, int]], j: int, quoted: Quoted) -> list[Part]:
     """The parts of the value from a token on."""
     parts: list[Part] = []
     depth = 0
@@ -177,7 +219,7 @@ def _value(text: bytes, tokens: list[tuple[str, bytes, int]], j: int) -> list[Pa
     while j < len(tokens):
         kind, value, start = tokens[j]
         quote = value[:1] in (b'"', b"'", b"`") and (kind == "stop" or value in (b'""', b"''") and text[start + 2 : start + 3] == value[:1])
-        if quote and (m := LONG.match(text, start)):
+        if quote and (m := quoted.match(start)):
             a, b = m.span(m.lastindex)
             parts.append(Part(True, m[m.lastindex].replace(b"\\\n", b"").decode("utf-8", "replace"), a, b))
             kind = "string"
@@ -211,6 +253,21 @@ def _value(text: bytes, tokens: list[tuple[str, bytes, int]], j: int) -> list[Pa
     return parts
 
 
+def flows(values: dict[str, list[Part]], phrase: bool) -> dict[str, tuple[str, float]]:
+    """For each name the most sensitive name that its value flows into, itself included, and how sensitive that is, among
+    the names whose values may be phrases or among the others. Names are walked once, the most sensitive ends first."""
+    weights = {name: weight for name in values if phrased(name) == phrase and (weight := name_score(name))}
+    ends: dict[str, tuple[str, float]] = {}
+    for end in sorted(weights, key=weights.__getitem__, reverse=True):
+        waiting = [end]
+        while waiting:
+            name = waiting.pop()
+            if name not in ends:
+                ends[name] = end, weights[end]
+                waiting.extend(part.text for part in values[name] if not part.literal and part.text in values and part.text not in ends)
+    return ends
+
+
 def secrets_by_flow(text: bytes) -> list[tuple[int, int, str, float]]:
     """Literals that end up in names that sound secret: start, end (in bytes), name, score."""
     plain = text.lower().translate(None, b"_.-$")
@@ -222,28 +279,15 @@ def secrets_by_flow(text: bytes) -> list[tuple[int, int, str, float]]:
     values: dict[str, list[Part]] = {}
     for a in made:
         values.setdefault(a.name, []).extend(a.parts)
-
-    def literals(parts: list[Part]) -> Iterator[Part]:
-        waiting, met = list(parts), set()
-        while waiting:
-            part = waiting.pop()
-            if part.literal:
-                yield part
-            elif part.text in values:
-                if part.text not in met:
-                    met.add(part.text)
-                    waiting.extend(values[part.text])
-            elif part.end:
-                yield part  # a bare word of a configuration file
-
     best: dict[tuple[int, int], tuple[str, float]] = {}
-    for a in made:
-        if weight := name_score(a.name):
-            for part in literals(a.parts):
-                look = literal_score(part.text, phrased(a.name))
-                score = weight + look if look else 0.0
-                if score >= THRESHOLD and score > best.get((part.start, part.end), ("", 0.0))[1]:
-                    best[part.start, part.end] = a.name, score
+    for phrase, ends in ((kind, flows(values, kind)) for kind in (True, False)):
+        for name, (end, weight) in ends.items():
+            for part in values[name]:
+                if part.literal or part.text not in values and part.end:  # a bare word of a configuration file counts as well
+                    look = literal_score(part.text, phrase)
+                    score = weight + look if look else 0.0
+                    if score >= THRESHOLD and score > best.get((part.start, part.end), ("", 0.0))[1]:
+                        best[part.start, part.end] = end, score
     return [(start, end, name, score) for (start, end), (name, score) in best.items()]
 
 

@@ -23,8 +23,8 @@ from rollcall.streaming import jobs
 from rollcall.streaming.tables import REJECTED, SNAPSHOT, UNREADABLE
 from rollcall.workspace import new_folder
 
-# Files that a micro-batch of these queries takes; a published topic has more of them (see `users.publish_topic`).
-FILES = 1
+# Files that a micro-batch of these queries takes: those of a part of the published topic (see `users.publish_topic`).
+FILES = given.FILES
 
 Query = Callable[[SparkSession, str], DataFrame]
 

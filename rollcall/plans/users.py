@@ -123,8 +123,8 @@ def messages(users: DataFrame, damaged: bool = False) -> DataFrame:
     )
 
 
-# Parts in which a topic is published, one after the other.
-PARTS = 4
+# Parts in which a topic is published, one after the other, and files of each.
+PARTS, FILES = 4, 8
 
 
 def publish_topic(
@@ -132,7 +132,8 @@ def publish_topic(
 ) -> str:
     """All users as a file-backed topic at ``path``, to be read as the Kafka source would be.
 
-    They are published in PARTS parts, one file each: by time or key, where messages are to arrive in that order.
+    They are published in PARTS parts of FILES files: by time or key, where messages are to arrive in that order. Messages
+    without a time come first.
     """
     published = messages(users(spark, folder), damaged)
     if copies > 1:
@@ -142,8 +143,8 @@ def publish_topic(
     kept.write.partitionBy("_part").parquet(f"{path}-all")
     ready = spark.read.schema(kept.schema).parquet(f"{path}-all")
     for part in range(PARTS):
-        # One file per part: a file stream takes files in the order in which they were written.
-        ready.filter(F.col("_part") == part).select(*MESSAGE.names).coalesce(1).write.mode("append").parquet(path)
+        # A file stream takes files in the order in which they were written, so a part's files come after those before it.
+        ready.filter(F.col("_part") == part).select(*MESSAGE.names).repartition(FILES).write.mode("append").parquet(path)
     return path
 
 
@@ -153,7 +154,7 @@ def _part(published: DataFrame, order: str, ranges: bool) -> Column:
     value = F.unix_micros(order) if order == "timestamp" else F.col(order)
     ends = published.select(F.min(value).alias("low"), F.max(value).alias("high")).first()
     low, high = ends.low or 0, (ends.high or 0) + 1
-    return F.floor((value - low) * PARTS / (high - low)).cast("int")
+    return F.coalesce(F.floor((value - low) * PARTS / (high - low)).cast("int"), F.lit(0))
 
 
 def _damage(value: Column, kind: Column) -> Column:

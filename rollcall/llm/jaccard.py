@@ -283,7 +283,18 @@ def components(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents that are their component's smallest id, with their columns; rows without an id stay."""
+    """The documents that are their component's smallest id, with their columns; of rows that repeat an id and its text, one.
+
+    Rows without an id stay, all of them. Which of two such rows stays, where other columns differ, is not defined.
+    """
+    folder = scratch(docs.sparkSession, "copies")
     found = components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias("_copy")).distinct()
-    copies = sized(keep(found, scratch(docs.sparkSession, "copies")))
-    return docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    copies = sized(keep(found, f"{folder}/copies"))
+    kept = docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    # ids are counted before the shuffle; where none is repeated, that is all
+    repeated = keep(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("_again")), f"{folder}/repeated")
+    if repeated.isEmpty():
+        return kept
+    ids, same = sized(repeated), kept["doc_id"] == repeated["_again"]
+    once = kept.join(ids, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(ids, same, "left_anti").unionByName(once)

@@ -38,7 +38,7 @@ def shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     owner = np.repeat(np.arange(len(counts)), counts)
     left = np.cumsum(counts)[owner] - np.arange(len(hashes))  # words from here to the text's end
     made = np.zeros(len(hashes), np.uint64)
-    for k in range(size):
+    for k in range(min(size, len(hashes))):
         mixed = (made ^ (made >> np.uint64(29))) * STEP
         mixed[: len(hashes) - k] += hashes[k:] + np.uint64(k + 1)
         made = np.where(left > k, mixed, made)  # a short text's shingle stops at its last word

@@ -112,7 +112,17 @@ def test_jaccard(odd, none):
     assert (sizes["1"], sizes["2"], sizes["3"], sizes["5"], sizes["None"]) == (0, 0, 0, 3, 5)
     assert all(component == (None if name == "None" else int(name)) for name, _, component in rows)
     assert jaccard.components(none).count() == 0
-    assert jaccard.representatives(odd).count() == odd.count()
+    kept = jaccard.representatives(clashing(odd, "_again", "count"))
+    assert kept.columns == [*odd.columns, "_AGAIN", "COUNT"]
+    # of the row that is there twice, one stays
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "6", "None"]
+
+
+def test_repeated_rows_go_from_the_groups(spark):
+    text = "one two three four five six seven eight"
+    rows = [(1, text), (1, text), (1, text + " nine ten eleven twelve"), (2, text), (3, "other"), (3, "other"), (3, None), (3, None), (None, "x"), (None, "x")]
+    kept = jaccard.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(1, text), (1, text + " nine ten eleven twelve"), (3, "other"), (3, None), (None, "x"), (None, "x")]))
 
 
 def test_html(spark, none):

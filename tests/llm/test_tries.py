@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rollcall.llm import merkle, prefix_trie, superminhash
@@ -17,6 +18,7 @@ from rollcall.llm.prefix_trie import WIDTH
 from rollcall.llm.radix_tree import Direct, Indexed, RadixTree, Sorted, common
 from rollcall.llm.shared import scratch
 from rollcall.llm.van_emde_boas import addresses, size
+from rollcall.llm.words import shingles
 
 TURNS = "conv_id long, turn long, role string, text string"
 
@@ -256,6 +258,17 @@ def test_groups_of_odd_rows(spark):
     assert sorted({r.doc_id for r in kept.collect() if r.doc_id is not None}) == sorted(set(wanted.values()))
 
 
+@pytest.mark.parametrize("count", range(1, 6))
+def test_shingles_of_a_few_words_alone(count):
+    """A batch may hold fewer words than a shingle."""
+    texts = pa.array([" ".join("abcdefgh"[:count]), None, ""])
+    for size in (1, 4, 5):
+        made, counts = shingles(texts, size)
+        assert counts.tolist() == [max(1, count - size + 1), 0, 0]
+        alone = [shingles(pa.array([" ".join("abcdefgh"[i : i + size][: count - i])]), size)[0][0] for i in range(counts[0])]
+        assert made.tolist() == alone
+
+
 def test_union_find_folds_a_chain_inside_a_task(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1000)], "a long, b long").coalesce(1)
     rows = superminhash.united(edges).collect()

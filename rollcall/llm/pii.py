@@ -2,15 +2,16 @@
 
 Base spans are the matches of four patterns that pass their check. A pattern takes all it can, so a phone number followed
 by a card number is one match, fails, and both are missed. Generators of high recall therefore propose narrower and
-looser spans too, which may overlap. A span's format and context are its features; trees are fitted on a bounded sample
-of each kind's candidates, taken from all documents, and on the candidates of a few fixed examples. Labels come from checks
+looser spans too, which may overlap. A span's format and context are its features; trees are fitted on the candidates of
+all documents, equal ones once, and on those of a few fixed examples. Labels come from checks
 of each kind (see `label`) that see more than the base patterns: check digits of cards and accounts, ranges, the address
 behind a disguise, and cue words before; a candidate that can't be checked is not learnt from. Per kind, the lowest score at which nine of ten
 candidates of a held-out part are right (smoothed) is the threshold. A kind with too few of them, or without such a score,
 has a fixed one: where the trees give nine of ten. So tables of any size are treated alike. Candidates from the threshold
 on that no base span holds are added.
 
-The trees are fitted on the driver and become one SQL expression. Null texts count as empty. Rows are scanned one by one.
+The trees are fitted on the driver while the candidates are few, level by level on Spark beyond, and become one SQL
+expression. Null texts count as empty. Rows are scanned one by one.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm import trees
@@ -56,9 +57,11 @@ CUES = {
     "other_near": "version|v\\.|page|isbn|id|order|part|figure|section|chapter",
 }
 AROUND = 32
-#: Candidates of a kind that the trees may learn from, about; held-out ones without which a kind's threshold is FIXED;
-#: share of right ones at a threshold; the log odds at which the trees give that share.
-PER_KIND, LEAST_HELD, PRECISION = 4_000, 50, 0.9
+#: Candidates that the driver takes, all of them; with more, histograms are summed up on Spark. Held-out ones without which
+#: a kind's threshold is FIXED; share of right ones at a threshold; the log odds at which the trees give that share.
+ON_DRIVER, LEAST_HELD, PRECISION = 20_000, 50, 0.9
+#: Scores of a kind are summed up in parts, so many for a step of one in the log odds.
+PARTS = 64
 FIXED = math.log(PRECISION / (1 - PRECISION))
 #: Texts that the trees learn from on any table, so that small ones have a model as well: values and what stands around
 #: them. Their candidates are labelled like all others, and count so many times.
@@ -74,6 +77,7 @@ EXAMPLES = (
 )
 AROUND_EXAMPLES = ("{}", "and {} then", "call {}, please", "card {} expires", "write to {}.", "server {} up", "bank account {}", "order id {} sent", "social security {}", "tel {} or")
 EXAMPLE_WEIGHT = 8
+TREES = {"trees": 40, "depth": 4, "rate": 0.4}
 
 FEATURES = [
     "kind", "length", "digits", "letters", "spaces", "hyphens", "dots", "plus", "brackets", "at", "luhn", "octets", "first_digit",
@@ -248,19 +252,7 @@ class Model:
         """Whether a candidate is taken, as an SQL expression over its struct."""
         if self.fitted is None or not self.thresholds:
             return "false"
-        model = self.fitted
-
-        def node(tree: int, at: int) -> str:
-            inner = 2**model.depth - 1
-            if at >= inner:
-                return repr(float(model.value[tree, at - inner])) + "D"
-            limit = model.threshold[tree, at]
-            if not np.isfinite(limit):
-                return node(tree, 2 * at + 1)
-            right, left = node(tree, 2 * at + 2), node(tree, 2 * at + 1)
-            return left if left == right else f"if({candidate}.features[{model.feature[tree, at]}] > {float(limit)!r}D, {right}, {left})"
-
-        score = " + ".join([f"{model.start!r}D", *(node(t, 0) for t in range(len(model.feature)))])
+        score = self.fitted.sql(f"{candidate}.features")
         least = " ".join(f"when {kind} then {limit!r}D" for kind, limit in self.thresholds.items())
         return f"({score}) >= (case {candidate}.kind {least} end)"
 
@@ -276,23 +268,46 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train(docs: DataFrame, text: str = "text") -> Model:
-    """Fit on about PER_KIND candidates of each kind, chosen by a hash from those of all documents, and on the examples;
-    every fourth candidate of the documents is held out for the thresholds."""
-    place = F.xxhash64("kind", "features", "label")
-    known = keep(labelled(docs, text).withColumn("place", place), scratch(docs.sparkSession, "candidates"))
-    counts = {r.kind: r["count"] for r in known.where(~F.col("example")).groupBy("kind").count().collect()}
-    chosen = F.col("example")
-    for kind, count in counts.items():
-        chosen |= (F.col("kind") == kind) & (F.pmod("place", F.lit(count)) < PER_KIND)
-    sample = sorted(known.where(chosen).collect(), key=lambda r: (r.example, r.place, r.label))  # sums, and so trees, don't depend on the order of arrival
+    """Fit on the candidates of all documents and on the examples; every fourth candidate of the documents, by a hash, is
+    held out, and all of those give the thresholds. Up to ON_DRIVER candidates are fitted in one place, more on Spark."""
+    place, folder = F.xxhash64("kind", "features", "label"), scratch(docs.sparkSession, "candidates")
+    known = keep(labelled(docs, text).withColumn("place", place), f"{folder}/known")
+    if known.count() > ON_DRIVER:
+        return train_on_spark(known, folder)
+    sample = sorted(known.collect(), key=lambda r: (r.example, r.place, r.label))  # sums, and so trees, don't depend on the order of arrival
     x, y = np.array([r.features for r in sample], float), np.array([r.label for r in sample], float)
     kinds, example = np.array([r.kind for r in sample]), np.array([r.example for r in sample])
     held = ~example & (np.array([r.place for r in sample]) % 4 == 0)
     times = np.where(example, EXAMPLE_WEIGHT, 1)[~held]
-    fitted = trees.fit(np.repeat(x[~held], times, axis=0), np.repeat(y[~held], times), trees=40, depth=4, rate=0.4)
+    fitted = trees.fit(np.repeat(x[~held], times, axis=0), np.repeat(y[~held], times), **TREES)
     return Model(fitted, {kind: threshold(fitted.raw(x[held & (kinds == kind)]), y[held & (kinds == kind)]) for kind in range(len(KINDS))})
 
 
+def train_on_spark(known: DataFrame, folder: str) -> Model:
+    held = ~F.col("example") & (F.pmod("place", F.lit(4)) == 0)
+    times = F.when(F.col("example"), EXAMPLE_WEIGHT).otherwise(1)
+    fitted = trees.fit_table(known.where(~held).select("features", "label", times.alias("times")), lambda df, name: keep(df, f"{folder}/{name}"), **TREES)
+    scored = known.where(held).groupBy("kind", F.expr(fitted.sql("features")).alias("raw")).agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+    return Model(fitted, thresholds(keep(scored, f"{folder}/scores")))
+
+
+def thresholds(scored: DataFrame) -> dict[int, float]:
+    """What `threshold` gives, per kind, from a table of any size: kind, raw, n and good, a row per score. Scores are dealt
+    by size into parts, whose sums the driver adds up; within its part, each score is counted on."""
+    scored = scored.withColumn("part", F.floor(F.col("raw") * PARTS))
+    parts = scored.groupBy("kind", "part").agg(F.sum("n").alias("n"), F.sum("good").alias("good")).collect()
+    above, sums = [], {kind: (0, 0) for kind in range(len(KINDS))}
+    for r in sorted(parts, key=lambda r: -r.part):
+        above.append((r.kind, r.part, *sums[r.kind]))
+        sums[r.kind] = sums[r.kind][0] + r.n, sums[r.kind][1] + r.good
+    higher = F.broadcast(scored.sparkSession.createDataFrame(above, "kind int, part long, n_above long, good_above long"))
+    on = Window.partitionBy("kind", "part").orderBy(F.desc("raw"))
+    n, good = (F.sum(name).over(on) + F.col(f"{name}_above") for name in ("n", "good"))
+    right = scored.join(higher, ["kind", "part"]).select("kind", "raw", ((good + 1) / (n + 2)).alias("share")).where((F.col("share") >= PRECISION) & (F.col("raw") > 0))
+    least = {r.kind: r.least for r in right.groupBy("kind").agg(F.min("raw").alias("least")).collect()}
+    return {kind: least.get(kind, FIXED) if n >= LEAST_HELD else FIXED for kind, (n, _) in sums.items()}
+
+
 def threshold(raw: np.ndarray, labels: np.ndarray) -> float:
     """The lowest score from which on the smoothed share of right ones is PRECISION; FIXED if there are too few, or none."""
     if len(raw) < LEAST_HELD:

@@ -265,6 +265,62 @@ def test_small_tables_learn_as_well(spark):
     assert all("phone:5:22" in spans for spans in found.values())
 
 
+def many_candidates(spark):
+    texts = [around.format(f"+1 ({i % 90 + 100}) 555-{1000 + i}{tail}") for i in range(60) for tail in ("", " 4041894974608795", " 4041894974608796") for around in ("my phone: {}, now", "order id {} sent", "{}" + "." * (i % 9))]
+    texts += [f"pay 4{i:015d} by {'card' * (i % 3)}, or write to a{'b' * (i % 40)} (at) c{'d' * (i // 40)}.org" for i in range(300)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+
+def test_trees_learn_from_every_candidate(spark, monkeypatch):
+    """However many there are of a kind; the held-out ones give the thresholds, all of them."""
+    docs, given, held = many_candidates(spark), [], []
+    known = pii.labelled(docs).where("not example")
+    fit, threshold = trees.fit, pii.threshold
+    monkeypatch.setattr(pii, "PER_KIND", 5, raising=False)  # the size of a former sample
+    monkeypatch.setattr(trees, "fit", lambda x, y, **rest: given.append(len(x)) or fit(x, y, **rest))
+    monkeypatch.setattr(pii, "threshold", lambda raw, y: held.append(len(raw)) or threshold(raw, y))
+    pii.train(docs)
+    examples = pii.labelled(docs).where("example").count()
+    assert given[0] - pii.EXAMPLE_WEIGHT * examples + sum(held) == known.count() > 50
+
+
+def test_trees_of_a_table_are_those_of_its_rows(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    x = np.stack([rng.integers(0, most, 500) for most in (2, 5, 300, 1)], axis=1).astype(float)
+    y = ((x[:, 2] > 120) ^ (x[:, 0] > 0) | (rng.random(500) < 0.1)).astype(float)
+    times = rng.integers(1, 4, 500)
+    table = spark.createDataFrame([(a.tolist(), int(b), int(n)) for a, b, n in zip(x, y, times, strict=True)], "features array<double>, label int, times int")
+
+    def kept(df, name):
+        df.write.mode("overwrite").parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    want = trees.fit(np.repeat(x, times, axis=0), np.repeat(y, times), trees=3, depth=3, rate=0.4)
+    got = trees.fit_table(table, kept, trees=3, depth=3, rate=0.4)
+    assert (got.feature == want.feature).all() and (got.threshold == want.threshold).all()
+    assert np.allclose(got.value, want.value, atol=1e-6) and np.allclose(got.raw(x), want.raw(x), atol=1e-6)
+    scores = [r.raw for r in table.select(F.expr(got.sql("features")).alias("raw")).collect()]
+    assert scores == got.raw(x).tolist()
+    assert trees.fit_table(table.limit(0), kept, trees=1).predict(x)[0] == 0.5
+
+
+def test_thresholds_of_many_scores_are_those_of_a_list(spark):
+    rng = np.random.default_rng(4)
+    rows = [(kind, round(float(raw), 2), int(rng.random() < 1 / (1 + np.exp(-2 * raw)))) for kind, size in enumerate((400, 400, 30, 60, 0)) for raw in rng.normal(1, 2, size)]
+    rows = [(kind, raw, 0 if kind == 3 else y) for kind, raw, y in rows]
+    held = spark.createDataFrame(rows, "kind int, raw double, label int").groupBy("kind", "raw").agg(F.count("*").alias("n"), F.sum("label").alias("good"))
+    want = {k: pii.threshold(np.array([r for kind, r, _ in rows if kind == k]), np.array([float(y) for kind, _, y in rows if kind == k])) for k in range(5)}
+    assert pii.thresholds(held) == want and want[0] != pii.FIXED
+
+
+def test_spans_are_the_same_when_the_trees_are_fitted_on_spark(spark, monkeypatch):
+    docs = many_candidates(spark).limit(240)
+    monkeypatch.setattr(pii, "TREES", {"trees": 3, "depth": 4, "rate": 0.4}, raising=False)
+    want = sorted(map(tuple, pii.digests(docs).collect()))
+    monkeypatch.setattr(pii, "ON_DRIVER", 0)
+    assert sorted(map(tuple, pii.digests(docs).collect())) == want
+
+
 def test_thresholds_of_kinds():
     scores, wrong = np.linspace(5, -5, 100), np.zeros(100)
     assert pii.threshold(scores[:5], wrong[:5]) == pii.threshold(scores, wrong) == pii.FIXED

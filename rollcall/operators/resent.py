@@ -26,11 +26,11 @@ def copies_per_slot(records: DataFrame, keys: list[str], time: str, within: time
     micros = F.unix_micros(time)
     slot = F.call_function("div", micros - F.pmod(micros, length), length).alias("slot")
     others = [name for name in records.columns if name not in keys and name != time]
-    grouped = records.groupBy(*keys, slot).agg(
-        F.min(F.struct(time, *others)).alias("_record"), F.min(time).alias("first"), F.max(time).alias("last")
-    )
-    fields = (F.col("_record")[name].alias(name) for name in (time, *others))
-    return grouped.select(*keys, "slot", "first", "last", *fields)
+    # Times alone are summed up in a hash table; a whole record has to be sorted.
+    record = [F.min(F.struct(time, *others)).alias("_record")] if others else []
+    grouped = records.groupBy(*keys, slot).agg(*record, F.min(time).alias("first"), F.max(time).alias("last"))
+    fields = (F.col("_record")[name].alias(name) for name in others)
+    return grouped.select(*keys, "slot", "first", "last", F.col("first").alias(time), *fields)
 
 
 def first_copies(spans: DataFrame, seen: DataFrame, keys: list[str], within: timedelta) -> DataFrame:

@@ -14,7 +14,7 @@ from rollcall.operators.latest import latest_per_key
 from rollcall.operators.resent import seen_schema
 from rollcall.operators.uniqueness import first_wins
 from rollcall.plans import users as given
-from rollcall.schemas import CONSTRAINED, COUNTED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
+from rollcall.schemas import ADDRESSED, CONSTRAINED, COUNTED, DATE_FIELDS, EVENT, EVENT_FIELDS, STORED
 from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.ddl import create_if_absent
 from rollcall.sources.messages import file_messages
@@ -180,7 +180,7 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Every message sent twice; kept are those that no message of the same e-mail precedes by at most the bound."""
     place = new_folder(spark, "stream-dedup")
     topic = given.publish_topic(spark, folder, f"{place}/topic", by_time=True, copies=2)
-    parsed = codec.parse_messages(file_messages(spark, topic, max_per_trigger=FILES), keep=("timestamp",))
+    parsed = codec.parse_messages(file_messages(spark, topic, max_per_trigger=FILES), ADDRESSED, keep=("timestamp",))
     received = codec.records(parsed, keep=("timestamp",)).select("email", "timestamp")
     kept = BatchTable(spark, f"{place}/kept", received.schema)
     seen = SlotTable(spark, f"{place}/seen", seen_schema(received.schema, ["email"]))

@@ -133,28 +133,28 @@ def publish_topic(
     """All users as a file-backed topic at ``path``, to be read as the Kafka source would be.
 
     They are published in PARTS parts of FILES files: by time or key, where messages are to arrive in that order. Messages
-    without a time come first.
+    without a time come first. Each part is made from its orders, so no message is written twice, and copies are made
+    after the messages were dealt to files.
     """
-    published = messages(users(spark, folder), damaged)
-    if copies > 1:
-        published = published.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copy")
-    order = "timestamp" if by_time else "user_key"
-    kept = published.select("user_key", *MESSAGE.names).withColumn("_part", _part(published, order, by_time or by_key))
-    kept.write.partitionBy("_part").parquet(f"{path}-all")
-    ready = spark.read.schema(kept.schema).parquet(f"{path}-all")
-    for part in range(PARTS):
-        # A file stream takes files in the order in which they were written, so a part's files come after those before it.
-        ready.filter(F.col("_part") == part).select(*MESSAGE.names).repartition(FILES).write.mode("append").parquet(path)
+    given = users(spark, folder)
+    again = F.explode(F.sequence(F.lit(1), F.lit(copies)))
+    # A file stream takes files in the order in which they were written, so a part's files come after those before it.
+    for part in _parts(given, by_time, by_key):
+        published = messages(given.filter(part), damaged).select(*MESSAGE.names).repartition(FILES)
+        published.select("*", again.alias("copy")).drop("copy").write.mode("append").parquet(path)
     return path
 
 
-def _part(published: DataFrame, order: str, ranges: bool) -> Column:
-    if not ranges:
-        return F.pmod(F.xxhash64(order), F.lit(PARTS)).cast("int")
-    value = F.unix_micros(order) if order == "timestamp" else F.col(order)
-    ends = published.select(F.min(value).alias("low"), F.max(value).alias("high")).first()
+def _parts(given: DataFrame, by_time: bool, by_key: bool) -> list[Column]:
+    """What the users of each part fulfil. A range is compared with its ends only, which Spark tests before it joins."""
+    if not (by_time or by_key):
+        return [F.pmod(F.xxhash64("user_key"), F.lit(PARTS)) == part for part in range(PARTS)]
+    value = F.unix_micros(F.col("dob").try_cast("timestamp")) if by_time else F.col("user_key")
+    ends = given.select(F.min(value).alias("low"), F.max(value).alias("high")).first()
     low, high = ends.low or 0, (ends.high or 0) + 1
-    return F.coalesce(F.floor((value - low) * PARTS / (high - low)).cast("int"), F.lit(0))
+    starts = [F.lit(low + -(-(high - low) * part // PARTS)).cast("long") for part in range(1, PARTS)]
+    between = [(value >= start) & (value < end) for start, end in zip(starts, starts[1:], strict=False)]
+    return [value.isNull() | (value < starts[0]), *between, value >= starts[-1]]
 
 
 def _damage(value: Column, kind: Column) -> Column:

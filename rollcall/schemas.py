@@ -43,6 +43,9 @@ STORED = _strings(("id", *STORED_FIELDS))
 # What the counts need of a message.
 COUNTED = _strings(("gender", "country", "registered_date"))
 
+# What tells whether a message was sent again.
+ADDRESSED = _strings(("email",))
+
 CONSTRAINED = T.StructType(
     [T.StructField("id", T.StringType())]
     + [

@@ -233,7 +233,9 @@ class SlotTable:
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
         names = [name for name in self.schema.names if name not in ("slot", "batch_id")]
-        placed = rows.select(*names, "slot", F.lit(batch_id).cast("long").alias("batch_id")).repartition("slot")
+        placed = rows.select(*names, "slot", F.lit(batch_id).cast("long").alias("batch_id"))
+        # Few files per slot, but a slot that holds most of a batch is more than one task's.
+        placed = placed.hint("rebalance", "slot")
         placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot", "batch_id").parquet(self.path)
 
     def forget(self, slot: int) -> None:

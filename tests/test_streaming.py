@@ -1,17 +1,19 @@
 import json
 import os
 import random
-from datetime import timedelta
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
-from helpers import event, messages, response, sequential
+from helpers import event, messages, plan, response, sequential
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rollcall.functions import position_id
 from rollcall.operators.codec import parse_messages, records
 from rollcall.operators.counts import chart_totals, count_by_country
-from rollcall.operators.resent import seen_schema
+from rollcall.operators.resent import copies_per_slot, seen_schema
+from rollcall.plans import users as given
 from rollcall.schemas import CONSTRAINED, DECODED, EVENT, EVENT_FIELDS, MESSAGE, STORED
 from rollcall.sinks.batches import BatchTable, SlotTable
 from rollcall.sinks.stores import keyed_store, topic
@@ -341,3 +343,41 @@ def test_ingest_from_messages(spark, tmp_path):
     accepted, rejected, unusable, published = _ingest(spark, place, responses)
     assert {row.email for row in accepted.rows().collect()} == {"ada@example.com", "d@example.com"}
     assert (rejected.rows().count(), unusable.rows().count(), published.count()) == (2, 1, 4)
+
+
+def test_times_are_summed_up_without_a_sort(spark):
+    at = lambda minute: datetime(2020, 1, 1, 0, minute)
+    sent = spark.createDataFrame([("a", at(3)), ("a", at(1)), ("b", None), (None, at(2))], "email string, timestamp timestamp")
+    spans = copies_per_slot(sent, ["email"], "timestamp", timedelta(hours=1))
+    assert "SortAggregate" not in plan(spans)
+    assert {(r.email, r.timestamp, r.first, r.last) for r in spans.collect()} == {
+        ("a", at(1), at(1), at(3)), ("b", None, None, None), (None, at(2), at(2), at(2)),
+    }
+
+
+@pytest.mark.parametrize("order", [{"by_time": True}, {"by_key": True}, {}])
+def test_a_topic_is_published_part_by_part(spark, tmp_path, order):
+    """Each message as often as asked for, parts in their order, and nothing beside the topic."""
+    days = [None, *(f"199{n % 7}-0{n % 9 + 1}-11 00:00:00" for n in range(40))]
+    orders = [(None if n == 5 else n * n % 90, n % 4, day) for n, day in enumerate(days)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, day string").selectExpr(
+        "o_orderkey", "o_custkey", "cast(day as timestamp) as o_orderdate"
+    ).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("select id as c_custkey, concat('c', id) as c_name, 0 as c_nationkey, 's' as c_mktsegment from range(4)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("select 0 as n_nationkey, 'n' as n_name, 0 as n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.sql("select 0 as r_regionkey, 'r' as r_name").write.parquet(f"{tmp_path}/region.parquet")
+    topic = given.publish_topic(spark, str(tmp_path), f"{tmp_path}/topic/users", copies=2, **order)
+    wanted = given.messages(given.users(spark, str(tmp_path))).select(*MESSAGE.names)
+    published = spark.read.schema(MESSAGE).parquet(topic)
+    assert published.count() == 82
+    assert published.exceptAll(wanted.union(wanted)).isEmpty()
+    assert os.listdir(f"{tmp_path}/topic") == ["users"]
+    if order:
+        value = F.unix_micros("timestamp") if "by_time" in order else F.col("offset") * 8 + F.col("partition")
+        low, high = published.select(F.min(value), F.max(value)).first()
+        part = F.coalesce(F.floor((value - low) * given.PARTS / (high + 1 - low)), F.lit(0))
+        files = sorted(Path(topic).glob("*.parquet"), key=lambda f: f.stat().st_mtime_ns)
+        parts = [{r[0] for r in spark.read.schema(MESSAGE).parquet(str(f)).select(part).collect()} for f in files]
+        assert all(len(p) <= 1 for p in parts)
+        firsts = [min(p) for p in parts if p]
+        assert firsts == sorted(firsts) and set(firsts) == set(range(given.PARTS))

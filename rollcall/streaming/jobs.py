@@ -196,9 +196,12 @@ def write_constrained(
     index = KeyIndex(events.sparkSession, f"{accepted.path}/_keys", UNIQUE)
     if not index.slices.live(before=batch_id) and accepted.slices.live(before=batch_id):
         index.put(accepted.before(batch_id), batch_id - 1)  # a table from before it had an index
+    # Joined with each of the two keys, and found once.
     taken = index.taken(events, batch_id)
-    # The batch is held already, so it need not be written once more.
-    checked = check_table(events, order, run, taken=taken, write_checked=False, **options).persist(StorageLevel.MEMORY_AND_DISK)
+    if taken is not None:
+        taken.persist(StorageLevel.MEMORY_AND_DISK)
+    # The batch is held already, so it need neither be written nor held once more: the rejected rows leave with few columns.
+    checked = check_table(events, order, run, taken=taken, write_checked=False, **options)
     try:
         store(storable(checked), batch_id)
         seen, broken = Observation(), [F.count(F.when(F.startswith("violation", F.lit(f"{kind}:")), 1)).alias(kind) for kind in KINDS]
@@ -208,7 +211,8 @@ def write_constrained(
         # What the table took, from its files. Until this is done the batch is replayed.
         index.put(accepted.batch(batch_id), batch_id)
     finally:
-        checked.unpersist()
+        if taken is not None:
+            taken.unpersist()
         remove_folder(events.sparkSession, run)
 
 

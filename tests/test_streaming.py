@@ -381,3 +381,17 @@ def test_a_topic_is_published_part_by_part(spark, tmp_path, order):
         assert all(len(p) <= 1 for p in parts)
         firsts = [min(p) for p in parts if p]
         assert firsts == sorted(firsts) and set(firsts) == set(range(given.PARTS))
+
+
+def test_checked_rows_are_not_held_beside_the_batch(spark, tmp_path):
+    held = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    events = records(parse_messages(messages(spark, [event(), event()]).withColumn("id", position_id()), EVENT, keep=("id", "offset")), keep=("id", "offset"))
+    accepted, before, seen = BatchTable(spark, f"{tmp_path}/users", CONSTRAINED), held(), []
+
+    def rejected(rows, batch_id):
+        seen.append((rows.count(), held()))
+
+    jobs.write_constrained(events, 0, accepted, rejected, f"{tmp_path}/rounds", order="offset")
+    assert accepted.rows().count() == 1 and seen == [(1, before)]
+    jobs.write_constrained(events, 1, accepted, rejected, f"{tmp_path}/rounds", order="offset")
+    assert accepted.rows().count() == 1 and seen[1] == (2, before + 1) and held() == before  # the keys taken
